@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("reporting", "texts")
+_MODULES = ("reporting", "texts", "nesting", "logging", "storing")
 
 
 def _load():
