@@ -15,8 +15,12 @@ from pyspark.sql import types as T
 
 # One word character: letters, digits and other numbers, underscore.
 WORD_CHAR = r"[\p{L}\p{N}_]"
-# White space as it is stripped from both ends of a text.
-SPACE = r"[\s\x1c-\x1f]"
+
+
+@lru_cache(maxsize=1)
+def _white_space() -> str:
+    """Every white-space character, as it is stripped from both ends of a text."""
+    return "".join(chr(code) for code in range(sys.maxunicode + 1) if chr(code).isspace())
 
 
 def as_col(c: Column | str) -> Column:
@@ -69,8 +73,11 @@ def fold_text_full(c: Column | str) -> Column:
 
 
 def words(folded: Column | str) -> Column:
-    """The runs of word characters of a text, in order."""
-    return F.regexp_extract_all(as_col(folded), F.lit(WORD_CHAR + "+"), F.lit(0))
+    """The runs of word characters of a text, in order; texts of ASCII characters take the cheaper class."""
+    c = as_col(folded)
+    ascii_runs = F.regexp_extract_all(c, F.lit(r"\w+"), F.lit(0))
+    all_runs = F.regexp_extract_all(c, F.lit(WORD_CHAR + "+"), F.lit(0))
+    return F.when(F.octet_length(c) == F.char_length(c), ascii_runs).otherwise(all_runs)
 
 
 def word_pattern(term: Column | str) -> Column:
@@ -103,7 +110,7 @@ def is_empty_text(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """White space of every kind removed from both ends."""
-    return F.regexp_replace(as_col(c), f"(?U)^{SPACE}+|{SPACE}+\\z", "")
+    return F.btrim(as_col(c), F.lit(_white_space()))
 
 
 def text_key(c: Column | str) -> Column:
@@ -117,13 +124,20 @@ def preview(c: Column | str, n: int) -> Column:
     return F.when(F.char_length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
 
 
-def contains_any(c: Column | str, needles: Sequence[str]) -> Column:
-    """True where any of the literal parts occurs (case and accents as given)."""
-    c = as_col(c)
+def _any_part(t: Column, needles: Sequence[str]) -> Column:
     test = F.lit(False)
     for needle in needles:
-        test = test | F.contains(c, F.lit(needle))
-    return F.coalesce(test, F.lit(False))
+        test = test | F.contains(t, F.lit(needle))
+    return test
+
+
+def contains_any(c: Column | str, needles: Sequence[str]) -> Column:
+    """True where any of the literal parts occurs (case and accents as given).
+
+    The text is bound once as a lambda variable, so a derived text (lower(c)) is computed
+    once per row and not once per part.
+    """
+    return F.coalesce(F.exists(F.array(as_col(c)), lambda t: _any_part(t, needles)), F.lit(False))
 
 
 def contains_any_lower(c: Column | str, needles: Sequence[str]) -> Column:
@@ -138,11 +152,14 @@ def matches_any(c: Column | str, alternatives: Sequence[str]) -> Column:
 
 def classify_text(c: Column | str, classes: Sequence[tuple[str, Sequence[str]]], other: str) -> Column:
     """Label of the first class with a part in the upper-cased text, else ``other``."""
-    upper = F.upper(as_col(c))
-    label = F.lit(other)
-    for name, parts in reversed(list(classes)):
-        label = F.when(contains_any(upper, parts), F.lit(name)).otherwise(label)
-    return label
+    def label(t: Column) -> Column:
+        out = F.lit(other)
+        for name, parts in reversed(list(classes)):
+            out = F.when(_any_part(t, parts), F.lit(name)).otherwise(out)
+        return out
+
+    # As in contains_any, the upper-cased text is bound once.
+    return F.element_at(F.transform(F.array(F.upper(as_col(c))), label), 1)
 
 
 def yes_no(c: Column | str, yes: str, no: str) -> Column:

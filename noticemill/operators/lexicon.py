@@ -64,7 +64,7 @@ def prepare_entries(lexicon: DataFrame) -> DataFrame:
     )
 
 
-_FIELDS = ("precedence", "grp", "term", "single", "pattern")
+_FIELDS = ("precedence", "grp", "term", "single", "folded", "pattern")
 
 
 def _constant(rows: list, kind: T.DataType) -> Column:
@@ -75,9 +75,16 @@ def _constant(rows: list, kind: T.DataType) -> Column:
 def _first_of(df: DataFrame, folded: str, candidates: Column) -> DataFrame:
     """Adds matched_group and matched_term: the candidate of least precedence found as a whole word."""
     df = df.withColumn("_candidates", candidates)
-    proven = F.filter("_candidates", lambda e: e["single"] | F.rlike(F.col(folded), e["pattern"]))
+
+    def proven(e: Column) -> Column:
+        # The substring test is cheap and rejects most phrases before the pattern runs.
+        return e["single"] | (F.contains(F.col(folded), e["folded"]) & F.rlike(F.col(folded), e["pattern"]))
+
+    best = F.when(F.size("_candidates") > 0, F.array_min(F.filter("_candidates", proven)))
+    # One row in, one row out. As a generator's output the match is computed once: a later
+    # filter on it is not pushed below and computed a second time.
     return (
-        df.withColumn("_best", F.when(F.size("_candidates") > 0, F.array_min(proven)))
+        df.withColumn("_best", F.explode_outer(F.array(best)))
         .withColumn("matched_group", F.col("_best.grp"))
         .withColumn("matched_term", F.col("_best.term"))
         .drop("_best", "_candidates")
