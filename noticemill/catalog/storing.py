@@ -80,6 +80,21 @@ def upsert_log(spark, sf):
     return D.upsert_by_key(entries("orders", "o_orderdate", "old"), entries("lineitem", "l_shipdate", "new"), ["date"])
 
 
+@query("run_state", """
+WITH l AS (SELECT d, n FROM (SELECT unnest(range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY))::DATE AS d)
+           LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1) USING (d))
+SELECT strftime(max(d) FILTER (WHERE n > 0), '%Y-%m-%d') AS last_extraction_date, sum(n)::BIGINT AS total_records_extracted,
+  count(*) AS processed_dates, count(*) FILTER (WHERE n IS NULL) AS empty_dates FROM l""")
+def run_state(spark, sf):
+    from ..plans.daily_load import run_state as state
+
+    counts = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
+        F.count("*").alias("records"))
+    planned = PL.plan_dates(spark, (date(1995, 1, 1), date(2001, 12, 31)))
+    log = planned.join(counts, "date", "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    return state(log).withColumn("last_extraction_date", F.date_format("last_extraction_date", "yyyy-MM-dd"))
+
+
 @query("last_processed", """
 SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders ORDER BY date DESC LIMIT 3""")
 def last_processed(spark, sf):

@@ -40,18 +40,18 @@ EXTRACTION_DATE = "extraction_date"
 PUBLICATION_DATE = "data_publicacao"
 CONSOLIDATION_DATE = "consolidation_date"
 
-# --- domain tables: key column, output column, label of an unknown code ----------------
-DOMAIN_LOOKUPS = {
-    "modalidade": ("modalidadeId", "modalidade_nome_dominio", "Modalidade %s"),
-    "modalidade_descricao": ("modalidadeId", "modalidade_descricao_dominio", "Modalidade não encontrada: %s"),
-    "situacao_compra": ("situacaoCompraId", "situacao_compra_nome_dominio", "Situação %s"),
-    "modo_disputa": ("modoDisputaId", "modo_disputa_nome_dominio", "Modo %s"),
-    "criterio_julgamento": ("criterioJulgamentoId", "criterio_julgamento_nome_dominio", "Critério %s"),
-    "instrumento_convocatorio": (
-        "instrumentoConvocatorioId", "instrumento_convocatorio_nome_dominio", "Instrumento %s"),
-    "esfera": ("orgaoEntidade.esferaId", "esfera_nome_dominio", "Esfera %s"),
-    "poder": ("orgaoEntidade.poderId", "poder_nome_dominio", "Poder %s"),
-}
+# --- look-ups: domain table, its column, key column, output column, label of an unknown code
+DOMAIN_LOOKUPS = [
+    ("modalidade", "name", "modalidadeId", "modalidade_nome_dominio", "Modalidade %s"),
+    ("modalidade", "description", "modalidadeId", "modalidade_descricao_dominio", "Modalidade não encontrada: %s"),
+    ("situacao_compra", "name", "situacaoCompraId", "situacao_compra_nome_dominio", "Situação %s"),
+    ("modo_disputa", "name", "modoDisputaId", "modo_disputa_nome_dominio", "Modo %s"),
+    ("criterio_julgamento", "name", "criterioJulgamentoId", "criterio_julgamento_nome_dominio", "Critério %s"),
+    ("instrumento_convocatorio", "name", "instrumentoConvocatorioId", "instrumento_convocatorio_nome_dominio",
+     "Instrumento %s"),
+    ("esfera", "name", "orgaoEntidade.esferaId", "esfera_nome_dominio", "Esfera %s"),
+    ("poder", "name", "orgaoEntidade.poderId", "poder_nome_dominio", "Poder %s"),
+]
 CATEGORY_FAMILIES = {
     "Licitação Tradicional": [3, 4, 5, 6, 7],
     "Leilão": [1, 13],

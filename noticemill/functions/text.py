@@ -114,8 +114,11 @@ def strip(c: Column | str) -> Column:
 
 
 def text_key(c: Column | str) -> Column:
-    """md5 of the lower-cased, stripped text: the key of a stored verdict."""
-    return F.md5(strip(F.lower(as_col(c))).cast("binary"))
+    """md5 of the lower-cased, stripped text: the key of a stored verdict. Null counts as empty.
+
+    The key is never null, so a join on it adds no null test that would hash the text twice.
+    """
+    return F.md5(strip(F.lower(F.coalesce(as_col(c), F.lit("")))).cast("binary"))
 
 
 def preview(c: Column | str, n: int) -> Column:

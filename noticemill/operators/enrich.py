@@ -15,33 +15,49 @@ from pyspark.sql import functions as F
 from ..functions.text import as_col
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], dim_key: str = "code") -> DataFrame:
+def lookup(
+    df: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], dim_key: str = "code", found: str | None = None
+) -> DataFrame:
     """Left look-up of ``columns`` (dim name to output name); ``key`` may reach into a struct.
 
-    The dim has one row per code. Rows without a partner keep null.
+    The dim has one row per code. Rows without a partner keep null; ``found`` names a
+    column that tells them from a known code without a value.
     """
     right = dim.select(
         F.col(dim_key).alias("_dim_key"), *[F.col(src).alias(f"_out_{out}") for src, out in columns.items()])
-    joined = df.join(right, F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
-    for out in columns.values():
-        joined = joined.withColumn(out, F.col(f"_out_{out}")).drop(f"_out_{out}")
-    return joined
+    joined = df.join(right, F.col(key) == F.col("_dim_key"), "left")
+    added = {out: F.col(f"_out_{out}") for out in columns.values()}
+    if found:
+        added[found] = F.col("_dim_key").isNotNull()
+    return joined.withColumns(added).drop("_dim_key", *[f"_out_{out}" for out in columns.values()])
+
+
+def _labelled(key: str, out: str, fallback: str) -> Column:
+    """The found value; the fallback with the code for an unknown code; null for a null code."""
+    code = F.col(key)
+    return F.when(F.col("_found"), F.col(out)).when(code.isNotNull(), F.format_string(fallback, code.cast("string")))
 
 
 def enrich(
     df: DataFrame, dim: DataFrame, key: str, out: str, fallback: str, name: str = "name", dim_key: str = "code"
 ) -> DataFrame:
     """Name of a code; an unknown code gets the labelled fallback, a null code null."""
-    found = lookup(df, dim, key, {name: out}, dim_key)
-    return found.withColumn(out, F.coalesce(F.col(out), F.format_string(fallback, F.col(key).cast("string")))) \
-        .withColumn(out, F.when(F.col(key).isNotNull(), F.col(out)))
+    joined = lookup(df, dim, key, {name: out}, dim_key, found="_found")
+    return joined.withColumn(out, _labelled(key, out, fallback)).drop("_found")
 
 
-def enrich_all(df: DataFrame, dims: Mapping[str, DataFrame], plan: Mapping[str, tuple[str, str, str]]) -> DataFrame:
-    """Every look-up of ``plan`` (name to key, output, fallback) whose dim is given and whose key exists."""
-    for name, (key, out, fallback) in plan.items():
-        if name in dims and key.split(".")[0] in df.columns:
-            df = enrich(df, dims[name], key, out, fallback)
+def enrich_all(df: DataFrame, dims: Mapping[str, DataFrame], plan: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Every look-up of ``plan`` (table, its column, key, output, fallback) whose table is given and whose key exists.
+
+    Look-ups in one table by one key share a join.
+    """
+    joins: dict[tuple[str, str], dict[str, tuple[str, str]]] = {}
+    for name, column, key, out, fallback in plan:
+        if name in dims and column in dims[name].columns and key.split(".")[0] in df.columns:
+            joins.setdefault((name, key), {})[column] = (out, fallback)
+    for (name, key), columns in joins.items():
+        df = lookup(df, dims[name], key, {column: out for column, (out, _) in columns.items()}, found="_found")
+        df = df.withColumns({out: _labelled(key, out, fallback) for out, fallback in columns.values()}).drop("_found")
     return df
 
 

@@ -73,40 +73,62 @@ def _constant(rows: list, kind: T.DataType) -> Column:
 
 
 def _first_of(df: DataFrame, folded: str, candidates: Column) -> DataFrame:
-    """Adds matched_group and matched_term: the candidate of least precedence found as a whole word."""
-    df = df.withColumn("_candidates", candidates)
+    """Adds matched_group and matched_term: the candidate of least precedence found as a whole word.
 
-    def proven(e: Column) -> Column:
-        # The substring test is cheap and rejects most phrases before the pattern runs.
-        return e["single"] | (F.contains(F.col(folded), e["folded"]) & F.rlike(F.col(folded), e["pattern"]))
+    A single word is proven by its anchor. A phrase is only looked for where it would come
+    before the best single word, and by substring before the pattern runs.
+    """
+    df = df.withColumn("_candidates", candidates).withColumn(
+        "_word", F.array_min(F.filter("_candidates", lambda e: e["single"])))
+    word, text = F.col("_word"), F.col(folded)
+
+    def better_phrase(e: Column) -> Column:
+        before = word.isNull() | (e["precedence"] < word["precedence"])
+        return ~e["single"] & before & F.contains(text, e["folded"]) & F.rlike(text, e["pattern"])
 
-    best = F.when(F.size("_candidates") > 0, F.array_min(F.filter("_candidates", proven)))
+    best = F.when(
+        F.size("_candidates") > 0, F.coalesce(F.array_min(F.filter("_candidates", better_phrase)), word))
     # One row in, one row out. As a generator's output the match is computed once: a later
     # filter on it is not pushed below and computed a second time.
     return (
         df.withColumn("_best", F.explode_outer(F.array(best)))
         .withColumn("matched_group", F.col("_best.grp"))
         .withColumn("matched_term", F.col("_best.term"))
-        .drop("_best", "_candidates")
+        .drop("_best", "_word", "_candidates")
     )
 
 
-def _match_inline(df: DataFrame, folded: str, rows: list, kind: T.StructType) -> DataFrame:
+def _bucket(word: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(buckets))
+
+
+def _match_inline(df: DataFrame, folded: str, entries: DataFrame, rows: list) -> DataFrame:
     """First match as a plain projection: no join and no shuffle, one look-up per hit word.
 
-    ``rows`` are the entries of a small lexicon; they become a constant of the plan.
+    ``rows`` are the entries of a small lexicon. They become a constant of the plan: an
+    array of small maps, addressed by the hash of the word, as a look-up in one large map
+    is a scan of its keys.
     """
-    by_anchor: dict[str, list[dict]] = {}
-    for r in rows:
-        entry = r.asDict(recursive=True)
-        by_anchor.setdefault(entry.pop("anchor"), []).append(entry)
-    unanchored = F.from_json(F.lit(json.dumps(by_anchor.pop("", []))), T.ArrayType(kind))
-    index = F.from_json(F.lit(json.dumps(by_anchor)), T.MapType(T.StringType(), T.ArrayType(kind)))
-    anchors = F.from_json(F.lit(json.dumps(sorted(by_anchor))), T.ArrayType(T.StringType()))
+    kind = T.StructType([
+        T.StructField("precedence", T.LongType()), *[entries.schema[f] for f in _FIELDS if f != "precedence"]])
+    buckets = max(len(rows), 1)
+    index: list[dict] = [{} for _ in range(buckets)]
+    unanchored = []
+    for rank, r in enumerate(sorted(rows, key=lambda r: tuple(r["precedence"]))):
+        entry = {f: r[f] for f in _FIELDS} | {"precedence": rank}
+        if r["anchor"]:
+            index[r["hash"] % buckets].setdefault(r["anchor"], []).append(entry)
+        else:
+            unanchored.append(entry)
+    words_to_entries = T.ArrayType(T.MapType(T.StringType(), T.ArrayType(kind)))
+    table = F.from_json(F.lit(json.dumps(index)), words_to_entries)
+    loose = F.from_json(F.lit(json.dumps(unanchored)), T.ArrayType(kind))
+    anchors = F.from_json(
+        F.lit(json.dumps(sorted({r["anchor"] for r in rows if r["anchor"]}))), T.ArrayType(T.StringType()))
 
     hit_words = df.withColumn("_hits", F.array_intersect(words(folded), anchors))
-    candidates = F.concat(F.flatten(F.transform("_hits", lambda w: index[w])), unanchored)
-    return _first_of(hit_words, folded, candidates).drop("_hits")
+    found = F.transform("_hits", lambda w: F.try_element_at(F.get(table, _bucket(w, buckets).cast("int")), w))
+    return _first_of(hit_words, folded, F.concat(F.flatten(found), loose)).drop("_hits")
 
 
 def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str) -> DataFrame:
@@ -141,9 +163,10 @@ def match_lexicon(
     """
     entries = prepare_entries(lexicon).withColumnRenamed("group", "grp")
     df = df.withColumn("_folded", fold_text(text))
-    rows = entries.select(*_FIELDS, "anchor").limit(inline_bound + 1).collect()
+    hashed = entries.select(*_FIELDS, "anchor", F.xxhash64("anchor").alias("hash"))
+    rows = hashed.limit(inline_bound + 1).collect()
     if len(rows) <= inline_bound:
-        return _match_inline(df, "_folded", rows, entries.select(*_FIELDS).schema).drop("_folded")
+        return _match_inline(df, "_folded", entries, rows).drop("_folded")
     if id_col is None:
         raise ValueError("a lexicon above the inline bound needs id_col")
     return _match_joined(df, "_folded", entries, id_col).drop("_folded")

@@ -94,13 +94,17 @@ def trailing_requests(
     """
     span = seconds * 1_000_000
     chunk = max(chunk_seconds * 1_000_000, span)
+
+    def chunk_of(us: Column) -> Column:
+        return us - F.pmod(us, F.lit(chunk))
+
     points = (
         df.groupBy(F.col(client).alias("client"), F.col(ts).alias("ts")).agg(F.count("*").alias("requests"))
         .withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-        .withColumn("_chunk", F.floor(F.col("_us") / chunk))
+        .withColumn("_chunk", chunk_of(F.col("_us")))
     )
-    next_chunk = F.floor((F.col("_us") + span - 1) / chunk)
-    homes = F.when(next_chunk > F.col("_chunk"), F.array(F.col("_chunk"), next_chunk)).otherwise(F.array("_chunk"))
+    reaches = chunk_of(F.col("_us") + (span - 1))
+    homes = F.when(reaches > F.col("_chunk"), F.array(F.col("_chunk"), reaches)).otherwise(F.array("_chunk"))
     spread = points.withColumn("_home", F.explode(homes))
     w = Window.partitionBy("client", "_home").orderBy("_us").rangeBetween(-(span - 1), 0)
     return (

@@ -71,12 +71,17 @@ def compact_months(
     )
     # One row per calendar day: a small list by nature.
     folders = sorted((r["year"], r["month"], r["day"]) for r in old_days.select("year", "month", "day").collect())
+    months = [(y, m) for y, m, _ in folders]
+    if not months:
+        return spark.createDataFrame([], "year int, month int, days bigint")
+    if monthly is not None:
+        # Folder filter: months that are not compacted are not read.
+        monthly = monthly.where(F.struct("year", "month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in sorted(set(months))]))
     result = compacted(daily, monthly, run_ts, older_than_days, keys, order, require_all)
     result.write.parquet(staging)
     write_monthly(read_dataset(spark, staging), consolidated)
     for year, month, day in folders:
         delete_path(spark, f"{raw}/year={year}/month={month}/day={day}")
-    months = [(y, m) for y, m, _ in folders]
     return spark.createDataFrame(
         [(y, m, months.count((y, m))) for y, m in sorted(set(months))], "year int, month int, days bigint")
 

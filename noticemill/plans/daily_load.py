@@ -29,6 +29,17 @@ def last_loaded(processed: DataFrame) -> date | None:
     return processed.where("records > 0").agg(F.max("date")).first()[0]
 
 
+def run_state(log: DataFrame) -> DataFrame:
+    """One row on a log of (date, records): last date with records, all records, processed and empty dates."""
+    loaded = F.col("records") > 0
+    return log.agg(
+        F.max(F.when(loaded, F.col("date"))).alias("last_extraction_date"),
+        F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("total_records_extracted"),
+        F.count("date").alias("processed_dates"),
+        F.count(F.when(~loaded, F.lit(1))).alias("empty_dates"),
+    )
+
+
 def run_daily_load(
     spark: SparkSession,
     store: str,

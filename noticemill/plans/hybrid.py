@@ -58,7 +58,9 @@ def hybrid_filter(
         included, reason, hybrid = passed, F.when(passed, alone).otherwise(rejected), F.lit(False)
         details = merge_right(first, {"filtro_hibrido": F.when(passed, hybrid)})
     else:
-        keyed = staged.withColumn("_join_key", text_key(text))
+        # Key and previews are cut before the join, so that the text itself only travels where
+        # the caller asks for it.
+        keyed = staged.withColumn("_join_key", text_key(text)).withColumn("_long_preview", preview(text, 200))
         if not kept_only:
             # A row that needs no verdict gets a key that no verdict has and that differs from
             # row to row; one shared null key would send all such rows to one task. It is a
@@ -85,12 +87,12 @@ def hybrid_filter(
             "llm_categoria": F.when(second, F.coalesce("_v_categoria", F.lit(""))),
             "llm_confianca": F.when(second, confidence),
             "llm_justificativa": F.when(second, F.coalesce("_v_justificativa", F.lit(""))),
-            "objetivo_compra": F.when(second, preview(text, 200)),
+            "objetivo_compra": F.when(second, F.col("_long_preview")),
             "filtro_etapa1_motivo": F.when(second, F.col("stage1_reason")),
             "filtro_etapa2_motivo": F.when(second, verdict_reason),
             "filtro_hibrido": F.when(passed, second),
         })
     out = out.withColumn("included", included).withColumn("reason", reason).withColumn("details", details)
-    drop = ["_join_key", "_verdict_key", "stage1_reason", "criterion", "preview"]
+    drop = ["_join_key", "_verdict_key", "_long_preview", "stage1_reason", "criterion", "preview"]
     out = out.drop(*drop, *[f"_v_{c}" for c in VERDICT_COLUMNS])
     return out.where("included") if kept_only else out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ def record_pipeline(
     lexicon: DataFrame,
     dims: Mapping[str, DataFrame],
     verdicts: DataFrame | None = None,
-    lookups: Mapping[str, tuple[str, str, str]] = V.DOMAIN_LOOKUPS,
+    lookups: Sequence[tuple[str, str, str, str, str]] = tuple(V.DOMAIN_LOOKUPS),
     structs: Mapping[str, T.StructType] = RECORD_STRUCTS,
     arrays: Mapping[str, T.StructType] = RECORD_ARRAYS,
     on_missing: str = "reject",

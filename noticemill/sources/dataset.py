@@ -68,6 +68,12 @@ def count_from_file(df: DataFrame, name_part: str) -> DataFrame:
     return df.where(F.contains(F.col("_metadata.file_path"), F.lit(name_part))).agg(F.count("*").alias("total_records"))
 
 
+def newest_files(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """The n files changed last, with time and size; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "modificationTime", "length").orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
+
+
 def with_control_columns(df: DataFrame, run_ts: Column, day: Column | str) -> DataFrame:
     """Adds the run's clock and the publication date as ISO text."""
     day = F.col(day) if isinstance(day, str) else day

@@ -132,6 +132,16 @@ def test_stream_load_is_incremental(spark, tmp_path):
     assert run() == [1, 2, 5]
 
 
+def test_newest_files(spark, tmp_path):
+    import os
+
+    for i in range(7):
+        (tmp_path / f"f{i}").write_text("x" * i)
+        os.utime(tmp_path / f"f{i}", (1000 + i, 1000 + i))
+    got = DS.newest_files(spark, str(tmp_path), 5)
+    assert [p[-2:] for p in column(got, "path")] == ["f6", "f5", "f4", "f3", "f2"]
+
+
 def test_work_folder_is_the_sessions_own(spark):
     from noticemill.session import work_path, work_root
 
