@@ -130,15 +130,17 @@ def struct_fill(spark, sf):
 
 @query("array_fill", """
 WITH e AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, i FROM lineitem, (VALUES (0), (1), (2)) v(i) WHERE l_linenumber % 4 <> 0)
+  SELECT l_orderkey, l_linenumber, l_partkey, i FROM lineitem, (VALUES (0), (1), (2)) v(i)
+  WHERE l_returnflag <> 'A')  -- the array of these rows is null and becomes empty
 SELECT l_orderkey, l_linenumber, l_partkey, i::BIGINT AS position,
   CASE WHEN i <> 1 THEN l_partkey + i END AS codigo, CASE WHEN i <> 1 THEN 'F' || i END AS nome, NULL::VARCHAR AS descricao
 FROM e""")
 def array_fill(spark, sf):
-    element = lambda i: F.struct(
-        (F.col("l_partkey") + i).alias("codigo"), F.lit(f"F{i}").alias("nome"))
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").withColumn(
-        "fontes", F.when(F.col("l_linenumber") % 4 != 0, F.array(element(0), F.lit(None), element(2))))
+    def element(i):
+        return F.struct((F.col("l_partkey") + i).alias("codigo"), F.lit(f"F{i}").alias("nome"))
+
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").withColumn(
+        "fontes", F.when(F.col("l_returnflag") != "A", F.array(element(0), F.lit(None), element(2))))
     filled = N.fill_struct_array(items, "fontes", S.BUDGET_SOURCE)
     return filled.select("l_orderkey", "l_linenumber", "l_partkey", F.posexplode("fontes").alias("position", "e")).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("position").cast("bigint").alias("position"),

@@ -366,7 +366,9 @@ def daily_load(spark, sf):
     from ..plans.daily_load import LOG_SCHEMA, run_daily_load
 
     store = work_path(spark, "store")
-    keep = lambda df: df.where("event_type <> 'error'")
+    def keep(df):
+        return df.where("event_type <> 'error'")
+
     for run, catch_up in ((datetime(2024, 1, 10, 6), False), (datetime(2024, 2, 5, 6), True), (datetime(2024, 2, 5, 6), True)):
         run_daily_load(
             spark, store, event_days(spark, sf), "event_day", keep, run, date(2024, 1, 1), catch_up=catch_up)
@@ -430,7 +432,10 @@ def stream_incremental(spark, sf):
     from ..streaming.incremental import load_new_files
 
     target, checkpoint = work_path(spark, "loaded"), work_path(spark, "loaded-checkpoint")
-    keep = lambda df: df.where("event_type <> 'error'").withColumn("event_day", F.col("ts").cast("date"))
+
+    def keep(df):
+        return df.where("event_type <> 'error'").withColumn("event_day", F.col("ts").cast("date"))
+
     for _ in range(2):  # the second run finds no new file
         load_new_files(event_stream(spark, sf), keep, "event_day", target, checkpoint)
     return DS.read_dataset(spark, target).groupBy(F.date_format("event_day", "yyyy-MM-dd").alias("day"), "event_type").agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .. import fixed_values as V
 from ..functions.text import fold_text, glob_parse, has_word, is_empty_text, preview, text_key
 from ..operators import lexicon as L
 from ..operators import prompts as P
@@ -238,8 +237,9 @@ def cache(spark, sf):
     stored = F.lit(RUN_TS).cast("timestamp_ntz") - F.make_dt_interval(hours=(F.col("doc_id") % 60).cast("int"))
     return docs.join(labels, "doc_id").select(
         text_key("text").alias("key"), F.expr(RESPONSE).alias("response"),
+        stored.alias("stored_at"),
         # The row's id breaks ties of two verdicts stored in the same hour.
-        (stored.alias("stored_at")), F.col("doc_id").alias("cache_id"))
+        F.col("doc_id").alias("cache_id"))
 
 
 def newest_fresh(spark, sf):

@@ -69,11 +69,8 @@ def build_star(contracts: DataFrame) -> dict[str, DataFrame]:
 
 
 def associate(fact: DataFrame, dim: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """Left join of a dimension by shared column names, or by fact name to dim name; null keys match each other."""
+    """Left join of a dimension by shared column names, or by fact name to dim name; a null key has no partner."""
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     right = dim.select(*[F.col(d).alias(f"_k_{d}") if d in pairs.values() else F.col(d) for d in dim.columns])
-    cond = None
-    for f, d in pairs.items():
-        test = fact[f].eqNullSafe(right[f"_k_{d}"])
-        cond = test if cond is None else cond & test
-    return fact.join(right, cond, "left").drop(*[f"_k_{d}" for d in pairs.values()])
+    tests = [fact[f] == right[f"_k_{d}"] for f, d in pairs.items()]
+    return fact.join(right, tests, "left").drop(*[f"_k_{d}" for d in pairs.values()])

@@ -6,16 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as V
 from ..functions.dates import is_older_than
 from ..operators.dedup import dedup_keep_last, union_all
 from ..session import work_path
-from ..sources.dataset import delete_path, path_exists, read_dataset, write_monthly
+from ..sources.dataset import delete_folder, path_exists, read_dataset, write_monthly
 
 
 def with_partition_date(df: DataFrame, out: str = "file_date") -> DataFrame:
-    """Date of the folders a row comes from; a month folder counts as its first day."""
+    """Date of the folders a row comes from; a month folder counts as its first day.
+
+    A date the frame has already (one found in file names) stays.
+    """
+    if out in df.columns:
+        return df
     day = F.col("day") if "day" in df.columns else F.lit(1)
     return df.withColumn(out, F.make_date("year", "month", day))
 
@@ -55,22 +61,25 @@ def compacted(
 def compact_months(
     spark: SparkSession, store: str, run_ts: Column, older_than_days: int,
     keys: Sequence[str] = V.MONTH_DEDUP_KEYS, order: Sequence[str] = (), require_all: bool = True,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Compacts old daily folders of ``store``/raw-data into ``store``/consolidated and removes them.
 
     The result is staged first (an old month is among its own inputs), then replaces the
     months, and only after that the old day folders go. Returns the months and their days.
+    Without a declared ``schema`` the columns of all files are taken together.
     """
     raw, consolidated, staging = f"{store}/raw-data", f"{store}/consolidated", work_path(spark, "compact")
-    daily = read_dataset(spark, raw)
-    monthly = read_dataset(spark, consolidated) if path_exists(spark, consolidated) else None
+    daily = read_dataset(spark, raw, schema, all_columns=True)
+    monthly = read_dataset(spark, consolidated, schema, all_columns=True) if path_exists(spark, consolidated) else None
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     old_days = (
-        with_partition_date(daily.select("year", "month", "day"))
+        with_partition_date(daily.select("year", "month", "day", folder.alias("folder")))
         .where(is_older_than("file_date", run_ts, older_than_days))
         .distinct()
     )
-    # One row per calendar day: a small list by nature.
-    folders = sorted((r["year"], r["month"], r["day"]) for r in old_days.select("year", "month", "day").collect())
+    # One row per day folder: a small list by nature.
+    folders = sorted((r["year"], r["month"], r["folder"]) for r in old_days.collect())
     months = [(y, m) for y, m, _ in folders]
     if not months:
         return spark.createDataFrame([], "year int, month int, days bigint")
@@ -79,9 +88,9 @@ def compact_months(
         monthly = monthly.where(F.struct("year", "month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in sorted(set(months))]))
     result = compacted(daily, monthly, run_ts, older_than_days, keys, order, require_all)
     result.write.parquet(staging)
-    write_monthly(read_dataset(spark, staging), consolidated)
-    for year, month, day in folders:
-        delete_path(spark, f"{raw}/year={year}/month={month}/day={day}")
+    write_monthly(spark.read.parquet(staging), consolidated)
+    for _, _, uri in folders:
+        delete_folder(spark, uri)
     return spark.createDataFrame(
         [(y, m, months.count((y, m))) for y, m in sorted(set(months))], "year int, month int, days bigint")
 
@@ -101,16 +110,18 @@ def history(
 
 def rebuild_history(
     spark: SparkSession, store: str, run_ts: Column, keys: Sequence[str] = V.HISTORY_DEDUP_KEYS,
-    order: Sequence[str] = (), require_all: bool = True,
+    order: Sequence[str] = (), require_all: bool = True, schema: T.StructType | None = None,
 ) -> bool:
     """Writes the whole history to ``store``/history; False where there is nothing to read.
 
+    Without a declared ``schema`` the columns of all files are taken together.
+
     Its folder is never among the inputs, so it can be rebuilt any number of times.
     """
     sources = [p for p in (f"{store}/consolidated", f"{store}/raw-data") if path_exists(spark, p)]
     if not sources:
         return False
-    frames = [with_partition_date(read_dataset(spark, p)) for p in sources]
+    frames = [with_partition_date(read_dataset(spark, p, schema, all_columns=True)) for p in sources]
     rows = history(frames, run_ts, keys, ["file_date", *order], require_all).drop("file_date", "day")
     rows.write.mode("overwrite").parquet(f"{store}/history")
     return True

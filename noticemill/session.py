@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # A lexicon at or below this many entries is planned as a constant; a larger one is joined.
 MAX_INLINE_ENTRIES = 2000
@@ -35,24 +36,25 @@ def build_session(master: str | None = None, app_name: str = "noticemill", **con
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=None)
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="noticemill-")
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test run) a temporary folder is set.
+    Where the session names none, a local session (a test run) gets a temporary folder; on
+    a cluster, whose machines do not share one, that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="noticemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared work folder."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def row_count_up_to(df: DataFrame, bound: int) -> int | None:
-    """Number of rows when it is at most ``bound``, else None; reads at most bound + 1 rows."""
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None

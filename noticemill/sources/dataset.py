@@ -19,14 +19,16 @@ MONTH_PARTITIONS = ("year", "month")
 
 def read_dataset(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
-    base_path: str | None = None, skip_corrupt: bool = False,
+    base_path: str | None = None, skip_corrupt: bool = False, all_columns: bool = False,
 ) -> DataFrame:
     """Scan of a partitioned dataset; filters on the folder columns prune folders.
 
-    A declared schema is used as it is. Unreadable files fail the job unless
-    ``skip_corrupt`` is set.
+    A declared schema is used as it is. Without one the columns are those of one file, or
+    with ``all_columns`` of all files together, for which every footer is read. Unreadable
+    files fail the job unless ``skip_corrupt`` is set.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    reader = reader.option("mergeSchema", str(all_columns and schema is None).lower())
     if base_path:
         reader = reader.option("basePath", base_path)
     if schema is not None:
@@ -39,8 +41,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+def delete_folder(spark: SparkSession, uri: str) -> bool:
+    """Deletes a folder given as it stands in ``_metadata.file_path`` (an encoded URI)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 

@@ -27,7 +27,7 @@ def upsert_json(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     Nothing is read back, so running it twice changes nothing.
     """
     (
-        df.repartition(*keys)
+        df.hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.dates import bin_start
 from ..functions.text import glob_parse
 
 
@@ -37,6 +36,3 @@ def alert_bins(
         .select(F.col("window.start").alias("bin"), "value")
     )
     return sums.where(F.col("value") > threshold if comparison == ">" else F.col("value") >= threshold)
-
-
-__all__ = ["usage_bins", "alert_bins", "bin_start"]

@@ -79,6 +79,29 @@ def test_compaction(spark, tmp_path):
     assert not C.rebuild_history(spark, str(tmp_path / "none"), ts("2024-02-25 00:00:00"))
 
 
+def test_files_with_different_columns_and_padded_folders(spark, tmp_path):
+    """Columns of all files are kept, and folders are removed as they are named."""
+    store = str(tmp_path / "my store")
+    raw = f"{store}/raw-data"
+    rows(spark, ROWS[:1]).drop("d").write.parquet(f"{raw}/year=2024/month=01/day=30")
+    rows(spark, ROWS[1:2]).select("id", F.lit(5.0).alias("extra")).write.parquet(f"{raw}/year=2024/month=01/day=31")
+    C.compact_months(spark, store, ts("2024-03-25 00:00:00"), 20, ["id"])
+    got = DS.read_dataset(spark, f"{store}/consolidated").orderBy("id").select("id", "v", "extra", "month").collect()
+    assert [tuple(r) for r in got] == [(1, "a", None, 1), (2, None, 5.0, 1)]
+    assert not list((tmp_path / "my store" / "raw-data").rglob("*.parquet"))
+
+
+def test_compaction_of_named_files(spark, tmp_path):
+    """Days told apart by file names instead of folders."""
+    for day, data in (("30", [(1, "a"), (2, "b")]), ("31", [(1, "c")])):
+        spark.createDataFrame(data, "id int, v string").write.parquet(
+            f"{tmp_path}/year=2024/month=1/contratos_202401{day}.parquet")
+    files = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path))
+    daily = DS.with_file_date(files).withColumns({"year": F.year("file_date"), "month": F.month("file_date")})
+    out = C.compacted(daily, None, ts("2024-03-25 00:00:00"), 20, ["id"])
+    assert sorted((r["id"], r["v"]) for r in out.collect()) == [(1, "c"), (2, "b")]
+
+
 def test_compaction_without_keys(spark):
     daily = rows(spark).withColumns({"year": F.year("d"), "month": F.month("d"), "day": F.dayofmonth("d")})
     run = ts("2025-01-01 00:00:00")
