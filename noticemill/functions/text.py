@@ -80,6 +80,12 @@ def words(folded: Column | str) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), ascii_runs).otherwise(all_runs)
 
 
+def gaps(folded: Column | str) -> Column:
+    """The runs of other characters that stand between two words of a text."""
+    other = WORD_CHAR.replace("[", "[^", 1)
+    return F.regexp_extract_all(as_col(folded), F.lit(f"(?<={WORD_CHAR}){other}+(?={WORD_CHAR})"), F.lit(0))
+
+
 def word_pattern(term: Column | str) -> Column:
     """Pattern that finds a literal term with a word boundary at both ends.
 

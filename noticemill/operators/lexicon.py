@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as V
-from ..functions.text import as_col, fold_text, is_empty_text, preview, word_pattern, words
+from ..functions.text import as_col, fold_text, gaps, is_empty_text, preview, word_pattern, words
 from ..session import MAX_INLINE_ENTRIES
 
 
@@ -52,24 +52,27 @@ def prepare_entries(lexicon: DataFrame) -> DataFrame:
     """Lexicon entries with folded form, pattern and anchor.
 
     The anchor is the longest word of the entry: a text can only hold the entry if that
-    word is among its words. An entry that is a single word is proven by its anchor.
+    word is among its words. An entry without any word character (is_gap) can only stand as
+    the whole gap between two words and is its own anchor. An entry that equals its anchor
+    is proven by it.
     """
     e = explode_lexicon(lexicon).withColumn("folded", fold_text("term")).where(F.col("folded") != "")
-    runs = words("folded")
-    longest = F.array_max(F.transform(runs, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))
+    longest = F.array_max(
+        F.transform(words("folded"), lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
     return (
-        e.withColumn("anchor", F.coalesce(longest["w"], F.lit("")))
+        e.withColumn("is_gap", longest.isNull())
+        .withColumn("anchor", F.coalesce(longest, F.col("folded")))
         .withColumn("single", F.col("anchor") == F.col("folded"))
         .withColumn("pattern", word_pattern("folded"))
     )
 
 
-_FIELDS = ("precedence", "grp", "term", "single", "folded", "pattern")
+def _anchors_of(folded: str, with_gaps: bool) -> Column:
+    """Words of a text and, where the lexicon needs them, the gaps between its words."""
+    return F.concat(words(folded), gaps(folded)) if with_gaps else words(folded)
 
 
-def _constant(rows: list, kind: T.DataType) -> Column:
-    """A small set of rows as one constant array of the plan."""
-    return F.from_json(F.lit(json.dumps([r.asDict(recursive=True) for r in rows])), T.ArrayType(kind))
+_FIELDS = ("precedence", "grp", "term", "single", "folded", "pattern")
 
 
 def _first_of(df: DataFrame, folded: str, candidates: Column) -> DataFrame:
@@ -113,22 +116,17 @@ def _match_inline(df: DataFrame, folded: str, entries: DataFrame, rows: list) ->
         T.StructField("precedence", T.LongType()), *[entries.schema[f] for f in _FIELDS if f != "precedence"]])
     buckets = max(len(rows), 1)
     index: list[dict] = [{} for _ in range(buckets)]
-    unanchored = []
     for rank, r in enumerate(sorted(rows, key=lambda r: tuple(r["precedence"]))):
         entry = {f: r[f] for f in _FIELDS} | {"precedence": rank}
-        if r["anchor"]:
-            index[r["hash"] % buckets].setdefault(r["anchor"], []).append(entry)
-        else:
-            unanchored.append(entry)
-    words_to_entries = T.ArrayType(T.MapType(T.StringType(), T.ArrayType(kind)))
-    table = F.from_json(F.lit(json.dumps(index)), words_to_entries)
-    loose = F.from_json(F.lit(json.dumps(unanchored)), T.ArrayType(kind))
-    anchors = F.from_json(
-        F.lit(json.dumps(sorted({r["anchor"] for r in rows if r["anchor"]}))), T.ArrayType(T.StringType()))
-
-    hit_words = df.withColumn("_hits", F.array_intersect(words(folded), anchors))
+        index[r["hash"] % buckets].setdefault(r["anchor"], []).append(entry)
+    table = F.from_json(
+        F.lit(json.dumps(index)), T.ArrayType(T.MapType(T.StringType(), T.ArrayType(kind))))
+    anchors = F.from_json(F.lit(json.dumps(sorted({r["anchor"] for r in rows}))), T.ArrayType(T.StringType()))
+
+    in_text = _anchors_of(folded, any(r["is_gap"] for r in rows))
+    hits = df.withColumn("_hits", F.array_intersect(in_text, anchors))
     found = F.transform("_hits", lambda w: F.try_element_at(F.get(table, _bucket(w, buckets).cast("int")), w))
-    return _first_of(hit_words, folded, F.concat(F.flatten(found), loose)).drop("_hits")
+    return _first_of(hits, folded, F.flatten(found)).drop("_hits")
 
 
 def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str) -> DataFrame:
@@ -138,19 +136,10 @@ def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str) -
     many texts share is a skewed key on the text side only, which adaptive execution
     splits. Candidates of a text are at most the entries anchored in its own words.
     """
-    kind = entries.select(*_FIELDS).schema
-    loose = entries.where(F.col("anchor") == "").select(*_FIELDS).limit(MAX_INLINE_ENTRIES + 1).collect()
-    if len(loose) > MAX_INLINE_ENTRIES:
-        raise ValueError("too many lexicon entries without a word character")
-    tokens = df.select(id_col, F.explode(F.array_distinct(words(folded))).alias("anchor"))
-    anchored = (
-        tokens.join(entries.where(F.col("anchor") != ""), "anchor")
-        .groupBy(id_col)
-        .agg(F.collect_list(F.struct(*_FIELDS)).alias("_anchored"))
-    )
-    empty = F.from_json(F.lit("[]"), T.ArrayType(kind))
-    candidates = F.concat(F.coalesce("_anchored", empty), _constant(loose, kind))
-    return _first_of(df.join(anchored, id_col, "left"), folded, candidates).drop("_anchored")
+    in_text = _anchors_of(folded, not entries.where("is_gap").isEmpty())
+    tokens = df.select(id_col, F.explode(F.array_distinct(in_text)).alias("anchor"))
+    anchored = tokens.join(entries, "anchor").groupBy(id_col).agg(F.collect_list(F.struct(*_FIELDS)).alias("_anchored"))
+    return _first_of(df.join(anchored, id_col, "left"), folded, F.col("_anchored")).drop("_anchored")
 
 
 def match_lexicon(
@@ -163,7 +152,7 @@ def match_lexicon(
     """
     entries = prepare_entries(lexicon).withColumnRenamed("group", "grp")
     df = df.withColumn("_folded", fold_text(text))
-    hashed = entries.select(*_FIELDS, "anchor", F.xxhash64("anchor").alias("hash"))
+    hashed = entries.select(*_FIELDS, "anchor", "is_gap", F.xxhash64("anchor").alias("hash"))
     rows = hashed.limit(inline_bound + 1).collect()
     if len(rows) <= inline_bound:
         return _match_inline(df, "_folded", entries, rows).drop("_folded")

@@ -12,13 +12,14 @@ GROUPS = {
     "CANETAS": ["caneta azul", "marca-texto", "bloco"],
     "TINTAS": ["bastão", "cola  quente"],
     "VAZIO": [],
-    "++": ["c++", "+++"],
+    "++": ["c++", "+++", " / "],
     "CABOS": ["cabo", "ção"],
 }
 TEXTS = [
     "Aquisição de PAPEL e caneta azul", "caneta AZUL", "papel", "papelaria e blocos", "bloco", "um vazio qualquer",
     "cola quente", "cola  quente", "linguagem c++ x", "linguagem c++x", "x+++y", "BASTAO", "marca texto", "marca-texto", "",
     None, "   ", "cabo_1", "cabo1 e cabo", "ação", "ção", "papel² sulfite", "papel sulfite²", "tintas canetas", "évazio",
+    "x +++ y", "+++y", "x+++", "a / b", "a /b", "x++y", "x\n++\ny", "c++ x++y",
 ]
 
 
