@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from noticemill.llm.chat import fold_events, read_back, render
 from noticemill.llm.common import table
 from noticemill.llm.exact_dedup import exact_groups
+from noticemill.llm.packing import pack_documents
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), capacity=2048, vocabulary="byte_bpe_50k", end_id=0)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

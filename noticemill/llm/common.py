@@ -47,3 +47,13 @@ def id_crc(column: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "32m") -> None:
+    """Bounds what one Arrow batch holds, by rows and by bytes, so that very long texts don't add up."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
