@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticemill.llm.chat import fold_events, read_back, render
-from noticemill.llm.common import table
+from noticemill.llm.common import id_crc, table
 from noticemill.llm.exact_dedup import exact_groups
+from noticemill.llm.language_id import identify, learn_profiles
+from noticemill.llm.mixing import mix
 from noticemill.llm.packing import pack_documents
 
 
@@ -20,6 +22,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), capacity=2048, vocabulary="byte_bpe_50k", end_id=0)
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(id_crc(F.col("doc_id")), F.lit(4)) == 2
+    found = identify(docs, learn_profiles(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
