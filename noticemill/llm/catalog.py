@@ -15,6 +15,7 @@ from noticemill.llm.common import id_crc, table
 from noticemill.llm.exact_dedup import exact_groups
 from noticemill.llm.language_id import identify, learn_profiles
 from noticemill.llm.mixing import mix
+from noticemill.llm.near_dedup import near_groups
 from noticemill.llm.packing import pack_documents
 
 
@@ -45,6 +46,10 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
