@@ -17,12 +17,26 @@ from noticemill.llm.language_id import identify, learn_profiles
 from noticemill.llm.mixing import mix
 from noticemill.llm.near_dedup import near_groups
 from noticemill.llm.packing import pack_documents
+from noticemill.llm.toxicity import learn, score
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), capacity=2048, vocabulary="byte_bpe_50k", end_id=0)
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Learned from the labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(F.pmod(id_crc(F.col("doc_id")), F.lit(5)) != 0)
+    return learn(docs, labels, max_rows=40_000)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (F.pmod(id_crc(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
