@@ -14,6 +14,7 @@ from noticemill.llm.chat import fold_events, read_back, render
 from noticemill.llm.common import id_crc, table
 from noticemill.llm.exact_dedup import exact_groups
 from noticemill.llm.language_id import identify, learn_profiles
+from noticemill.llm.lm_scoring import score_texts
 from noticemill.llm.mixing import mix
 from noticemill.llm.near_dedup import near_groups
 from noticemill.llm.packing import pack_documents
@@ -37,6 +38,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, F.pmod(id_crc(F.col("doc_id")), F.lit(7)) == 2, order=5, max_nodes=1_500_000)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
