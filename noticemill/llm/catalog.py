@@ -17,6 +17,7 @@ from noticemill.llm.language_id import identify, learn_profiles
 from noticemill.llm.lm_scoring import score_texts
 from noticemill.llm.mixing import mix
 from noticemill.llm.near_dedup import near_groups
+from noticemill.llm.neighbours import nearest
 from noticemill.llm.packing import pack_documents
 from noticemill.llm.toxicity import learn, score
 
@@ -106,6 +107,10 @@ FROM rows GROUP BY conv_id
 """
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

@@ -4,7 +4,8 @@ SuperMinHash gives every shingle one random permutation of the slots instead of
 within it are correlated, so estimates vary less, and a document is done as soon as no later rank
 could lower a slot. Documents with equal sets become one class. Each bucket links its classes to one
 leader only; most of a group is joined by these few links. Classes of a bucket that are still apart afterwards are
-then compared across what remains, so no link between different sets that share a bucket is lost.
+then compared with each other, but for pairs whose unshared shingles rule a link out; so no
+link between different sets that share a bucket is lost.
 """
 
 from __future__ import annotations
@@ -133,6 +134,21 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return with_b.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
 
 
+def unshared_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """``doc_id, unshared``: how many shingles of a document no other document of ``texts`` has; without those that have none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
+        for batch in batches:
+            sets = [shingles(t, width, words) for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": np.repeat(batch["doc_id"].to_numpy(), [len(s) for s in sets]),
+                                "shingle": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)})
+
+    rows = texts.select("doc_id", "text").mapInPandas(run, "doc_id long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).filter("doc_id = last")
+    return alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("unshared"))
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 6,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
@@ -165,10 +181,16 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     open_rows = written(placed.join(split.select("bucket"), "bucket", "left_semi"), "open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+    own = unshared_shingles(texts.join(open_rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width)
+    # What a pair can share is at most what neither has for itself alone.
+    bounded = open_rows.join(own, open_rows["rep"] == own["doc_id"], "left").select(
+        "bucket", "rep", "component", "n_shingles", (F.col("n_shingles") - F.coalesce("unshared", F.lit(0))).alias("shareable"))
+    bounded = written(bounded.filter(100 * F.col("shareable") >= percent * F.col("n_shingles")), "bounded")
+    x, y = bounded.alias("x"), bounded.alias("y")
+    overlap = F.least("x.shareable", "y.shareable")
     apart = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") > F.col("y.rep"))
                    & (F.col("x.component") != F.col("y.component"))
-                   & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")))
+                   & (100 * overlap >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - overlap)))
     pairs = apart.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = verified(pairs, texts, width, percent)
     grouped = components(links.union(more))
