@@ -55,10 +55,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document stays; rows that repeat an id and a text become one row.
 
-    A null id takes part like any other value.
+    Rows with a null id stay only if all rows of their text have none.
     """
-    stay = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return (
-        docs.join(stay, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-        .dropDuplicates([id_col, text_col])
-    )
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    stay = exact_groups(docs, id_col, text_col).filter("kept").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")).distinct()
+    rows = docs.withColumn("__id", key).withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
+    return rows.join(stay, "__id", "left_semi").dropDuplicates(["__id", "__text"]).select(*[F.col(c) for c in docs.columns])

@@ -200,3 +200,11 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     return nodes.join(by_class, "set_key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose document has the smallest id of its group; takes ``near_groups``' options."""
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    stay = near_groups(docs, id_col=id_col, **options).filter("kept").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")).distinct()
+    return docs.withColumn("__id", key).join(stay, "__id", "left_semi").select(*[F.col(c) for c in docs.columns])

@@ -104,7 +104,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
 
     ``is_query`` is a condition on ``vec_id``. The forest is fitted on at most ``sample_rows`` rows (those
     whose ids hash lowest) down to about ``leaf_rows`` of them a leaf; every row is indexed.
-    ``visit_share`` of all leaves are visited per query. Of equal vectors only the ``k + 1`` with the smallest ids can be
+    ``visit_share`` of all leaves, twice as many as trees at least, are visited per query. Of equal vectors only the ``k + 1`` with the smallest ids can be
     in an answer, so these stand for all. Nearest first, ties to the smaller id; a query is no neighbour of itself.
     """
     spark = rows.sparkSession
@@ -117,7 +117,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
     x = x / np.abs(x).max(1, keepdims=True) if len(x) else x
     x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x
     depth = max(1, int(np.ceil(np.log2(max(2, len(x)) / leaf_rows)))) if len(x) > leaf_rows else 1
-    visit = max(k, int(np.ceil(visit_share * trees * (1 << depth))))
+    visit = max(k, 2 * trees, int(np.ceil(visit_share * trees * (1 << depth))))
     forest = spark.sparkContext.broadcast(Forest(x, trees, depth, seed))
 
     def led(batches: Iterator[pd.DataFrame], visits: int = 0) -> Iterator[pd.DataFrame]:
