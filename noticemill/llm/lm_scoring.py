@@ -56,11 +56,11 @@ class Trie:
             context, first = np.unique(keys >> BITS, return_index=True)
             bounds = np.append(first, len(keys))
             total = np.add.reduceat(counts, first) if len(keys) else counts
-            excluded = np.zeros(len(context))
+            excluded = np.zeros(len(context), np.int64)
             if k and len(keys):
                 shorter, n = grams[k - 1]
                 excluded = np.add.reduceat(n[np.searchsorted(shorter, keys & mask(k))], first)
-            self.contexts.append((context, total.astype(float), np.diff(bounds).astype(float), excluded.astype(float)))
+            self.contexts.append((context, total, np.diff(bounds).astype(np.int32), excluded.astype(np.int64)))
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 of the probability of each gram's last symbol after the others."""
@@ -132,7 +132,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk
 def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
     """Counts over all texts that are not held out; each order keeps its ``max_nodes`` or fewer most frequent grams.
 
-    That bound is the model's size (16 bytes a node), which every task holds; counting covers all texts.
+    That bound is the model's size (about 40 bytes a node), which every task holds; counting covers all texts.
     A gram stays only if the shorter ones within it do, so contexts stay nested.
     """
     bounded_batches(chunks.sparkSession, 1)
@@ -155,6 +155,7 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
 
     longest = chunks.select("texts", "held_out").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     longest = written(longest, "grams")
+    bounded_batches(chunks.sparkSession, 100_000)
     grams, least = [], 1
     for k in range(order + 1):
         own = longest.groupBy(F.col("gram").bitwiseAND(int(mask(k + 1))).alias("gram")).agg(F.sum("n").alias("n"))
@@ -170,12 +171,15 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
         else:
             low = 1
         least = max(least, low) if total else least
-        kept = own.filter(F.col("n") >= least).toPandas().sort_values("gram")
-        grams.append((kept["gram"].to_numpy(np.int64), kept["n"].to_numpy(np.int64)))
+        kept = own.filter(F.col("n") >= least).toArrow()
+        keys, n = kept["gram"].to_numpy(), kept["n"].to_numpy()
+        del kept
+        by_key = np.argsort(keys)
+        grams.append((keys[by_key], n[by_key]))
     return Trie(grams)
 
 
-def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_500_000, chunk_bytes: int = 8_000_000,
+def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 8_000_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import bounded_batches
+from noticemill.llm.common import bounded_batches, written
 
 # Closed word classes of the grammar.
 NEGATION = "not no never none nor neither cannot n't without kein keine nicht nie ohne ne pas jamais sans nunca sin ningún".split()
@@ -226,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = (
         rows.select("text", y).mapInPandas(count, "word string, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")))
-    counts = counts.filter((F.col("t") >= min_rows) | (F.col("word") == ""))
+    counts = written(counts.filter((F.col("t") >= min_rows) | (F.col("word") == "")), "terms")
     totals = {"c": 0, "t": 0}
     total = counts.filter("word = ''").first()
     if total:
