@@ -19,6 +19,7 @@ from noticemill.llm.mixing import mix
 from noticemill.llm.near_dedup import near_groups
 from noticemill.llm.neighbours import nearest
 from noticemill.llm.packing import pack_documents
+from noticemill.llm.repeats import remove_repeats
 from noticemill.llm.toxicity import learn, score
 
 
@@ -44,6 +45,10 @@ def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, F.pmod(id_crc(F.col("doc_id")), F.lit(7)) == 2, order=5, max_nodes=1_000_000)
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
