@@ -57,3 +57,8 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "32m") ->
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_rows(docs: DataFrame, **more: Column) -> DataFrame:
+    """Every row as one column ``row`` beside ``more``, so that no column of ``docs`` can clash; ``row.*`` unpacks it."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticemill.llm.common import whole_rows
+
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64,
                  hash_all: bool = False) -> DataFrame:
@@ -57,8 +59,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows with a null id stay only if all rows of their text have none.
     """
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    stay = exact_groups(docs, id_col, text_col).filter("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")).distinct()
-    rows = docs.withColumn("__id", key).withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
-    return rows.join(stay, "__id", "left_semi").dropDuplicates(["__id", "__text"]).select(*[F.col(c) for c in docs.columns])
+    rows = whole_rows(docs, key=F.coalesce(F.col(id_col).cast("string"), F.lit("")), text=F.coalesce(F.col(text_col), F.lit("")))
+    stay = exact_groups(docs, id_col, text_col).filter("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"))
+    return rows.join(stay.distinct(), "key", "left_semi").dropDuplicates(["key", "text"]).select("row.*")

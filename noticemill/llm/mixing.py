@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import text_rows, written
+from noticemill.llm.common import whole_rows, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 4096
@@ -163,12 +163,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, its columns unchanged. Takes ``mix``'s options."""
     names = {k: options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
-    row = F.xxhash64(F.col(names["id_col"]), F.col(names["source_col"]), F.coalesce(F.col(names["text_col"]), F.lit("")))
-    copies = mix(docs, **options).groupBy(F.col("row").alias("__row")).agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0")
-    # Repeated rows share a hash: the first of them carries the copies of all.
-    numbered = docs.withColumn("__row_hash", row)
-    first = F.row_number().over(Window.partitionBy("__row_hash").orderBy(F.lit(1)))
-    kept = numbered.withColumn("__nth", first).filter("__nth = 1")
-    taken = kept.join(copies, F.col("__row_hash") == F.col("__row"))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    key = F.xxhash64(F.col(names["id_col"]), F.col(names["source_col"]), F.coalesce(F.col(names["text_col"]), F.lit("")))
+    copies = mix(docs, **options).groupBy(F.col("row").alias("key")).agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
+    # Repeated rows share a key: one of them carries the copies of all.
+    rows = whole_rows(docs, key=key).dropDuplicates(["key"])
+    return rows.join(copies, "key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import bounded_batches, text_rows, written
+from noticemill.llm.common import bounded_batches, text_rows, whole_rows, written
 from noticemill.llm.components import components
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -204,7 +204,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document has the smallest id of its group; takes ``near_groups``' options."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     stay = near_groups(docs, id_col=id_col, **options).filter("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")).distinct()
-    return docs.withColumn("__id", key).join(stay, "__id", "left_semi").select(*[F.col(c) for c in docs.columns])
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")).distinct()
+    rows = whole_rows(docs, key=F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    return rows.join(stay, "key", "left_semi").select("row.*")
