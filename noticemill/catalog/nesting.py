@@ -14,6 +14,7 @@ from ..functions import nested as N
 from ..functions.text import yes_no
 from ..operators import enrich as E
 from ..operators import planning as PL
+from ..plans import records as R
 from ..sources import envelopes as EN
 from .registry import local_frame, query, table
 from .texts import HYBRID_SQL, lexicon_frame, verdict_table
@@ -264,3 +265,45 @@ def record_pipeline_query(spark, sf):
         F.col("modalidade_nome_dominio").alias("modality_name"), F.col("esfera_nome_dominio").alias("sphere_name"),
         F.col("orgaoEntidade.cnpj").alias("cnpj"), F.col("unidadeOrgao.ufSigla").alias("uf"),
         F.size("fontesOrcamentarias").cast("bigint").alias("sources"))
+
+
+DIRTY = T.StructType([T.StructField("codigo", T.LongType()), T.StructField("nome", T.StringType())])
+
+
+def dirty_rows(spark, sf):
+    """Orders with a struct and an array whose code leaf is text that is not always a number."""
+    code = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x"), F.col("o_orderkey"))).otherwise(F.col("o_orderkey").cast("string"))
+    leaf = F.struct(code.alias("codigo"), F.col("o_orderstatus").alias("nome"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, leaf).alias("amparoLegal"), F.array(leaf).alias("fontes"))
+
+
+DIRTY_SQL = "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END"
+
+
+@query("fill_dirty_leaf", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN {DIRTY_SQL} END AS codigo,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS nome, {DIRTY_SQL} AS fonte FROM orders""")
+def fill_dirty_leaf(spark, sf):
+    out = N.fill_record(dirty_rows(spark, sf), {"amparoLegal": DIRTY}, {"fontes": DIRTY})
+    return out.select("o_orderkey", "amparoLegal.codigo", "amparoLegal.nome", F.col("fontes")[0]["codigo"].alias("fonte"))
+
+
+@query("conform_nested_drift", f"""
+SELECT o_orderkey::INTEGER AS o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN {DIRTY_SQL} END AS codigo,
+       o_orderkey % 5 = 0 AS absent, {DIRTY_SQL} AS fonte FROM orders""")
+def conform_nested_drift(spark, sf):
+    schema = T.StructType([
+        T.StructField("o_orderkey", T.IntegerType()), T.StructField("amparoLegal", DIRTY), T.StructField("fontes", T.ArrayType(DIRTY))])
+    out = N.conform(dirty_rows(spark, sf), schema)
+    return out.select(
+        "o_orderkey", "amparoLegal.codigo", F.col("amparoLegal").isNull().alias("absent"), F.col("fontes")[0]["codigo"].alias("fonte"))
+
+
+@query("record_bypass", f"""
+SELECT doc_id, '{V.REASON_BYPASS}' AS reason, '' AS matched_group FROM documents""")
+def record_bypass(spark, sf):
+    names = V.FILTER_COLUMNS
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("objetoCompra"))
+    out = R.record_pipeline(docs, "objetoCompra", lexicon_frame(spark), {}, enabled=False)
+    return out.select("doc_id", F.col(names["reason"]).alias("reason"), F.col(names["group"]).alias("matched_group"))

@@ -16,7 +16,7 @@ def monthly_count(spark, sf):
 
 
 @query("daily_profile", """
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS records, round((avg(o_totalprice))::DECIMAL(24, 6), 2)::DOUBLE AS mean_amount
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS records, ((2 * sum((o_totalprice::DECIMAL(18, 2) * 100)::BIGINT) + count(o_totalprice)) // (2 * count(o_totalprice)))::DOUBLE / 100 AS mean_amount
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1""")
 def daily_profile(spark, sf):
     orders = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_totalprice")
@@ -24,7 +24,7 @@ def daily_profile(spark, sf):
 
 
 @query("category_totals", """
-SELECT o_orderpriority, count(*) AS contracts, round(sum(o_totalprice), 2) AS amount FROM orders GROUP BY 1""")
+SELECT o_orderpriority, count(*) AS contracts, sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS amount FROM orders GROUP BY 1""")
 def category_totals(spark, sf):
     return R.category_totals(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
 
@@ -81,8 +81,8 @@ def keyword_and_amount(spark, sf):
 
 @query("fact_summary", """
 SELECT year(o_orderdate)::BIGINT AS year, month(o_orderdate)::BIGINT AS month, o_orderpriority, o_orderstatus,
-       c_mktsegment, count(o_orderkey) AS contracts, round(sum(o_totalprice), 2) AS amount,
-       round((avg(o_totalprice))::DECIMAL(24, 6), 2)::DOUBLE AS mean_amount
+       c_mktsegment, count(o_orderkey) AS contracts, sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS amount,
+       ((2 * sum((o_totalprice::DECIMAL(18, 2) * 100)::BIGINT) + count(o_totalprice)) // (2 * count(o_totalprice)))::DOUBLE / 100 AS mean_amount
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
 def fact_summary(spark, sf):
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
@@ -95,8 +95,8 @@ def fact_summary(spark, sf):
 
 @query("kpis", """
 SELECT count(o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS contracts,
-       round(sum(o_totalprice) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8), 2) AS amount,
-       round((avg(o_totalprice) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8))::DECIMAL(24, 6), 2)::DOUBLE AS mean_amount
+       sum(o_totalprice::DECIMAL(18, 2)) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8)::DOUBLE AS amount,
+       ((2 * sum((o_totalprice::DECIMAL(18, 2) * 100)::BIGINT) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8) + count(o_totalprice) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8)) // (2 * count(o_totalprice) FILTER (WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 8)))::DOUBLE / 100 AS mean_amount
 FROM orders""")
 def kpis(spark, sf):
     month = (F.year("o_orderdate") == 1997) & (F.month("o_orderdate") == 8)
@@ -231,7 +231,7 @@ def bi_fact(spark, sf):
 
 @query("bi_summary", _STAR_SQL + """
 SELECT year(published)::BIGINT AS year, month(published)::BIGINT AS month, lang AS category, class, source AS sphere,
-       count(num) AS contracts, round(sum(amount), 2) AS amount, round((avg(amount))::DECIMAL(24, 6), 2)::DOUBLE AS mean_amount
+       count(num) AS contracts, sum(amount::DECIMAL(18, 2))::DOUBLE AS amount, ((2 * sum((amount::DECIMAL(18, 2) * 100)::BIGINT) + count(amount)) // (2 * count(amount)))::DOUBLE / 100 AS mean_amount
 FROM f GROUP BY ALL""")
 def bi_summary(spark, sf):
     from ..plans.bi_star import build_star

@@ -309,7 +309,7 @@ def lexicon_files(spark, sf):
 
 
 @query("external_table", """
-SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS records, round((avg(value))::DECIMAL(24, 6), 2)::DOUBLE AS mean_amount
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS records, round(avg(value::DECIMAL(18, 6)), 2) AS mean_amount
 FROM events WHERE year(ts) = 2024 AND month(ts) = 1 GROUP BY 1""")
 def external_table(spark, sf):
     path, name = work_path(spark, "table"), f"events_{uuid.uuid4().hex[:8]}"
@@ -318,7 +318,7 @@ def external_table(spark, sf):
     schema = T.StructType([*events.schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
     DS.create_external_table(spark, name, path, schema)
     return spark.sql(f"""
-        SELECT date_format(event_day, 'yyyy-MM-dd') AS day, count(*) AS records, round(round(avg(value), 6), 2) AS mean_amount
+        SELECT date_format(event_day, 'yyyy-MM-dd') AS day, count(*) AS records, CAST(round(avg(CAST(value AS DECIMAL(18, 6))), 2) AS DOUBLE) AS mean_amount
         FROM {name} WHERE year = 2024 AND month = 1 GROUP BY event_day""")
 
 

@@ -11,15 +11,38 @@ from pyspark.sql import types as T
 from .text import as_col
 
 
+def try_to(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """The value in the wanted type at every depth; whatever cannot be cast, at its own place, is null.
+
+    Structs take the wanted fields by name, an absent one is null; arrays and maps go element by element. A struct,
+    array or map where another kind is wanted is null.
+    """
+    if have == want:
+        return value
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        known = {f.name: f.dataType for f in have.fields}
+        parts = [
+            (try_to(value.getField(f.name), known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda e: try_to(e, have.elementType, want.elementType))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType) and have.keyType == want.keyType:
+        return F.transform_values(value, lambda _, v: try_to(v, have.valueType, want.valueType))
+    if any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in (have, want)):
+        return F.lit(None).cast(want)
+    return value.try_cast(want)
+
+
 def _filled(value: Column, have: T.DataType | None, want: T.StructType) -> Column:
-    """A struct that is never null: own fields of ``value``, wanted fields it lacks as null.
+    """A struct that is never null: own fields of ``value``, wanted fields it lacks or cannot hold as null.
 
     A field of a null struct reads as null, so no test of the struct itself is needed.
     """
-    known = have.fieldNames() if isinstance(have, T.StructType) else []
+    known = {f.name: f.dataType for f in have.fields} if isinstance(have, T.StructType) else {}
     parts = []
     for f in want.fields:
-        part = value.getField(f.name).cast(f.dataType) if f.name in known else F.lit(None).cast(f.dataType)
+        part = try_to(value.getField(f.name), known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType)
         parts.append(part.alias(f.name))
     parts += [value.getField(n).alias(n) for n in known if n not in want.fieldNames()]
     return F.struct(*parts)
@@ -76,23 +99,12 @@ def merge_right(left: Mapping[str, Column], right: Mapping[str, Column]) -> Colu
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The frame in the given schema: columns added, dropped, reordered and cast.
+    """The frame in the given schema: columns added, dropped, reordered and cast, at every depth.
 
-    A column that cannot hold its wanted nested type (a nested field written as all
-    null) becomes null; a value that cannot be cast becomes null.
+    A value or nested value that cannot be cast becomes null, and so does a column of another kind than the
+    wanted one (a nested column written as all null).
     """
-    kept = []
-    for f in schema.fields:
-        if f.name not in df.columns:
-            continue
-        have = df.schema[f.name].dataType
-        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-        if nested and type(have) is not type(f.dataType):
-            continue
-        c = F.col(f"`{f.name}`")
-        if not nested and have != f.dataType:
-            c = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
-        kept.append(c.alias(f.name))
-    if not kept:
-        return df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return df.select(*kept).to(schema)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        (try_to(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])

@@ -20,11 +20,12 @@ def lookup(
 ) -> DataFrame:
     """Left look-up of ``columns`` (dim name to output name); ``key`` may reach into a struct.
 
-    The dim has one row per code. Rows without a partner keep null; ``found`` names a
-    column that tells them from a known code without a value.
+    A code that the dim repeats counts once, with the least of its rows, so no row is
+    multiplied. Rows without a partner keep null; ``found`` names a column that tells them from a
+    known code without a value.
     """
-    right = dim.select(
-        F.col(dim_key).alias("_dim_key"), *[F.col(src).alias(f"_out_{out}") for src, out in columns.items()])
+    values = F.struct(*[F.col(src).alias(f"_out_{out}") for src, out in columns.items()])
+    right = dim.groupBy(F.col(dim_key).alias("_dim_key")).agg(F.min(values).alias("_v")).select("_dim_key", "_v.*")
     joined = df.join(right, F.col(key) == F.col("_dim_key"), "left")
     added = {out: F.col(f"_out_{out}") for out in columns.values()}
     if found:

@@ -72,6 +72,9 @@ def _anchors_of(folded: str, with_gaps: bool) -> Column:
     return F.concat(words(folded), gaps(folded)) if with_gaps else words(folded)
 
 
+# Up to so many entries an array intersection is the cheapest look-up.
+FEW_ENTRIES = 64
+
 _FIELDS = ("precedence", "grp", "term", "single", "folded", "pattern")
 
 
@@ -124,22 +127,46 @@ def _match_inline(df: DataFrame, folded: str, entries: DataFrame, rows: list) ->
     anchors = F.from_json(F.lit(json.dumps(sorted({r["anchor"] for r in rows}))), T.ArrayType(T.StringType()))
 
     in_text = _anchors_of(folded, any(r["is_gap"] for r in rows))
-    hits = df.withColumn("_hits", F.array_intersect(in_text, anchors))
+    # An intersection hashes all anchors again for every row, so it only pays for a few of them.
+    few = len(rows) <= FEW_ENTRIES
+    hits = df.withColumn("_hits", F.array_intersect(in_text, anchors) if few else F.array_distinct(in_text))
     found = F.transform("_hits", lambda w: F.try_element_at(F.get(table, _bucket(w, buckets).cast("int")), w))
-    return _first_of(hits, folded, F.flatten(found)).drop("_hits")
+    return _first_of(hits, folded, F.flatten(F.filter(found, lambda e: e.isNotNull()))).drop("_hits")
+
 
+def _rarest_anchors(entries: DataFrame) -> DataFrame:
+    """Entries with their two rarest words in the lexicon as anchor and ``second`` (null for a single word or a gap).
 
-def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str) -> DataFrame:
+    Phrases that share a common word are thus found by another word of theirs, and only where a second one stands.
+    """
+    spread = entries.select("precedence", F.explode(F.array_distinct(words("folded"))).alias("w"))
+    uses = spread.groupBy("w").agg(F.count("*").alias("uses"))
+    rarest = spread.join(uses, "w").groupBy("precedence").agg(F.slice(F.array_sort(F.collect_list(
+        F.struct("uses", (-F.char_length("w")).alias("longest"), "w"))), 1, 2).alias("rarest"))
+    phrase = ~F.col("single") & ~F.col("is_gap")
+    return entries.join(rarest, "precedence", "left").withColumns({
+        "anchor": F.when(phrase, F.col("rarest")[0]["w"]).otherwise(F.col("anchor")),
+        "second": F.when(phrase, F.get("rarest", F.lit(1))["w"]),
+    }).drop("rarest")
+
+
+def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str | None) -> DataFrame:
     """First match by joining distinct words with anchors, for a lexicon of any size.
 
-    Texts travel once, in the last join; before it only (id, word) pairs do. A word that
-    many texts share is a skewed key on the text side only, which adaptive execution
-    splits. Candidates of a text are at most the entries anchored in its own words.
+    Rows are keyed by ``id_col`` or, without one, by a hash of the folded text, so that equal texts are matched
+    once. Texts travel once, in the last join; before it only (key, word) pairs do. A word that
+    many texts share is a skewed key on the text side only, which adaptive execution splits.
     """
+    key = "_text_key"
+    df = df.withColumn(key, F.col(id_col) if id_col else F.sha2(F.coalesce(F.col(folded), F.lit("")).cast("binary"), 256))
     in_text = _anchors_of(folded, not entries.where("is_gap").isEmpty())
-    tokens = df.select(id_col, F.explode(F.array_distinct(in_text)).alias("anchor"))
-    anchored = tokens.join(entries, "anchor").groupBy(id_col).agg(F.collect_list(F.struct(*_FIELDS)).alias("_anchored"))
-    return _first_of(df.join(anchored, id_col, "left"), folded, F.col("_anchored")).drop("_anchored")
+    tokens = df.select(key, F.explode(F.array_distinct(in_text)).alias("anchor")).distinct()
+    found = tokens.join(_rarest_anchors(entries), "anchor")
+    both = found.where(F.col("second").isNotNull()).join(
+        tokens.select(key, F.col("anchor").alias("second")), [key, "second"], "left_semi")
+    found = found.where(F.col("second").isNull()).select(key, *_FIELDS).unionByName(both.select(key, *_FIELDS))
+    anchored = found.groupBy(key).agg(F.collect_list(F.struct(*_FIELDS)).alias("_anchored"))
+    return _first_of(df.join(anchored, key, "left"), folded, F.col("_anchored")).drop("_anchored", key)
 
 
 def match_lexicon(
@@ -147,8 +174,8 @@ def match_lexicon(
 ) -> DataFrame:
     """Adds matched_group and matched_term: the first lexicon entry, in order of precedence, in the text.
 
-    The lexicon's size is checked: up to ``inline_bound`` entries the match is a
-    projection over the scan; above it, it is a join and needs ``id_col``, a unique key.
+    The lexicon's size is checked: up to ``inline_bound`` entries the match is a projection over the scan, above
+    it a join, with the same rows. ``id_col`` may name a unique key for that join; without one it goes by text.
     """
     entries = prepare_entries(lexicon).withColumnRenamed("group", "grp")
     df = df.withColumn("_folded", fold_text(text))
@@ -156,8 +183,6 @@ def match_lexicon(
     rows = hashed.limit(inline_bound + 1).collect()
     if len(rows) <= inline_bound:
         return _match_inline(df, "_folded", entries, rows).drop("_folded")
-    if id_col is None:
-        raise ValueError("a lexicon above the inline bound needs id_col")
     return _match_joined(df, "_folded", entries, id_col).drop("_folded")
 
 

@@ -12,10 +12,20 @@ from ..functions.rates import percent, ratio
 from ..functions.text import contains_any
 
 
+AMOUNT = "decimal(18,2)"
+
+
 def mean(amount: Column) -> Column:
-    """Mean to two places. The inner step drops the noise a sum of doubles has from task order,
-    so a mean half-way between two cents rounds the same way in every run."""
-    return F.round(F.round(F.avg(amount), 6), 2)
+    """Mean to two places, halves away from zero, rounded once: whole cents are summed and divided
+    without remainder, so neither task order nor a middle step can move the last place."""
+    cents, n = F.sum((amount.cast(AMOUNT) * 100).cast("bigint")), F.count(amount)
+    top, bottom = 2 * F.abs(cents) + n, 2 * n
+    return F.when(n > 0, F.signum(cents) * F.round((top - top % bottom) / bottom) / 100)
+
+
+def total(amount: Column | str) -> Column:
+    """Exact sum of amounts in cents."""
+    return F.sum((F.col(amount) if isinstance(amount, str) else amount).cast(AMOUNT)).cast("double")
 
 
 def in_partition(df: DataFrame, year: int, month: int) -> DataFrame:
@@ -48,7 +58,7 @@ def category_totals(df: DataFrame, category: str, amount: str) -> DataFrame:
     """Rows and amount per category, largest first."""
     return (
         df.groupBy(category)
-        .agg(F.count("*").alias("contracts"), F.round(F.sum(amount), 2).alias("amount"))
+        .agg(F.count("*").alias("contracts"), total(amount).alias("amount"))
         .orderBy(F.desc("contracts"), F.asc_nulls_last(category))
     )
 
@@ -70,7 +80,7 @@ def fact_summary(df: DataFrame, keys: Sequence[str], row_id: str, amount: str) -
     """Rows with an id, total and mean amount per combination of keys."""
     return df.groupBy(*keys).agg(
         F.count(row_id).alias("contracts"),
-        F.round(F.sum(amount), 2).alias("amount"),
+        total(amount).alias("amount"),
         mean(F.col(amount)).alias("mean_amount"),
     )
 
@@ -81,7 +91,7 @@ def count_where(cond: Column, row_id: str) -> Column:
 
 
 def sum_where(cond: Column, amount: str) -> Column:
-    return F.round(F.sum(F.when(cond, F.col(amount))), 2)
+    return total(F.when(cond, F.col(amount)))
 
 
 def avg_where(cond: Column, amount: str) -> Column:

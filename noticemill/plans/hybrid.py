@@ -36,7 +36,8 @@ def hybrid_filter(
     if on_missing not in ("reject", "keep"):
         raise ValueError(on_missing)
     if not enabled:
-        return df.withColumn("included", F.lit(True)).withColumn("reason", F.lit(V.REASON_BYPASS))
+        nothing = F.struct(*[F.lit(None).cast("string").alias(n) for n in ("grupo_matched", "termo_matched", "criterio")])
+        return df.withColumn("included", F.lit(True)).withColumn("reason", F.lit(V.REASON_BYPASS)).withColumn("details", nothing)
 
     staged = keyword_stage(df, text, lexicon, id_col, inline_bound).withColumn("text_empty", is_empty_text(text))
     passed = F.col("stage1_passed")

@@ -12,6 +12,7 @@ from .. import fixed_values as V
 from ..functions.nested import fill_record
 from ..operators.enrich import enrich_all
 from ..schemas import RECORD_ARRAYS, RECORD_STRUCTS
+from ..session import MAX_INLINE_ENTRIES
 from .hybrid import hybrid_filter
 
 _MARKS = ["included", "reason", "details", "matched_group", "matched_term", "stage1_passed", "stage2_passed", "text_empty"]
@@ -39,7 +40,13 @@ def record_pipeline(
     structs: Mapping[str, T.StructType] = RECORD_STRUCTS,
     arrays: Mapping[str, T.StructType] = RECORD_ARRAYS,
     on_missing: str = "reject",
+    enabled: bool = True,
+    id_col: str | None = None,
+    inline_bound: int = MAX_INLINE_ENTRIES,
 ) -> DataFrame:
-    """Filter, filter columns, look-ups and nested fill, in one plan over any number of days."""
-    kept = hybrid_filter(df, text, lexicon, verdicts, on_missing=on_missing, kept_only=True)
+    """Filter, filter columns, look-ups and nested fill, in one plan over any number of days.
+
+    With ``enabled=False`` every row is kept, with the bypass as its reason and empty details.
+    """
+    kept = hybrid_filter(df, text, lexicon, verdicts, on_missing, enabled, True, id_col, inline_bound)
     return fill_record(enrich_all(filter_columns(kept), dims, lookups), structs, arrays)

@@ -5,6 +5,7 @@ from conftest import column, plan_of
 from pyspark.sql import functions as F
 from test_text import folded_in_python
 
+from noticemill import fixed_values as V
 from noticemill.operators import lexicon as L
 
 GROUPS = {
@@ -105,3 +106,34 @@ def test_lexicon_sources(spark, tmp_path):
     (tmp_path / "bad.json").write_text("[1, 2")
     assert S.read_map(spark, str(tmp_path / "bad.json")).count() == 0
     assert S.read_map(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_large_lexicon_without_id_and_hot_words(spark):
+    """More entries than the inline bound, all on one common word; equal texts, no key."""
+    from noticemill.plans.records import record_pipeline
+
+    groups = {f"GRUPO {i}": [f"papel tipo{i}"] for i in range(1300)}
+    values = ["compra de papel tipo7 azul", "compra de papel tipo7 azul", "papel tipo1299", "papel tipo", "grupo 12 e papel tipo5", "", None]
+    out = L.match_lexicon(texts(spark, values), "text", lexicon(spark, groups))
+    got = {r["id"]: (r["matched_group"], r["matched_term"]) for r in out.collect()}
+    assert got == {i: first_in_python(t, groups) for i, t in enumerate(values)}
+    small = {g: t for g, t in list(groups.items())[:30]}
+    frames = [record_pipeline(texts(spark, values), "text", lexicon(spark, small), {}, inline_bound=b) for b in (2000, 0)]
+    rows = [sorted((r["id"], r["filtro_motivo"] if "filtro_motivo" in f.columns else str(r)) for r in f.collect()) for f in frames]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
+
+
+def test_record_pipeline_without_filter(spark):
+    from noticemill.plans.records import record_pipeline
+
+    out = record_pipeline(texts(spark, ["x", None]), "text", lexicon(spark), {}, enabled=False)
+    assert out.count() == 2 and set(column(out, V.FILTER_COLUMNS["reason"])) == {V.REASON_BYPASS}
+
+
+def test_middle_sized_lexicon_looks_up_words(spark):
+    groups = {f"G{i}": [f"w{i} x", f"w{i}"] for i in range(200)}
+    values = ["w5 x", "y w199", "w7", "nothing", "g3 w1", None]
+    out = L.match_lexicon(texts(spark, values), "text", lexicon(spark, groups))
+    got = {r["id"]: (r["matched_group"], r["matched_term"]) for r in out.collect()}
+    assert got == {i: first_in_python(t, groups) for i, t in enumerate(values)}
+    assert "array_intersect" not in plan_of(out)

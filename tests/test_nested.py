@@ -127,3 +127,22 @@ def test_record_pipeline_writes_the_contract_columns(spark):
     assert (row["filtro_aplicado"], row["filtro_grupo_matched"], row["modalidade_nome_dominio"]) == (True, "PAPEL", "Modalidade 99")
     assert set(V.FILTER_COLUMNS.values()) | set(S.RECORD_STRUCTS) | {"fontesOrcamentarias"} <= set(out.columns)
     assert len(out.columns) == 3 + 5 + 1 + 5 + 1
+
+
+def test_dirty_leaves_become_null(spark):
+    df = spark.createDataFrame(
+        [(1, ("x7", "n"), [("8", None), ("y", "m")])], "id int, s struct<codigo:string,nome:string>, a array<struct<codigo:string,nome:string>>")
+    want = T.StructType([T.StructField("codigo", T.LongType()), T.StructField("nome", T.StringType())])
+    filled = N.fill_struct_array(N.fill_struct(df, "s", want), "a", want).first()
+    assert tuple(filled["s"]) == (None, "n") and [tuple(e) for e in filled["a"]] == [(8, None), (None, "m")]
+    schema = T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("s", want), T.StructField("a", T.ArrayType(want)), T.StructField("more", want)])
+    row = N.conform(df, schema).first()
+    assert (row["id"], tuple(row["s"]), [tuple(e) for e in row["a"]], row["more"]) == (1, (None, "n"), [(8, None), (None, "m")], None)
+    assert N.conform(df, schema).schema == schema
+
+
+def test_doubled_code_multiplies_nothing(spark):
+    dim = spark.createDataFrame([("a", "one"), ("a", "two"), (None, "none")], "code string, name string")
+    out = E.enrich(spark.createDataFrame([("a",), ("b",), (None,)], "k string"), dim, "k", "out", "? %s").collect()
+    assert sorted((r["k"] or "", r["out"]) for r in out) == [("", None), ("a", "one"), ("b", "? b")]

@@ -55,9 +55,9 @@ def test_cache_lifetime(spark):
 
 def test_unknown_model_costs_nothing(spark):
     calls = spark.createDataFrame([("m", 1000, 500), ("?", 1000, 500), (None, 1, 1)], "model string, i long, o long")
-    prices = spark.createDataFrame([("m", 0.01, 0.03)], "model string, input_price double, output_price double")
+    prices = spark.createDataFrame([("m", 0.02, 0.05)], "model string, input_price double, output_price double")
     out = VD.with_cost(calls, prices, "model", "i", "o")
-    assert sorted(column(out, "cost_usd")) == [0.0, 0.0, 0.025]
+    assert sorted(column(out, "cost_usd")) == [0.0, 0.0, 0.045]
 
 
 def test_usage_without_calls(spark):
