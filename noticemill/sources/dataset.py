@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from .. import fixed_values as V
 from ..functions.dates import partition_columns
 from ..functions.nested import conform
-from ..session import work_path
 
 DAY_PARTITIONS = ("year", "month", "day")
 MONTH_PARTITIONS = ("year", "month")
@@ -129,22 +128,26 @@ def create_table_as(df: DataFrame, name: str, path: str, partitions: Sequence[st
     writer.saveAsTable(name)
 
 
-def rewrite_to_schema(spark: SparkSession, path: str, schema: T.StructType, backup: str) -> int:
+def rewrite_to_schema(
+    spark: SparkSession, path: str, schema: T.StructType, backup: str, partitions: Sequence[str] = ()
+) -> int:
     """Rewrites a dataset in the given schema and returns its row count.
 
-    The conformed copy is staged and checked first, the original is copied to ``backup``,
-    and only then replaced, so each step can be lost and run again.
+    The original is first copied to ``backup``, a new path for every rewrite; a finished copy is marked and never
+    written again. The rewrite reads the copy, so it may be lost at any point and run again.
+    ``partitions`` are the folder columns, which stay folders. Rows, columns and types are checked at the end.
     """
-    original = spark.read.parquet(path)
-    staging = work_path(spark, "rewrite")
-    conform(original, schema).write.parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-    expected, got = original.count(), staged.count()
-    if expected != got:
-        raise RuntimeError(f"staged {got} rows of {expected}")
-    original.write.mode("errorifexists").parquet(backup)
-    staged.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    written = spark.read.parquet(path)
-    if written.count() != expected or set(written.columns) != set(schema.fieldNames()):
+    def put(df: DataFrame, to: str) -> None:
+        writer = df.write.mode("overwrite").option("compression", "snappy")
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(to)
+
+    if not path_exists(spark, f"{backup}/_SUCCESS"):
+        put(spark.read.parquet(path), backup)
+    original = spark.read.parquet(backup)
+    put(conform(original, schema), path)
+    data = T.StructType([f for f in schema.fields if f.name not in partitions])
+    expected, written = original.count(), spark.read.parquet(path)
+    found = {f.name: f.dataType.simpleString() for f in written.schema.fields}
+    if written.count() != expected or any(found.get(f.name) != f.dataType.simpleString() for f in data.fields):
         raise RuntimeError(f"rewrite of {path} is incomplete; the original is at {backup}")
     return expected

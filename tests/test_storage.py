@@ -170,3 +170,23 @@ def test_work_folder_is_the_sessions_own(spark):
 
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_rewrite_can_be_repeated_from_every_crash_point(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from noticemill.sources import dataset as DS
+
+    path, backup = str(tmp_path / "data"), str(tmp_path / "backup")
+    rows = spark.createDataFrame([(1, "7", 2024), (2, "x", 2025)], "id long, n string, year int")
+    rows.write.partitionBy("year").parquet(path)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("id", T.LongType()), T.StructField("year", T.IntegerType())])
+    want = [(1, 7, 2024), (2, None, 2025)]
+    (tmp_path / "backup").mkdir()  # lost before the copy was finished
+    for lost in ("copy", "rewrite", "nothing"):
+        if lost == "rewrite":  # only part of the new data had been written
+            rows.where("id = 1").write.mode("overwrite").partitionBy("year").parquet(path)
+        assert DS.rewrite_to_schema(spark, path, schema, backup, ["year"]) == 2
+        assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "n", "year").collect()) == want
+        assert (tmp_path / "data" / "year=2024").is_dir()
+    assert sorted(column(spark.read.parquet(backup), "n")) == ["7", "x"]
