@@ -45,6 +45,19 @@ def gram_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[symbols != START], sizes
 
 
+def in_slices(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]]:
+    """The texts in runs of about ``size`` bytes, one text at least, so that arrays over their symbols stay small."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text)
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 class Trie:
     """Counts of the grams of all orders, as sorted arrays, with what exclusion needs."""
 
@@ -91,9 +104,12 @@ class Trie:
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """log10 probabilities of whole texts."""
-        keys, sizes = gram_keys(texts, len(self.grams) - 1)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        return np.add.reduceat(self.log10(distinct)[inverse], np.cumsum(sizes) - sizes) if len(texts) else np.zeros(0)
+        out = [np.zeros(0)]
+        for part in in_slices(texts):
+            keys, sizes = gram_keys(part, len(self.grams) - 1)
+            distinct, inverse = np.unique(keys, return_inverse=True)
+            out.append(np.add.reduceat(self.log10(distinct)[inverse], np.cumsum(sizes) - sizes))
+        return np.concatenate(out)
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk_bytes: int) -> DataFrame:
@@ -141,16 +157,14 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
         keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for texts, held in zip(batch["texts"], batch["held_out"]):
-                mine = [t for t, h in zip(texts, held) if not h]
-                if not mine:
-                    continue
-                new, times = np.unique(gram_keys(mine, order)[0], return_counts=True)
-                merged, where = np.unique(np.concatenate((keys, new)), return_inverse=True)
-                n = np.bincount(where, np.concatenate((n, times)), len(merged)).astype(np.int64)
-                keys = merged
-                if len(keys) > 2_000_000:
-                    yield pd.DataFrame({"gram": keys, "n": n})
-                    keys, n = keys[:0], n[:0]
+                for mine in in_slices([t for t, h in zip(texts, held) if not h]):
+                    new, times = np.unique(gram_keys(mine, order)[0], return_counts=True)
+                    merged, where = np.unique(np.concatenate((keys, new)), return_inverse=True)
+                    n = np.bincount(where, np.concatenate((n, times)), len(merged)).astype(np.int64)
+                    keys = merged
+                    if len(keys) > 1_000_000:
+                        yield pd.DataFrame({"gram": keys, "n": n})
+                        keys, n = keys[:0], n[:0]
         yield pd.DataFrame({"gram": keys, "n": n})
 
     longest = chunks.select("texts", "held_out").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -179,7 +193,7 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
     return Trie(grams)
 
 
-def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 8_000_000,
+def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 4_000_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
