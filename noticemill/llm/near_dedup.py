@@ -4,7 +4,7 @@ SuperMinHash gives every shingle one random permutation of the slots instead of
 within it are correlated, so estimates vary less, and a document is done as soon as no later rank
 could lower a slot. Documents with equal sets become one class. Each bucket links its classes to one
 leader only; most of a group is joined by these few links. Classes of a bucket that are still apart afterwards are
-then compared with each other, but for pairs whose unshared shingles rule a link out; so no
+then compared with each other, but for pairs whose rare shingles rule a link out; so no
 link between different sets that share a bucket is lost.
 """
 
@@ -134,8 +134,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return with_b.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
 
 
-def unshared_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """``doc_id, unshared``: how many shingles of a document no other document of ``texts`` has; without those that have none."""
+def rare_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """``doc_ids``: for every shingle that at most three rows of ``texts`` hold, the documents that do."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -145,8 +145,11 @@ def unshared_shingles(texts: DataFrame, width: int) -> DataFrame:
                                 "shingle": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)})
 
     rows = texts.select("doc_id", "text").mapInPandas(run, "doc_id long, shingle long")
-    alone = rows.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).filter("doc_id = last")
-    return alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("unshared"))
+    held = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bit_xor("doc_id").alias("xor"))
+    # Of three ids, the one in the middle is what is left of their exclusive or.
+    middle = F.when(F.col("n") == 3, F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("xor"))).otherwise(F.col("low"))
+    return held.filter("n <= 3").select(F.array_sort(F.array_distinct(F.array("low", middle, "high"))).alias("doc_ids"))
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 6,
@@ -181,17 +184,31 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     open_rows = written(placed.join(split.select("bucket"), "bucket", "left_semi"), "open")
-    own = unshared_shingles(texts.join(open_rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width)
-    # What a pair can share is at most what neither has for itself alone.
+    rare = written(rare_shingles(texts.join(open_rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width), "rare")
+    own = rare.select(F.explode("doc_ids").alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rare"))
+    # Pairs that share a rare shingle are found by it. All others share at most what neither has of rare ones, which
+    # rules out most pairs of a bucket; the rest are found in the first bucket they share.
+    buckets = open_rows.groupBy("rep").agg(F.collect_list("bucket").alias("buckets"))
     bounded = open_rows.join(own, open_rows["rep"] == own["doc_id"], "left").select(
-        "bucket", "rep", "component", "n_shingles", (F.col("n_shingles") - F.coalesce("unshared", F.lit(0))).alias("shareable"))
-    bounded = written(bounded.filter(100 * F.col("shareable") >= percent * F.col("n_shingles")), "bounded")
+        "bucket", "rep", "component", "n_shingles", (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("shareable"))
+    bounded = written(bounded.filter(100 * F.col("shareable") >= percent * F.col("n_shingles")).join(buckets, "rep"), "bounded")
     x, y = bounded.alias("x"), bounded.alias("y")
     overlap = F.least("x.shareable", "y.shareable")
-    apart = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") > F.col("y.rep"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & (100 * overlap >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - overlap)))
-    pairs = apart.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    by_bucket = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") > F.col("y.rep"))
+                       & (F.col("x.component") != F.col("y.component"))
+                       & (100 * overlap >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - overlap))
+                       & (F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket"))).select(
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    at = lambda i: F.get("doc_ids", F.lit(i))
+    both = F.array(*[F.struct(at(i).alias("a"), at(j).alias("b")) for i, j in ((1, 0), (2, 0), (2, 1))])
+    two = rare.filter(F.size("doc_ids") > 1).select(F.explode(F.filter(both, lambda p: p["a"].isNotNull())).alias("p")).select(
+        "p.a", "p.b").distinct()
+    about = open_rows.groupBy("rep").agg(F.first("component").alias("component"), F.first("n_shingles").alias("n"))
+    by_rare = (
+        two.join(about.select(F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na")), "a")
+        .join(about.select(F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb")), "b")
+        .filter((F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b"))
+    pairs = written(by_bucket.union(by_rare).distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     more = verified(pairs, texts, width, percent)
     grouped = components(links.union(more))
 
