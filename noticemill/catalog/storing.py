@@ -228,11 +228,14 @@ def source_file_count(spark, sf):
 
 
 @query("named_files", """
-SELECT event_type, strftime(CASE event_type WHEN 'view' THEN DATE '2024-01-02' WHEN 'error' THEN DATE '2024-03-01' END, '%Y-%m-%d') AS file_date,
-  count(*) AS events FROM events WHERE event_type IN ('view', 'error') GROUP BY 1, 2""")
+SELECT event_type, strftime(CASE event_type WHEN 'view' THEN DATE '2024-01-02' WHEN 'purchase' THEN DATE '2024-01-05'
+    WHEN 'error' THEN DATE '2024-03-01' ELSE DATE '2024-02-01' END, '%Y-%m-%d') AS file_date,
+  count(*) AS events FROM events WHERE event_type <> 'click' GROUP BY 1, 2""")
 def named_files(spark, sf):
     root = work_path(spark, "named")
-    names = {"view": "contratos_20240102.parquet", "error": "contratos_202403_consolidated.parquet", "click": "contratos_x.parquet"}
+    # The file of clicks has no date in its name and is left out, which is what is shown here.
+    names = {"view": "contratos_20240102.parquet", "purchase": "contratos_20240105.parquet", "signup": "contratos_202402_consolidated.parquet",
+             "error": "contratos_202403_consolidated.parquet", "click": "contratos_x.parquet"}
     for kind, name in names.items():
         table(spark, sf, "events").where(F.col("event_type") == kind).write.parquet(f"{root}/{name}")
     files = spark.read.parquet(*[f"{root}/{n}" for n in names.values()])

@@ -435,6 +435,19 @@ def batch_prompt_query(spark, sf):
     return out.select("batch", "items", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
 
 
+@query("batch_prompt_sparse", """
+WITH n AS (SELECT row_number() OVER (ORDER BY (doc_id * 7919) % 1000003, doc_id) - 1 AS p, text FROM documents)
+SELECT p // 20 AS batch, count(*) AS items,
+  md5('Textos:' || chr(10) || string_agg((p % 20 + 1) || '. ' || text, chr(10) ORDER BY p)) AS prompt_md5
+FROM n GROUP BY 1""")
+def batch_prompt_sparse(spark, sf):
+    """Keys far apart and in another order than the rows."""
+    key = ((F.col("doc_id") * 7919) % 1_000_003) * (1 << 40) + F.col("doc_id")
+    docs = table(spark, sf, "documents").withColumn("far", key)
+    out = P.batch_prompt(docs, "far", "text", 20, "Textos:\n{items}")
+    return out.select("batch", "items", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
+
+
 @query("glob_parse", """
 SELECT page_id, CASE WHEN regexp_matches(url, '.*?://.*?/') THEN regexp_extract(url, '(.*?)://(.*?)/(.*)', 2) END AS host,
   CASE WHEN regexp_matches(url, '.*?://.*?/') THEN regexp_extract(url, '(.*?)://(.*?)/(.*)', 3) END AS rest

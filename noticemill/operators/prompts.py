@@ -78,16 +78,18 @@ def plain_prompt(df: DataFrame, text: str, template: str, out: str = "prompt") -
     return df.withColumn(out, fill_template(template, {"text": as_col(text)}))
 
 
-def row_position(df: DataFrame, key: str, block: int = 100_000, out: str = "position") -> DataFrame:
-    """0-based rank of a unique, whole-number key over the whole frame, without one global sort.
+def row_position(df: DataFrame, key: str, blocks: int = 200, out: str = "position") -> DataFrame:
+    """0-based rank of a unique number over the whole frame, without one global sort.
 
-    Rows are counted per block of ``block`` key values; running totals over the blocks
-    (one row per block) give each block its offset, and rows are numbered inside their
-    block, which holds at most ``block`` rows.
+    About equal blocks are cut at approximate quantiles of the key, so sparse and clustered keys are spread
+    as evenly as dense ones. Running totals over the blocks (``blocks`` rows at most) give each its offset, and
+    rows are numbered inside their block. A null key comes first.
     """
     from pyspark.sql.window import Window
 
-    blocked = df.withColumn("_block", F.floor(F.col(key) / F.lit(block)))
+    cuts = df.agg(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []
+    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    blocked = df.withColumn("_block", F.when(F.col(key).isNull(), -1).otherwise(F.size(F.filter(limits, lambda c: c < F.col(key)))))
     before = F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
         blocked.groupBy("_block").agg(F.count("*").alias("_n"))
@@ -102,9 +104,9 @@ def row_position(df: DataFrame, key: str, block: int = 100_000, out: str = "posi
     )
 
 
-def batch_prompt(df: DataFrame, key: str, text: str, batch_size: int, template: str, block: int = 100_000) -> DataFrame:
+def batch_prompt(df: DataFrame, key: str, text: str, batch_size: int, template: str, blocks: int = 200) -> DataFrame:
     """One prompt per ``batch_size`` texts in key order, as a numbered list: batch, items, prompt."""
-    placed = row_position(df.select(key, text), key, block)
+    placed = row_position(df.select(key, text), key, blocks)
     numbered = placed.select(
         F.floor(F.col("position") / batch_size).alias("batch"),
         F.struct((F.col("position") % batch_size).alias("i"), F.col(text).alias("t")).alias("item"),

@@ -45,11 +45,12 @@ def cache_lookup(df: DataFrame, verdicts: DataFrame) -> DataFrame:
 def uncached_keys(df: DataFrame, text: str, verdicts: DataFrame) -> DataFrame:
     """One row (key, text) per distinct key without a fresh verdict: the work for the model.
 
-    Of texts that share a key the least one stands for all. Texts are reduced to one per
-    key in every map task before they are shuffled.
+    Of texts that share a key the least one stands for all. Keys alone are compared with the
+    verdicts; only texts of missing keys are reduced. Few missing keys are broadcast at run time, so
+    the other texts never travel.
     """
-    distinct = df.groupBy("key").agg(F.min(text).alias("text"))
-    return distinct.join(verdicts.select("key"), "key", "left_anti")
+    missing = df.select("key").distinct().join(verdicts.select("key"), "key", "left_anti")
+    return df.join(missing, "key", "left_semi").groupBy("key").agg(F.min(text).alias("text"))
 
 
 def with_cost(calls: DataFrame, prices: DataFrame, model: str, input_tokens: str, output_tokens: str) -> DataFrame:
