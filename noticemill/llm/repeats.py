@@ -25,7 +25,7 @@ from noticemill.llm.common import bounded_batches, written
 from noticemill.llm.near_dedup import GOLDEN, mixed
 
 GRAM = 32  # bytes of a short gram, a power of two
-MOST_WINDOWS = 413  # of a piece; a longer run of windows is cut
+MOST_WINDOWS = 64  # of a piece; a longer run of windows is cut, as every round costs a pass over the bucket
 SEGMENT = 1 << 20  # windows of a text that are looked at together
 
 
@@ -94,54 +94,47 @@ def column_wise(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray
     n = len(texts)
     is_end = np.zeros(len(joined), bool)
     is_end[ends] = True
-    # What stands before a suffix; +1 so that 0 can stand for the beginning of a text.
-    before = np.where(sizes > 0, joined[ends - 1].astype(np.int16) + 1, 0)
-    bwt, prefix, owner = before.astype(np.int16), np.zeros(n, np.uint8), ends.astype(np.int32)
-    added = np.flatnonzero(bwt)  # places of the suffixes that the next symbol extends
-    while len(added):
-        by_symbol = np.argsort(bwt.astype(np.uint8) if bwt.max() < 256 else bwt, kind="stable")
-        by_symbol = by_symbol[np.count_nonzero(bwt == 0):]
-        symbols = bwt[by_symbol]
-        # A suffix is extended to the rank of its symbol; all ends of texts stand before.
-        rank = np.empty(len(bwt), np.int64)
-        rank[by_symbol] = np.arange(len(by_symbol))
-        own = np.sort(rank[added])
+    # What stands before a suffix; +1 so that 0 can stand for the beginning of a text. UTF-8 has no byte 255.
+    kind = np.uint8 if joined.max() < 255 else np.int16
+    symbol_at = (joined.astype(np.int16) + 1).astype(kind)
+    bwt = np.where(sizes > 0, symbol_at[ends - 1], 0).astype(kind)
+    prefix, owner = np.zeros(n, np.uint8), ends.astype(np.int32)
+    is_added = bwt > 0  # of the suffixes that the next symbol extends
+    while is_added.any():
+        # A suffix is extended to the rank of its symbol among all; ends of texts stand before.
+        counts = np.bincount(bwt, minlength=2)
+        by_symbol = np.argsort(bwt, kind="stable")[counts[0]:]
+        limits = np.cumsum(counts[1:])
+        own = np.flatnonzero(is_added[by_symbol])
         new = n + own
-        first = np.concatenate(([True], symbols[1:] != symbols[:-1]))
-
+        touched = np.zeros(len(by_symbol) + 1, bool)
+        touched[own], touched[own + 1] = True, True
+        after = np.flatnonzero(touched[:-1])
+        symbol = np.searchsorted(limits, after, "right")
         # Common prefix with the neighbour of the same symbol: one more than the least on the way from it.
-        def prefix_at(ranks: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(ranks), np.uint8)
-            inner = np.flatnonzero(~first[ranks])
-            if len(inner):
-                r = ranks[inner]
-                ways = np.empty(2 * len(r), np.int64)
-                ways[0::2], ways[1::2] = by_symbol[r - 1] + 1, by_symbol[r] + 1
-                # Symbol by symbol the ways lie in order; reduceat wants no step back.
-                for lo, hi in blocks(symbols[r]):
-                    w = ways[2 * lo: 2 * hi]
-                    least = np.minimum.reduceat(ends_prefix, w)[0::2]
-                    out[inner[lo:hi]] = np.minimum(least, length - 1) + 1
-            return out
-
-        ends_prefix = np.append(prefix, np.uint8(0))
-        after = np.unique(np.concatenate((own, own[own + 1 < len(symbols)] + 1)))
-        fresh = prefix_at(after)
+        fresh = np.zeros(len(after), np.uint8)
+        inner = np.flatnonzero(after > np.append(0, limits)[symbol])
+        if len(inner):
+            r = after[inner]
+            ways = np.empty(2 * len(r), np.int64)
+            ways[0::2], ways[1::2] = by_symbol[r - 1] + 1, by_symbol[r] + 1
+            ended = np.append(prefix, np.uint8(0))
+            for lo, hi in blocks(symbol[inner]):  # within a symbol the ways lie in order
+                fresh[inner[lo:hi]] = np.minimum(np.minimum.reduceat(ended, ways[2 * lo: 2 * hi])[0::2], length - 1) + 1
         # The sequential rewrite: old entries keep their order, new ones are put between.
         total = len(bwt) + len(new)
-        is_new = np.zeros(total, bool)
-        is_new[new] = True
-        old = ~is_new
-        source = by_symbol[own]
-        start = owner[source] - 1
-        grown_bwt, grown_prefix, grown_owner = np.empty(total, np.int16), np.empty(total, np.uint8), np.empty(total, np.int32)
+        old = np.ones(total, bool)
+        old[new] = False
+        start = owner[by_symbol[own]] - 1
+        grown_bwt, grown_prefix, grown_owner = np.empty(total, kind), np.empty(total, np.uint8), np.empty(total, np.int32)
         grown_bwt[old], grown_prefix[old], grown_owner[old] = bwt, prefix, owner
-        grown_owner[new] = start
         at_beginning = (start == 0) | is_end[start - 1]
-        grown_bwt[new] = np.where(at_beginning, 0, joined[start - 1].astype(np.int16) + 1)
+        grown_owner[new] = start
+        grown_bwt[new] = np.where(at_beginning, 0, symbol_at[start - 1])
         grown_prefix[n + after] = fresh
         bwt, prefix, owner = grown_bwt, grown_prefix, grown_owner
-        added = new[~at_beginning]
+        is_added = np.zeros(total, bool)
+        is_added[new[~at_beginning]] = True
     return owner, prefix
 
 
@@ -187,7 +180,7 @@ def spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 PIECE = "gram long, key binary, row_id long, row_hash long, start long, n int, twice boolean"
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, filter_bits: int = 27, bucket_bytes: int = 4_000_000, hot_pieces: int = 20_000,
+def remove_repeats(docs: DataFrame, length: int = 100, filter_bits: int = 27, bucket_bytes: int = 1_000_000, hot_pieces: int = 20_000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the bytes that are left).
 
