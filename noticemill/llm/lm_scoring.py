@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,10 +113,19 @@ class Trie:
         return np.concatenate(out)
 
 
+def packed(texts: list[bytes]) -> bytes:
+    return zstandard.compress(b"".join(texts), 3)
+
+
+def unpacked(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    whole, ends = zstandard.decompress(data), np.cumsum(sizes).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk_bytes: int) -> DataFrame:
-    """Texts in chunks of about ``chunk_bytes`` (one text at least) with their distinct words and training counts."""
+    """Texts in compressed chunks of about ``chunk_bytes`` (one text at least), their distinct words and training counts."""
     bounded_batches(docs.sparkSession)
-    schema = "chunk long, doc_ids array<long>, held_out array<boolean>, texts array<binary>, words array<binary>, counts array<long>"
+    schema = "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, texts binary, words array<binary>, counts array<long>"
 
     def chunk_row(number: int, rows: list[tuple]) -> pd.DataFrame:
         words: Counter = Counter()
@@ -125,7 +135,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk
         part = TaskContext.get().partitionId()
         return pd.DataFrame({
             "chunk": [(part << 32) + number], "doc_ids": [[None if pd.isna(r[0]) else int(r[0]) for r in rows]],
-            "held_out": [[r[1] for r in rows]], "texts": [[r[2] for r in rows]],
+            "held_out": [[r[1] for r in rows]], "sizes": [[len(r[2]) for r in rows]], "texts": [packed([r[2] for r in rows])],
             "words": [list(words)], "counts": [list(words.values())]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,8 +166,8 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for texts, held in zip(batch["texts"], batch["held_out"]):
-                for mine in in_slices([t for t, h in zip(texts, held) if not h]):
+            for data, sizes, held in zip(batch["texts"], batch["sizes"], batch["held_out"]):
+                for mine in in_slices([t for t, h in zip(unpacked(data, sizes), held) if not h]):
                     new, times = np.unique(gram_keys(mine, order)[0], return_counts=True)
                     merged, where = np.unique(np.concatenate((keys, new)), return_inverse=True)
                     n = np.bincount(where, np.concatenate((n, times)), len(merged)).astype(np.int64)
@@ -167,7 +177,7 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
                         keys, n = keys[:0], n[:0]
         yield pd.DataFrame({"gram": keys, "n": n})
 
-    longest = chunks.select("texts", "held_out").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    longest = chunks.select("texts", "sizes", "held_out").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     longest = written(longest, "grams")
     bounded_batches(chunks.sparkSession, 100_000)
     grams, least = [], 1
@@ -193,7 +203,7 @@ def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
     return Trie(grams)
 
 
-def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 4_000_000,
+def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 8_000_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -225,7 +235,8 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: in
                 at = {w: i for i, w in enumerate(row.words)}
                 end = np.log10((texts + 1) / (tokens + kinds + 1))
                 n_tokens, n_known, base = [], [], []
-                for text in row.texts:
+                texts_here = unpacked(row.texts, row.sizes)
+                for text in texts_here:
                     own = np.fromiter(map(at.__getitem__, text.lower().split()), np.int64)
                     n_tokens.append(len(own) + 1)
                     n_known.append(int((c[own] > 0).sum()) + (texts > 0))
@@ -233,8 +244,8 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: in
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row.doc_ids], "Int64"), "held_out": list(row.held_out),
                     "n_tokens": n_tokens, "n_known": n_known, "train_tokens": tokens, "base_score": base,
-                    "score": trie.value.score(list(row.texts))})
+                    "score": trie.value.score(texts_here)})
 
     bounded_batches(spark, 1)
-    return chunks.join(known, "chunk", "left").select("doc_ids", "held_out", "texts", "words", "at", "c").mapInPandas(
+    return chunks.join(known, "chunk", "left").select("doc_ids", "held_out", "sizes", "texts", "words", "at", "c").mapInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
