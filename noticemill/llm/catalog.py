@@ -42,7 +42,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score_texts(docs, F.pmod(id_crc(F.col("doc_id")), F.lit(7)) == 2, order=5, max_nodes=1_000_000)
+    return score_texts(docs, F.pmod(id_crc(F.col("doc_id")), F.lit(7)) == 2, order=5)
 
 
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:

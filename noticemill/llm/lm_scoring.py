@@ -6,7 +6,9 @@ half an occurrence to the escape), and what the longer context has seen is exclu
 symbol too, so probabilities of texts add up to at most one.
 
 A symbol's code length depends on its ``order + 1``-gram alone. Counting and scoring therefore work on
-the distinct grams of a chunk of texts, and shorter orders are sums over the longest.
+the distinct grams of a chunk of texts, and shorter orders are sums over the longest. The trie is a DataFrame per order
+and grows with the texts: no task and no driver holds it. Grams are dealt by a hash of their context to buckets,
+whose number grows with the texts too; each chunk gets back the code lengths of its own grams.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def in_slices(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]
 
 
 class Trie:
-    """Counts of the grams of all orders, as sorted arrays, with what exclusion needs."""
+    """Counts of the grams of all orders, as sorted arrays, with what exclusion needs: ``gram_logs`` in memory, for small models."""
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """``grams[k]``: sorted keys of ``k + 1`` symbols and their counts."""
@@ -155,55 +157,155 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk
         F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held"), F.col(text_col).alias("text")).mapInPandas(run, schema)
 
 
-def learn_trie(chunks: DataFrame, order: int, max_nodes: int) -> Trie:
-    """Counts over all texts that are not held out; each order keeps its ``max_nodes`` or fewer most frequent grams.
+def squeezed(values: np.ndarray) -> bytes:
+    """Eight-byte values, compressed byte plane by byte plane."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
 
-    That bound is the model's size (about 40 bytes a node), which every task holds; counting covers all texts.
-    A gram stays only if the shorter ones within it do, so contexts stay nested.
-    """
+
+def restored(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def squeezed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, by their differences."""
+    return squeezed(np.diff(keys, prepend=np.int64(0)))
+
+
+def restored_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(restored(data, np.int64))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Grams of one context share a bucket; there are at most ``SYMBOLS`` of them."""
+    mixed = (keys >> BITS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def merged_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    merged, where = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_inverse=True)
+    return merged, np.bincount(where, np.concatenate([np.zeros(0), *counts]), len(merged)).astype(np.int64)
+
+
+def chunk_grams(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
+    """The distinct grams of each chunk, by bucket: ``bucket, chunk, grams, n``; ``n`` counts in texts not held out."""
     bounded_batches(chunks.sparkSession, 1)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data, sizes, held in zip(batch["texts"], batch["sizes"], batch["held_out"]):
-                for mine in in_slices([t for t, h in zip(unpacked(data, sizes), held) if not h]):
-                    new, times = np.unique(gram_keys(mine, order)[0], return_counts=True)
-                    merged, where = np.unique(np.concatenate((keys, new)), return_inverse=True)
-                    n = np.bincount(where, np.concatenate((n, times)), len(merged)).astype(np.int64)
-                    keys = merged
-                    if len(keys) > 1_000_000:
-                        yield pd.DataFrame({"gram": keys, "n": n})
-                        keys, n = keys[:0], n[:0]
-        yield pd.DataFrame({"gram": keys, "n": n})
-
-    longest = chunks.select("texts", "sizes", "held_out").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    longest = written(longest, "grams")
-    bounded_batches(chunks.sparkSession, 100_000)
-    grams, least = [], 1
-    for k in range(order + 1):
-        own = longest.groupBy(F.col("gram").bitwiseAND(int(mask(k + 1))).alias("gram")).agg(F.sum("n").alias("n"))
-        own = written(own, "grams") if k < order else longest
-        # Counts of counts give the smallest bound that keeps few enough; it never falls with the order.
-        sizes = own.groupBy(F.floor(F.log2("n") * 4).alias("level")).agg(F.count(F.lit(1)).alias("held"), F.min("n").alias("low"))
-        total = 0
-        for r in sizes.orderBy(F.desc("level")).collect():
-            total += r["held"]
-            if total > max_nodes:
-                break
-            low = r["low"]
+            for chunk, data, sizes, held in zip(batch["chunk"], batch["texts"], batch["sizes"], batch["held_out"]):
+                texts, keys, n = unpacked(data, sizes), [], []
+                for out in (False, True):
+                    for part in in_slices([t for t, h in zip(texts, held) if h == out]):
+                        new, times = np.unique(gram_keys(part, order)[0], return_counts=True)
+                        keys.append(new)
+                        n.append(np.zeros(len(new), np.int64) if out else times)
+                keys, n = merged_counts(keys, n)
+                own = bucket_of(keys, buckets)
+                by_bucket = np.argsort(own, kind="stable")
+                numbers, first = np.unique(own[by_bucket], return_index=True)
+                parts = np.split(by_bucket, first[1:])
+                yield pd.DataFrame({"bucket": numbers, "chunk": chunk, "grams": [squeezed_keys(keys[p]) for p in parts],
+                                    "n": [squeezed(n[p]) for p in parts]})
+
+    return chunks.select("chunk", "texts", "sizes", "held_out").mapInPandas(run, "bucket int, chunk long, grams binary, n binary")
+
+
+def gram_logs(grams: DataFrame, order: int) -> DataFrame:
+    """``bucket, gram, log``: log10 of the probability of each gram's last symbol after the others.
+
+    ``grams``: ``bucket, gram, n``, distinct; ``n`` is 0 for those that no training text has. These escape order by
+    order, as ``Trie.log10`` does in memory; the others are found in their longest context.
+    """
+    part = lambda k: F.col("gram").bitwiseAND(int(mask(k)))
+    nodes = grams.filter("n > 0").select("gram", "n")
+    open_ = grams.filter("n = 0").select(
+        "bucket", "gram", F.lit(0.0).alias("log"), F.lit(0).cast("long").alias("seen_kinds"), F.lit(0).cast("long").alias("seen_total"))
+    done = []
+    for k in range(order, -1, -1):
+        context = F.shiftright("gram", BITS).alias("context")
+        if k:
+            shorter = written(nodes.groupBy(part(k).alias("short")).agg(F.sum("n").alias("short_n")), "grams")
+            of_contexts = nodes.withColumn("short", part(k)).join(shorter, "short")
         else:
-            low = 1
-        least = max(least, low) if total else least
-        kept = own.filter(F.col("n") >= least).toArrow()
-        keys, n = kept["gram"].to_numpy(), kept["n"].to_numpy()
-        del kept
-        by_key = np.argsort(keys)
-        grams.append((keys[by_key], n[by_key]))
-    return Trie(grams)
-
-
-def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: int = 1_000_000, chunk_bytes: int = 8_000_000,
+            of_contexts = nodes.withColumn("short_n", F.lit(0).cast("long"))
+        contexts = of_contexts.groupBy(context).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("short_n").alias("excluded"))
+        if k == order:
+            totals = nodes.groupBy(context).agg(F.sum("n").alias("total"))
+            done.append(grams.filter("n > 0").withColumn("context", context).join(totals, "context").select(
+                "bucket", "gram", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log")))
+        # The two shortest orders have at most 258 * 257 grams, whatever the texts; their keys are too few to deal by.
+        small = F.broadcast if k < 2 else lambda d: d
+        at = open_.withColumn("own", part(k + 1)).withColumn("context", F.shiftright("own", BITS)).join(small(contexts), "context", "left")
+        at = at.join(small(nodes.select(F.col("gram").alias("own"), F.col("n"))), "own", "left")
+        known, hit = F.col("kinds").isNotNull(), F.col("n").isNotNull()
+        new_kinds, rest = F.col("kinds") - F.col("seen_kinds"), F.col("total") - F.col("seen_total")
+        at = at.select(
+            "bucket", "gram", hit.alias("hit"),
+            (F.col("log") + F.when(hit, F.log10((F.col("n") - 0.5) / rest)).when(
+                known & (new_kinds > 0), F.log10(0.5 * new_kinds / rest)).otherwise(0.0)).alias("log"),
+            F.coalesce("kinds", F.lit(0).cast("long")).alias("seen_kinds"), F.coalesce("excluded", F.lit(0).cast("long")).alias("seen_total"))
+        at = written(at, "escapes")
+        done.append(at.filter("hit").select("bucket", "gram", "log"))
+        open_ = at.filter("NOT hit").drop("hit")
+        if k:
+            nodes = shorter.select(F.col("short").alias("gram"), F.col("short_n").alias("n"))
+    done.append(open_.select("bucket", "gram", (F.col("log") - F.log10(F.lit(SYMBOLS) - F.col("seen_kinds"))).alias("log")))
+    found = done[0]
+    for d in done[1:]:
+        found = found.unionByName(d)
+    return found
+
+
+def learn_logs(chunks: DataFrame, order: int, bucket_bytes: int) -> tuple[DataFrame, int]:
+    """``chunk, bucket, logs`` of the distinct grams of each chunk, in the order of their keys, and the number of buckets."""
+    spark = chunks.sparkSession
+    size = chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n).alias("n")).agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, -(-size // bucket_bytes))
+    own = written(chunk_grams(chunks, order, buckets), "own")
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        keys, n = merged_counts([restored_keys(g) for g in group["grams"]], [restored(c, np.int64) for c in group["n"]])
+        return pd.DataFrame({"bucket": group["bucket"].iat[0], "gram": keys, "n": n})
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("gram")
+        return pd.DataFrame({"bucket": [group["bucket"].iat[0]], "grams": [squeezed_keys(group["gram"].to_numpy())],
+                             "logs": [squeezed(group["log"].to_numpy())]})
+
+    def look_up(asking: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        keys, logs = restored_keys(values["grams"].iat[0]), restored(values["logs"].iat[0], np.float64)
+        found = [squeezed(logs[np.searchsorted(keys, restored_keys(g))]) for g in asking["grams"]]
+        return pd.DataFrame({"chunk": asking["chunk"], "bucket": asking["bucket"], "logs": found})
+
+    bounded_batches(spark, 100_000)
+    grams = written(own.drop("chunk").groupBy("bucket").applyInPandas(count, "bucket int, gram long, n long"), "grams")
+    values = gram_logs(grams, order).groupBy("bucket").applyInPandas(pack, "bucket int, grams binary, logs binary")
+    values = written(values, "logs")
+    return own.drop("n").groupBy("bucket").cogroup(values.groupBy("bucket")).applyInPandas(
+        look_up, "chunk long, bucket int, logs binary"), buckets
+
+
+def score_chunk(texts: list[bytes], order: int, buckets: int, logs: dict[int, bytes]) -> np.ndarray:
+    """log10 probabilities of whole texts, from the ``logs`` of their distinct grams by bucket."""
+    slices = []
+    for part in in_slices(texts):
+        keys, sizes = gram_keys(part, order)
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        slices.append((distinct, inverse.astype(np.int32), sizes))
+    every = np.unique(np.concatenate([s[0] for s in slices]))
+    own = bucket_of(every, buckets)
+    by_bucket = np.argsort(own, kind="stable")
+    values = np.empty(len(every))
+    values[by_bucket] = np.concatenate([restored(logs[b], np.float64) for b in np.unique(own).tolist()])
+    out = []
+    for distinct, inverse, sizes in slices:
+        out.append(np.add.reduceat(values[np.searchsorted(every, distinct)][inverse], np.cumsum(sizes) - sizes))
+    return np.concatenate(out)
+
+
+def score_texts(docs: DataFrame, held_out: Column, order: int = 5, chunk_bytes: int = 8_000_000, bucket_bytes: int = 16_000_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -220,10 +322,10 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: in
     texts = chunks.select(F.aggregate("held_out", F.lit(0), lambda a, h: a + F.when(h, 0).otherwise(1)).alias("n")).agg(F.sum("n")).first()[0] or 0
     tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, kinds = tokens + texts, kinds + (texts > 0)
-    trie = learn_trie(chunks, order, max_nodes)
+    logs, buckets = learn_logs(chunks, order, bucket_bytes)
+    logs = logs.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "logs")).alias("logs"))
     known = entries.select("chunk", "at", "word").join(counts, "word").groupBy("chunk").agg(
         F.collect_list("at").alias("at"), F.collect_list("c").alias("c"))
-    trie = spark.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -244,8 +346,9 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 5, max_nodes: in
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row.doc_ids], "Int64"), "held_out": list(row.held_out),
                     "n_tokens": n_tokens, "n_known": n_known, "train_tokens": tokens, "base_score": base,
-                    "score": trie.value.score(texts_here)})
+                    "score": score_chunk(texts_here, order, buckets, {x["bucket"]: x["logs"] for x in row.logs})})
 
     bounded_batches(spark, 1)
-    return chunks.join(known, "chunk", "left").select("doc_ids", "held_out", "sizes", "texts", "words", "at", "c").mapInPandas(
+    return chunks.join(known, "chunk", "left").join(logs, "chunk").select(
+        "doc_ids", "held_out", "sizes", "texts", "words", "at", "c", "logs").mapInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,22 @@ def test_language_model(docs, none):
     assert lm_scoring.score_texts(none, F.lit(False)).count() == 0
 
 
+def test_language_model_keeps_every_gram(spark):
+    random = np.random.default_rng(3)
+    texts = [random.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8), 60_000).tobytes() for _ in range(24)]
+    texts += [texts[3][100:900], texts[5][7:50] + "\u00e9 unseen".encode() + texts[9][:70], b"", b"0123456789"]
+    rows = [(i, t.decode(), i >= 24) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    keys = lm_scoring.gram_keys(texts[:24], 5)[0]
+    trie = lm_scoring.Trie([np.unique(keys & lm_scoring.mask(k + 1), return_counts=True) for k in range(6)])
+    assert len(trie.grams[5][0]) > 1_000_000
+    expected = trie.score(texts)
+    found = lm_scoring.score_texts(df, F.col("held"), chunk_bytes=300_000, bucket_bytes=400_000).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r["score"] == pytest.approx(expected[r["doc_id"]], rel=1e-9)
+
+
 def test_repeats(docs, none):
     out = {r["doc_id"]: r for r in repeats.remove_repeats(docs).collect()}
     assert out[3]["n_bytes"] == 0 and out[3]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
