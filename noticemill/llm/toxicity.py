@@ -128,11 +128,15 @@ class Model:
             return INSULT_
         return self.classes.get(word) or (NEGATION_ if word.endswith("n't") else OTHER)
 
-    def clause(self, words: list[str]) -> float:
-        """The weight of one clause; threats count only when they are aimed."""
+    def marked(self, words: list[str]) -> list[str]:
+        """The symbols of a clause's words after all transducers."""
         symbols = [self.kind(w) for w in words]
         for transducer in GRAMMAR:
             symbols = transducer.run(symbols)
+        return symbols
+
+    def clause(self, words: list[str], symbols: list[str]) -> float:
+        """The weight of one marked clause; threats count only when they are aimed."""
         total = 0.0
         for word, s in zip(words, symbols):
             if s[0] in (INSULT_, THREAT_) and (s[0] == INSULT_ or s[-1] == "!"):
@@ -143,21 +147,29 @@ class Model:
         return total
 
     def features(self, text: str | None) -> tuple[float, ...]:
-        """Logs of: sum and peak of the clause weights, density per 1000 words, different terms, their occurrences."""
+        """Logs of: sum and peak of the clause weights, density per 1000 words, different terms, their occurrences.
+
+        An occurrence that is denied or quoted counts as its ``FACTOR``, a term as the most of its occurrences.
+        """
         lower = (text or "").lower()
         words = TOKEN.findall(lower)
         found = {w for w in set(words) if self.weight(w) or w in self.threats}
         if not found:
             return (0.0,) * N_FEATURES
-        total = peak = 0.0
+        total = peak = times = 0.0
+        most: dict[str, float] = {}
         for clause in CLAUSE.findall(lower):
             own = TOKEN.findall(clause)
             if not found.isdisjoint(own):
-                weight = self.clause(own)
+                symbols = self.marked(own)
+                weight = self.clause(own, symbols)
                 total, peak = total + weight, max(peak, weight)
-        insults = [w for w in found if self.weight(w)]
-        times = sum(w in insults for w in words)
-        return (math.log1p(total), math.log1p(peak), math.log1p(1000 * total / len(words)), math.log1p(len(insults)), math.log1p(times))
+                for word, s in zip(own, symbols):
+                    if s[0] == INSULT_:
+                        share = FACTOR.get(s[1:2], 1.0)
+                        times += share
+                        most[word] = max(most.get(word, 0.0), share)
+        return (math.log1p(total), math.log1p(peak), math.log1p(1000 * total / len(words)), math.log1p(sum(most.values())), math.log1p(times))
 
     def score(self, text: str | None) -> float:
         z = self.coefficients[0] + float(np.dot(self.coefficients[1:], self.features(text)))

@@ -64,6 +64,18 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(none, blank).count() == 0
 
 
+def test_toxicity_scores_terms_by_their_clause():
+    model = toxicity.Model({"idiot": 3.0, "moron": 2.5}, [-1.0, 0.0, 0.0, 0.0, 2.0, 2.0])
+    aimed = "Look, you idiot. Then a moron came."
+    denied = "He is not an idiot. Never a moron at all."
+    quoted = "They said the idiot came. She wrote of a moron."
+    assert model.features(aimed)[3:] == pytest.approx((np.log(3), np.log(3)))
+    assert model.features(denied)[3:] == pytest.approx((np.log(1.6), np.log(1.6)))
+    assert model.features(quoted)[3:] == pytest.approx((np.log(2.2), np.log(2.2)))
+    assert model.features("Not an idiot. You idiot! He said idiot.")[3:] == pytest.approx((np.log(2), np.log(2.9)))
+    assert model.score(denied) < model.score(quoted) < model.score(aimed)
+
+
 def test_language_model(docs, none):
     out = lm_scoring.score_texts(docs, F.col("doc_id") == 7, order=3, chunk_bytes=20_000).collect()
     by_id = {r["doc_id"]: r for r in out}
