@@ -74,17 +74,21 @@ class Forest:
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v`` (doubles) of the vectors that take part.
+    """``vec_id, v`` (doubles) of the vectors that take part, divided by their largest component.
+
+    Vectors that are exact multiples of one another become equal so, bit by bit.
 
     Left out: null ids, vectors that are null, empty, zero, hold null or non-finite components, or are of another
-    length than most (of equal counts the longer). Rows that repeat an id and a vector count once.
+    length than most (of equal counts the longer). Rows that repeat an id and a direction count once.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     found = rows.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
     top = found.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return found.filter(F.size("v") == (top["n"] if top else 0)).dropDuplicates(["vec_id", "v"])
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x))).alias("largest")
+    found = found.filter(F.size("v") == (top["n"] if top else 0)).select("vec_id", "v", largest)
+    return found.select("vec_id", F.transform("v", lambda x: x / F.col("largest")).alias("v")).dropDuplicates(["vec_id", "v"])
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -104,7 +108,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
 
     ``is_query`` is a condition on ``vec_id``. The forest is fitted on at most ``sample_rows`` rows (those
     whose ids hash lowest) down to about ``leaf_rows`` of them a leaf; every row is indexed.
-    ``visit_share`` of all leaves, twice as many as trees at least, are visited per query. Of equal vectors only the ``k + 1`` with the smallest ids can be
+    ``visit_share`` of all leaves, twice as many as trees at least, are visited per query. Of vectors of one direction only the ``k + 1`` with the smallest ids can be
     in an answer, so these stand for all. Nearest first, ties to the smaller id; a query is no neighbour of itself.
     """
     spark = rows.sparkSession

@@ -175,3 +175,14 @@ def test_neighbours(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, F.col("vec_id") == 0, k=5).orderBy("rank").collect()]
     assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_neighbours_ties_of_scaled_copies(spark):
+    random = np.random.default_rng(11)
+    way = random.integers(-50, 50, 16)
+    copies = [(i, (way * int(random.integers(1, 1000))).astype(float).tolist()) for i in range(1, 61)]
+    others = [(i, random.normal(size=16).tolist()) for i in range(100, 160)]
+    df = spark.createDataFrame([(0, (way * 7 + random.integers(-9, 9, 16)).astype(float).tolist()), *copies, *others], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("vec_id").isin(0, 3), k=5).orderBy("query_id", "rank").collect()
+    assert [r["vec_id"] for r in found if r["query_id"] == 0] == [1, 2, 3, 4, 5]
+    assert [r["vec_id"] for r in found if r["query_id"] == 3] == [1, 2, 4, 5, 6]
