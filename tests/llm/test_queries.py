@@ -233,3 +233,59 @@ def test_pipeline(spark, texts):
     assert max(Counter(kept["source_mix"]).values()) <= 2 and set(kept["source_mix"]) <= set(kept["near_dedup"])
     packed = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, SF).filter("piece = 0").collect())
     assert packed == Counter(kept["source_mix"])
+
+
+def test_pipeline_stages_match_plain_versions(spark, texts):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs, kept = catalog.table(spark, SF, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, SF), name)
+        kept[name] = [(r["doc_id"], r["source"]) for r in docs.select("doc_id", "source").collect()]
+
+    inputs = sorted(i for i, _ in kept["exact_dedup"])
+    sets, group = {}, {i: i for i in inputs}
+    for i in inputs:
+        w = texts[i].encode().lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in inputs:
+        for j in inputs:
+            both = len(sets[i] & sets[j])
+            if i < j and both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                group[b] = a
+    assert sorted(i for i, _ in kept["near_dedup"]) == [i for i in inputs if root(i) == i]
+
+    size, taken = Counter(), Counter()
+    for i, source in kept["near_dedup"]:
+        size[source] += len(texts[i].encode().split())
+    for i, source in kept["source_mix"]:
+        taken[source] += len(texts[i].encode().split())
+    weight, open_, target = dict(zip(sorted(size), [3, 1, 2] * len(size))), set(size), {}
+    while True:
+        left = 1.5 * sum(size.values()) - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 2 * size[s]}
+        if not over:
+            break
+        target |= {s: 2.0 * size[s] for s in over}
+        open_ -= over
+    target |= share
+    for s in size:
+        assert abs(taken[s] - target[s]) <= max(50, 0.02 * target[s])
+
+    tokens, plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for i, _ in kept["source_mix"]:
+        ids = np.array([*tokens.encode(texts[i], add_special_tokens=False).ids, 0], "<u4")
+        ends = range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)  # the first piece is the short one
+        plain.update((i, k, zlib.crc32(ids[max(0, end - 2048):end].tobytes())) for k, end in enumerate(ends))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).select("doc_id", "piece", "ids_crc32").collect()
+    assert Counter((r["doc_id"], r["piece"], r["ids_crc32"]) for r in packed) == plain
