@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from noticemill.llm.chat import fold_events, read_back, render
 from noticemill.llm.common import id_crc, table
 from noticemill.llm.exact_dedup import exact_groups
+from noticemill.llm.filter_audit import audit
 from noticemill.llm.language_id import identify, learn_profiles
 from noticemill.llm.lm_scoring import score_texts
 from noticemill.llm.mixing import mix
@@ -116,9 +117,45 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, s::INT AS step, filter_order[s] AS own, filter_order[1:s - 1] AS earlier FROM orders, range(1, 6) r(s)),
+words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM words LEFT JOIN marks USING (doc_id)),
+sets AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY 1, 2),
+seen AS (
+  SELECT *, contains(fails, own) AS has, length(translate(fails, earlier, '')) < length(fails) AS gone FROM sets, steps),
+counted AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT has AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (has AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (has AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (has AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (has AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY 1, 2, 3, 4)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM counted
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op9_chat_format": OP9_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op9_chat_format": OP9_SQL, "op12_filter_audit": OP12_SQL}
