@@ -15,6 +15,7 @@ from noticemill.llm.common import id_crc, table
 from noticemill.llm.exact_dedup import exact_groups
 from noticemill.llm.filter_audit import audit
 from noticemill.llm.language_id import identify, learn_profiles
+from noticemill.llm.license_scan import BASE, NOTICES, scan
 from noticemill.llm.lm_scoring import score_texts
 from noticemill.llm.mixing import mix
 from noticemill.llm.near_dedup import near_groups
@@ -153,9 +154,44 @@ SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS
 """
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+OP13_SQL = r"""
+WITH t(template, label, gap, cover, base, words) AS (VALUES %s),
+tg AS (
+  SELECT *, words[place + 1] AS t1, words[place + 2] AS t2 FROM (SELECT *, unnest(range(0, len(words) - 1)) AS place FROM t)),
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+w AS (
+  SELECT doc_id, pos, w1, lead(w1) OVER (PARTITION BY doc_id ORDER BY pos) AS w2
+  FROM (SELECT doc_id, unnest(words) AS w1, generate_subscripts(words, 1) - 1 AS pos FROM d)),
+votes AS (
+  SELECT doc_id, template, label, gap, cover, base, len(words) AS size, place, pos - place AS diagonal
+  FROM w JOIN tg ON w1 = t1 AND w2 = t2),
+lines AS (
+  SELECT doc_id, template, diagonal,
+    coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > min(gap), true) AS apart
+  FROM votes GROUP BY doc_id, template, diagonal),
+merged AS (
+  SELECT doc_id, template, diagonal, sum(apart::INT) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS merged FROM lines),
+compared AS (SELECT *, unnest([place, place + 1]) AS word FROM votes JOIN merged USING (doc_id, template, diagonal)),
+spans AS (
+  SELECT doc_id, label, base, cover, min(word + diagonal) AS start, count(DISTINCT word) / min(size) AS share
+  FROM compared GROUP BY doc_id, template, merged, label, base, cover HAVING count(DISTINCT word) / min(size) >= cover)
+SELECT doc_id, len(words)::BIGINT AS n_words, count(start) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+  max(start) FILTER (base) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0)::DOUBLE AS score
+FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id, words
+""" % ", ".join(
+    f"({i}, '{t.label}', {t.gap}, {t.cover}::DOUBLE, {t.base}, {t.words})" for i, t in enumerate(BASE + NOTICES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op9_chat_format": OP9_SQL, "op12_filter_audit": OP12_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op9_chat_format": OP9_SQL, "op12_filter_audit": OP12_SQL, "op13_license_scan": OP13_SQL}
