@@ -22,6 +22,7 @@ from noticemill.llm.near_dedup import near_groups
 from noticemill.llm.neighbours import nearest
 from noticemill.llm.packing import pack_documents
 from noticemill.llm.repeats import remove_repeats
+from noticemill.llm.runs import periodic_runs
 from noticemill.llm.toxicity import learn, score
 
 
@@ -118,6 +119,29 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: a tenth of the texts repeats from some word on a period of its own, as the contract of op11 says."""
+    h = id_crc(F.col("doc_id"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    n = F.greatest(F.size("words"), F.lit(1))
+    rows = rows.withColumn("a", F.pmod("g", n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    said = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when(F.size("words") > 0, F.array_join(said, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")), least=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("at"), (-r["period"]).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select("doc_id", "runs", "collapsed", longest.alias("best"), F.array_join(lines, "\n").alias("lines")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.at")).alias("start"), F.col("best.n").alias("length"),
+        (-F.col("best.q")).alias("period"), F.floor(1000 * F.col("best.n") / -F.col("best.q")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat("lines", F.lit("\n"))).otherwise(F.lit("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
