@@ -41,7 +41,7 @@ def some_texts(n, seed):
     r = random.Random(seed)
     texts = [[], [b"a"], [b"a"] * 11, [b"a"] * 12, [b"a"] * 333, [b"a", b"b"] * 6, [b"a"] * 100 + [b"x"] + [b"a"] * 100 + [b"x"] + [b"a"] * 90]
     for _ in range(n):
-        letters = [bytes([97 + k]) for k in range(r.choice((2, 2, 3, 5, 50)))]
+        letters = [bytes([40 + k]) for k in range(r.choice((2, 2, 3, 5, 50)))]
         t = []
         while len(t) < r.choice((5, 40, 200, 600)):
             piece = r.choices(letters, k=r.randrange(1, 40))
