@@ -11,8 +11,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fixed_values as V
+from .. import schemas as SC
 from ..functions.dates import month_key, parse_date, partition_columns
 from ..operators import dedup as D
+from ..operators import enrich as EN
 from ..operators import planning as PL
 from ..plans import compaction as C
 from ..session import work_path
@@ -20,6 +23,7 @@ from ..sources import dataset as DS
 from ..sources import json_store as J
 from ..sources import lexicons as LX
 from .registry import query, table
+from .texts import HYBRID_SQL, KEY_SQL
 
 RUN_TS = "2024-02-05 06:00:00"
 
@@ -359,24 +363,124 @@ def rewrite_to_schema(spark, sf):
 
 # --- incremental load and streams ---------------------------------------------------------------------
 
-@query("daily_load", """
-WITH d AS (SELECT unnest(range(DATE '2024-01-01', DATE '2024-02-06', INTERVAL 1 DAY))::DATE AS d),
-n AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1)
-SELECT strftime(d, '%Y-%m-%d') AS date, coalesce(n, 0) AS records,
-  CASE WHEN d <= DATE '2024-01-10' THEN '2024-01-10T06:00:00' ELSE '2024-02-05T06:00:00' END AS timestamp
-FROM d LEFT JOIN n USING (d)""")
-def daily_load(spark, sf):
-    from ..plans.daily_load import LOG_SCHEMA, run_daily_load
+# Documents as notices: published on one of 36 days, landed as pages of JSON envelopes.
+NOTICE_DAY = "date_add(DATE '2024-01-01', CAST(doc_id % 36 AS INT))"
+NOTICE_ROWS = T.StructType([f for f in SC.NOTICE.fields if f.name in ("numeroCompra", "objetoCompra", "modalidadeId", "orgaoEntidade")])
 
-    store = work_path(spark, "store")
-    def keep(df):
-        return df.where("event_type <> 'error'")
 
-    for run, catch_up in ((datetime(2024, 1, 10, 6), False), (datetime(2024, 2, 5, 6), True), (datetime(2024, 2, 5, 6), True)):
+def land_notices(spark, sf, path, page_size=50):
+    """Writes the envelopes, a JSON line each, into a folder per date; a page holds at most ``page_size`` notices."""
+    agency = F.struct(F.col("source").alias("cnpj"), F.upper(F.substring("lang", 1, 1)).alias("esferaId"))
+    notice = F.struct(
+        F.col("doc_id").cast("string").alias("numeroCompra"), F.col("text").alias("objetoCompra"), (F.col("doc_id") % 15).alias("modalidadeId"),
+        F.when(F.col("doc_id") % 4 != 0, agency).alias("orgaoEntidade"))
+    rows = table(spark, sf, "documents").select(
+        F.expr(NOTICE_DAY).alias("date"), F.expr(f"doc_id div {36 * page_size}").alias("page"), notice.alias("notice"))
+    pages = rows.groupBy("date", "page").agg(F.collect_list("notice").alias("data"), F.count("*").alias("totalRegistros"))
+    envelope = F.struct("data", F.lit(1).alias("totalPaginas"), "totalRegistros")
+    pages.select("date", F.to_json(envelope).alias("value")).write.partitionBy("date").text(path)
+
+
+def notice_domains(spark, sf):
+    nation = EN.domain_table(table(spark, sf, "nation").where("n_nationkey < 12"), "n_nationkey", "n_name")
+    return {"modalidade": nation}
+
+
+def called_verdicts(spark, sf):
+    """Stored verdicts with the figures of their model calls."""
+    from .texts import verdict_table
+
+    return verdict_table(spark, sf).withColumns({
+        "tokens_used": F.col("cache_id"), "response_time": F.col("cache_id") / 8, "cached": F.col("cache_id") % 2 == 0})
+
+
+def load_notices(spark, sf, store, landing, runs):
+    """Envelopes through the record pipeline into day folders, with a log row a date; one run for each (time, catch-up)."""
+    from ..plans.daily_load import run_daily_load
+    from ..plans.hybrid import hybrid_filter
+    from ..plans.records import finish_records
+    from ..sources import envelopes as EV
+    from .texts import lexicon_frame
+
+    for run, catch_up in runs:
+        records = EV.explode_envelopes(EV.read_envelopes(spark, landing, NOTICE_ROWS))
         run_daily_load(
-            spark, store, event_days(spark, sf), "event_day", keep, run, date(2024, 1, 1), catch_up=catch_up)
-    log = J.load_json(spark, f"{store}/metadata/extraction_log", LOG_SCHEMA)
-    return log.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "records", "timestamp")
+            spark, store, records, "date", lambda kept: finish_records(kept, notice_domains(spark, sf)), run, date(2024, 1, 1), catch_up=catch_up,
+            judge=lambda df: hybrid_filter(df, "objetoCompra", lexicon_frame(spark), called_verdicts(spark, sf), on_missing="keep", id_col="numeroCompra"))
+
+
+LOAD_RUNS = ((datetime(2024, 1, 10, 6), False), (datetime(2024, 2, 5, 6), True), (datetime(2024, 2, 5, 6), True))
+LOADED_SQL = HYBRID_SQL + """,
+n AS (SELECT DATE '2024-01-01' + (doc_id % 36)::INT AS d, h.*, cache_id FROM h LEFT JOIN repaired r ON has_verdict AND r.key = """ + KEY_SQL.format("h.text") + """),
+days AS (SELECT unnest(range(DATE '2024-01-01', DATE '2024-02-06', INTERVAL 1 DAY))::DATE AS d),
+c AS (SELECT d, count(*) AS total, count(grp) AS first, count(*) FILTER (has_verdict) AS second,
+  count(*) FILTER (has_verdict AND decisao = 'APROVAR') AS second_yes, count(*) FILTER (included) AS kept,
+  count(*) FILTER (grp IS NULL AND text <> '') AS saved, count(*) FILTER (cache_id % 2 = 0) AS hits,
+  coalesce(sum(cache_id), 0)::BIGINT AS tokens FROM n GROUP BY d),
+g AS (SELECT d, grp, count(*) AS k FROM n WHERE grp IS NOT NULL GROUP BY ALL),
+gt AS (SELECT d, string_agg(grp || '=' || k, ';' ORDER BY k DESC, grp) AS groups FROM (
+  SELECT *, row_number() OVER (PARTITION BY d ORDER BY k DESC, grp) AS rn FROM g) WHERE rn <= 10 GROUP BY d),
+t AS (SELECT d, term, count(*) AS k FROM n WHERE term IS NOT NULL GROUP BY ALL),
+tt AS (SELECT d, string_agg(term || '=' || k, ';' ORDER BY k DESC, term) AS terms FROM (
+  SELECT *, row_number() OVER (PARTITION BY d ORDER BY k DESC, term) AS rn FROM t) WHERE rn <= 10 GROUP BY d)
+"""
+DAILY_LOAD_SQL = LOADED_SQL + """
+SELECT strftime(d, '%Y-%m-%d') AS date, coalesce(kept, 0) AS records,
+  CASE WHEN d <= DATE '2024-01-10' THEN '2024-01-10T06:00:00' ELSE '2024-02-05T06:00:00' END AS timestamp,
+  total AS total_analisados, first AS etapa1_aprovados, total - first AS etapa1_rejeitados, second_yes AS etapa2_aprovados,
+  second - second_yes AS etapa2_rejeitados, kept AS filtrados_aprovados, total - kept AS filtrados_rejeitados, saved AS llm_economizados,
+  round(100 * kept / total, 2) AS taxa_aprovacao_final_percent, round(100 * first / total, 2) AS taxa_etapa1_aprovacao_percent,
+  round(100 * saved / total, 2) AS taxa_economia_llm_percent, second > 0 AS filtro_hibrido_ativo,
+  CASE WHEN total > 0 THEN coalesce(groups, '') END AS top_grupos, CASE WHEN total > 0 THEN coalesce(terms, '') END AS top_termos,
+  second AS verdicts, hits AS cache_hits, tokens AS total_tokens
+FROM days LEFT JOIN c USING (d) LEFT JOIN gt USING (d) LEFT JOIN tt USING (d)"""
+
+
+def load_log(spark, store):
+    from ..plans.daily_load import COUNTS, LOG_SCHEMA, RATES
+
+    named = lambda c: F.array_join(F.transform(f"filter_stats.{c}", lambda x: F.concat_ws("=", x["name"], x["matches"])), ";").alias(c)
+    return J.load_json(spark, f"{store}/metadata/extraction_log", LOG_SCHEMA).select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"), "records", "timestamp", *[f"filter_stats.{c}" for c in (*COUNTS, *RATES)],
+        "filter_stats.filtro_hibrido_ativo", named("top_grupos"), named("top_termos"), "filter_stats.llm_stats.*")
+
+
+@query("daily_load", DAILY_LOAD_SQL)
+def daily_load(spark, sf):
+    store, landing = work_path(spark, "store"), work_path(spark, "landing")
+    land_notices(spark, sf, landing)
+    load_notices(spark, sf, store, landing, LOAD_RUNS)
+    return load_log(spark, store)
+
+
+@query("daily_load_rerun", HYBRID_SQL + """
+SELECT doc_id, strftime(DATE '2024-01-01' + (doc_id % 36)::INT, '%Y-%m-%d') AS data_publicacao, '2024-02-05T06:00:00.000000' AS extraction_date,
+  reason, coalesce(n_name, 'Modalidade ' || (doc_id % 15)) AS modality_name
+FROM h LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON n_nationkey = doc_id % 15 WHERE included""")
+def daily_load_rerun(spark, sf):
+    """Data of a run that was lost before its log was written is replaced, not doubled, by the next one."""
+    store, landing = work_path(spark, "store"), work_path(spark, "landing")
+    land_notices(spark, sf, landing)
+    load_notices(spark, sf, store, landing, [(datetime(2024, 2, 4, 6), False)])
+    DS.delete_path(spark, f"{store}/metadata/extraction_log")
+    load_notices(spark, sf, store, landing, [(datetime(2024, 2, 5, 6), False)])
+    return DS.read_dataset(spark, f"{store}/raw-data", all_columns=True).select(
+        F.col("numeroCompra").cast("bigint").alias("doc_id"), "data_publicacao", "extraction_date",
+        F.col(V.FILTER_COLUMNS["reason"]).alias("reason"), F.col("modalidade_nome_dominio").alias("modality_name"))
+
+
+@query("hybrid_details", HYBRID_SQL + f"""
+SELECT doc_id, cache_id AS tokens_used, cache_id / 8 AS response_time, cache_id % 2 = 0 AS cached,
+  CASE WHEN grp IS NOT NULL AND NOT has_verdict THEN true END AS available
+FROM h LEFT JOIN repaired r ON has_verdict AND r.key = {KEY_SQL.format('h.text')}""")
+def hybrid_details(spark, sf):
+    from ..plans.hybrid import hybrid_filter
+    from .texts import lexicon_frame
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = hybrid_filter(docs, "text", lexicon_frame(spark), called_verdicts(spark, sf), on_missing="keep", id_col="doc_id")
+    names = {"llm_tokens_used": "tokens_used", "llm_response_time": "response_time", "llm_cached": "cached", "llm_disponivel": "available"}
+    return out.select("doc_id", *[F.col(f"details.{k}").alias(v) for k, v in names.items()])
 
 
 def event_stream(spark, sf):

@@ -146,8 +146,8 @@ def batch_verdicts(
     )
 
 
-def funnel_stats(df: DataFrame) -> DataFrame:
-    """One row on a two-stage filter: needs text_empty, stage1_passed, stage2_passed, included.
+def funnel_stats(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row, or one per combination of ``keys``, on a two-stage filter: needs text_empty, stage1_passed, stage2_passed, included.
 
     Empty texts are rejected in stage 1 but spare no model call, as none was due.
     """
@@ -155,7 +155,7 @@ def funnel_stats(df: DataFrame) -> DataFrame:
         return F.count(F.when(cond, F.lit(1)))
 
     first, second, kept = F.col("stage1_passed"), F.col("stage2_passed"), F.col("included")
-    sums = df.agg(
+    sums = df.groupBy(*keys).agg(
         F.count("*").alias("total_analisados"),
         count_if(first).alias("etapa1_aprovados"),
         count_if(~first).alias("etapa1_rejeitados"),
@@ -174,6 +174,15 @@ def funnel_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def hits_by_key(df: DataFrame, keys: Sequence[str], column: str, n: int, out: str) -> DataFrame:
+    """Per combination of ``keys`` the ``n`` values of ``column`` with most rows, as an array of (name, matches); ties by name."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_name")).agg(F.count("*").alias("_n"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_n"), F.asc("_name")))
+    best = counts.withColumn("_place", place).where(F.col("_place") <= n)
+    ranked = F.array_sort(F.collect_list(F.struct("_place", F.col("_name").alias("name"), F.col("_n").alias("matches"))))
+    return best.groupBy(*keys).agg(F.transform(ranked, lambda r: F.struct(r["name"].alias("name"), r["matches"].alias("matches"))).alias(out))
+
+
 def run_totals(df: DataFrame, day: str) -> DataFrame:
     """Rows per date, with the total over all non-empty days beside each.
 

@@ -13,6 +13,8 @@ from ..operators.lexicon import keyword_stage
 from ..session import MAX_INLINE_ENTRIES
 
 VERDICT_COLUMNS = ("decisao", "categoria", "confianca", "justificativa")
+# Details of the model call, each with its type; a verdict table may lack them.
+CALL_COLUMNS = {"tokens_used": "bigint", "response_time": "double", "cached": "boolean"}
 
 
 def hybrid_filter(
@@ -28,8 +30,8 @@ def hybrid_filter(
 ) -> DataFrame:
     """Adds included, reason, details and the marks of each stage to every row.
 
-    ``verdicts`` has one row per key (decisao, categoria, confianca, justificativa); None
-    means stage 1 decides alone. A row that passes stage 1 and has no verdict is rejected,
+    ``verdicts`` has one row per key (decisao, categoria, confianca, justificativa, and where known tokens_used,
+    response_time and cached); None means stage 1 decides alone. A row that passes stage 1 and has no verdict is rejected,
     or with ``on_missing="keep"`` kept on stage 1 alone. With ``kept_only`` rows that stage
     1 rejects are filtered before the verdict join and do not travel.
     """
@@ -57,7 +59,7 @@ def hybrid_filter(
     if verdicts is None:
         out = staged.withColumn("stage2_passed", F.lit(None).cast("boolean"))
         included, reason, hybrid = passed, F.when(passed, alone).otherwise(rejected), F.lit(False)
-        details = merge_right(first, {"filtro_hibrido": F.when(passed, hybrid)})
+        details = merge_right(first, {"filtro_hibrido": F.when(passed, hybrid), "llm_disponivel": F.when(passed, F.lit(False))})
     else:
         # Key and previews are cut before the join, so that the text itself only travels where
         # the caller asks for it.
@@ -70,7 +72,8 @@ def hybrid_filter(
             own_key = F.concat(F.lit("-"), F.xxhash64(*(([id_col] if id_col else hashable))).cast("string"))
             keyed = keyed.withColumn("_join_key", F.when(passed, F.col("_join_key")).otherwise(own_key))
         right = verdicts.select(
-            F.col("key").alias("_verdict_key"), *[F.col(c).alias(f"_v_{c}") for c in VERDICT_COLUMNS])
+            F.col("key").alias("_verdict_key"), *[F.col(c).alias(f"_v_{c}") for c in VERDICT_COLUMNS],
+            *[(F.col(c) if c in verdicts.columns else F.lit(None)).cast(kind).alias(f"_v_{c}") for c, kind in CALL_COLUMNS.items()])
         out = keyed.join(right, F.col("_join_key") == F.col("_verdict_key"), "left")
         missing = F.col("_verdict_key").isNull()
         decision = F.coalesce("_v_decisao", F.lit(V.REJECT))
@@ -88,12 +91,15 @@ def hybrid_filter(
             "llm_categoria": F.when(second, F.coalesce("_v_categoria", F.lit(""))),
             "llm_confianca": F.when(second, confidence),
             "llm_justificativa": F.when(second, F.coalesce("_v_justificativa", F.lit(""))),
+            **{f"llm_{c}": F.when(second, F.col(f"_v_{c}")) for c in CALL_COLUMNS},
             "objetivo_compra": F.when(second, F.col("_long_preview")),
             "filtro_etapa1_motivo": F.when(second, F.col("stage1_reason")),
             "filtro_etapa2_motivo": F.when(second, verdict_reason),
             "filtro_hibrido": F.when(passed, second),
+            # A row kept on stage 1 alone says whether a model was there to be asked.
+            "llm_disponivel": F.when(fallback, F.lit(True)),
         })
     out = out.withColumn("included", included).withColumn("reason", reason).withColumn("details", details)
     drop = ["_join_key", "_verdict_key", "_long_preview", "stage1_reason", "criterion", "preview"]
-    out = out.drop(*drop, *[f"_v_{c}" for c in VERDICT_COLUMNS])
+    out = out.drop(*drop, *[f"_v_{c}" for c in (*VERDICT_COLUMNS, *CALL_COLUMNS)])
     return out.where("included") if kept_only else out

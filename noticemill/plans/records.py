@@ -30,6 +30,17 @@ def filter_columns(df: DataFrame) -> DataFrame:
     }).drop(*_MARKS)
 
 
+def finish_records(
+    kept: DataFrame,
+    dims: Mapping[str, DataFrame],
+    lookups: Sequence[tuple[str, str, str, str, str]] = tuple(V.DOMAIN_LOOKUPS),
+    structs: Mapping[str, T.StructType] = RECORD_STRUCTS,
+    arrays: Mapping[str, T.StructType] = RECORD_ARRAYS,
+) -> DataFrame:
+    """Filter columns, look-ups and nested fill of rows that ``hybrid_filter`` has kept."""
+    return fill_record(enrich_all(filter_columns(kept), dims, lookups), structs, arrays)
+
+
 def record_pipeline(
     df: DataFrame,
     text: str,
@@ -49,4 +60,4 @@ def record_pipeline(
     With ``enabled=False`` every row is kept, with the bypass as its reason and empty details.
     """
     kept = hybrid_filter(df, text, lexicon, verdicts, on_missing, enabled, True, id_col, inline_bound)
-    return fill_record(enrich_all(filter_columns(kept), dims, lookups), structs, arrays)
+    return finish_records(kept, dims, lookups, structs, arrays)

@@ -46,6 +46,12 @@ def delete_folder(spark: SparkSession, uri: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder given by its plain path; False if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def date_of_name(name: Column | str) -> Column:
     """Date in a file or folder name: …_YYYYMMDD.parquet, or …_YYYYMM_consolidated (first of month); else null."""
     name = F.col(name) if isinstance(name, str) else name
