@@ -247,35 +247,88 @@ def named_files(spark, sf):
         F.count("*").alias("events"))
 
 
-@query("compact_store", """
-SELECT CASE WHEN CAST(ts AS DATE) + INTERVAL 20 DAYS < TIMESTAMP '2024-02-05 06:00:00' THEN 'monthly' ELSE 'daily' END AS place,
-  count(DISTINCT event_id) AS events, round(sum(value), 2) AS value FROM events GROUP BY 1""")
+# Orders as contracts of 60 days; some are published again on the next day, at another value. Two orders may share all keys of a month.
+CONTRACT_SQL = """
+WITH o AS (SELECT o_orderkey, DATE '2024-01-01' + (o_orderkey % 60)::INT AS d, 'U' || o_custkey % 50 AS unit, o_orderpriority AS what,
+             round(o_totalprice * 100)::BIGINT AS cents FROM orders),
+days AS (SELECT o_orderkey // 3 AS seq, unit, strftime(d, '%Y-%m-%d') AS published, what, cents, d FROM o
+  UNION ALL SELECT o_orderkey // 3, unit, strftime(d, '%Y-%m-%d'), what, cents + 100, d + INTERVAL 1 DAY FROM o WHERE o_orderkey % 5 = 0),
+before AS (SELECT o_orderkey // 3 AS seq, unit, strftime(d, '%Y-%m-%d') AS published, what, -1 AS cents, date_trunc('month', d) AS d FROM o WHERE o_orderkey % 7 = 0),
+late AS (SELECT o_orderkey // 3 AS seq, unit, strftime(d, '%Y-%m-%d') AS published, what, cents + 200 AS cents, DATE '2024-01-03' AS d FROM o WHERE o_orderkey % 60 = 2 AND o_orderkey % 4 = 0)
+"""
+
+
+def contract_days(spark, sf):
+    """Contracts by the day folder they land in, those of an earlier month state, and some that land late."""
+    o = table(spark, sf, "orders")
+    day = F.expr("date_add(DATE '2024-01-01', CAST(o_orderkey % 60 AS INT))")
+    amount = F.round(F.col("o_totalprice") * 100).cast("bigint")
+
+    def rows(df, cents, landed):
+        return df.select(
+            F.expr("o_orderkey div 3").alias("sequencialContratacao"), F.concat(F.lit("U"), F.col("o_custkey") % 50).alias("codigoUnidadeOrgao"),
+            F.date_format(day, "yyyy-MM-dd").alias("dataPublicacao"), F.col("o_orderpriority").alias("objetoContrato"),
+            (cents.cast("decimal(18,2)") / 100).cast("double").alias("valorContrato"), landed.alias("landed"))
+
+    days = rows(o, amount, day).unionByName(rows(o.where("o_orderkey % 5 = 0"), amount + 100, F.date_add(day, 1)))
+    before = rows(o.where("o_orderkey % 7 = 0"), F.lit(-1), F.trunc(day, "month"))
+    late = rows(o.where("o_orderkey % 60 = 2 AND o_orderkey % 4 = 0"), amount + 200, F.lit("2024-01-03").cast("date"))
+    return days, before, late
+
+
+VALUE_ORDER = ["valorContrato"]
+PLACES = """
+SELECT place, count(*) AS contracts, count(DISTINCT (seq, unit, published, what)) AS contract_keys, sum(cents)::BIGINT AS cents FROM """
+
+
+@query("compact_store", CONTRACT_SQL + """,
+old AS (SELECT *, 1 AS rank FROM days WHERE d + INTERVAL 20 DAYS < TIMESTAMP '2024-02-05 06:00:00'
+  UNION ALL SELECT *, 0 FROM before WHERE d = DATE '2024-01-01'),
+first AS (SELECT * EXCLUDE (rn) REPLACE (0 AS rank, DATE '2024-01-01' AS d) FROM (
+  SELECT *, row_number() OVER (PARTITION BY seq, unit, published, what ORDER BY rank DESC, d DESC, cents DESC) AS rn FROM old) WHERE rn = 1),
+merged AS (SELECT * FROM first UNION ALL SELECT *, 1 FROM late),
+second AS (SELECT *, row_number() OVER (PARTITION BY seq, unit, published, what ORDER BY rank DESC, d DESC, cents DESC) AS rn FROM merged)""" + PLACES + """(
+  SELECT 'monthly' AS place, seq, unit, published, what, cents FROM second WHERE rn = 1
+  UNION ALL SELECT 'monthly', seq, unit, published, what, cents FROM before WHERE d > DATE '2024-01-01'
+  UNION ALL SELECT 'daily', seq, unit, published, what, cents FROM days WHERE d + INTERVAL 20 DAYS >= TIMESTAMP '2024-02-05 06:00:00') GROUP BY 1""")
 def compact_store(spark, sf):
+    """Two compactions with the default keys; between them a file lands in a day that is compacted already."""
     store = work_path(spark, "store")
-    events = event_days(spark, sf)
-    # The month already holds some events, with other values that the newer daily rows replace.
-    DS.write_monthly(events.where("event_type = 'click'").withColumn("value", F.lit(-1.0)).drop("event_day")
-                     .withColumn("d", F.lit("2024-01-01").cast("date")), f"{store}/consolidated", "d")
-    old = events.where("event_day < date '2024-01-17'")
-    DS.write_monthly(old.where("event_type = 'click'").withColumn("value", F.lit(-1.0)), f"{store}/consolidated", "event_day")
-    DS.write_daily(events, f"{store}/raw-data", "event_day")
-    C.compact_months(spark, store, run_ts(), 20, ["event_id"])
-    monthly = DS.read_dataset(spark, f"{store}/consolidated").select(F.lit("monthly").alias("place"), "event_id", "value")
-    daily = DS.read_dataset(spark, f"{store}/raw-data").select(F.lit("daily").alias("place"), "event_id", "value")
-    return monthly.unionByName(daily).groupBy("place").agg(
-        F.count("event_id").alias("events"), F.round(F.sum("value"), 2).alias("value"))
-
-
-@query("history_store", """
-SELECT event_id, event_type, value, '2024-02-05T06:00:00.000000' AS consolidation_date FROM events""")
+    days, before, late = contract_days(spark, sf)
+    DS.write_monthly(before, f"{store}/consolidated", "landed")
+    DS.write_daily(days, f"{store}/raw-data", "landed")
+    C.compact_months(spark, store, run_ts(), 20, order=VALUE_ORDER)
+    DS.write_daily(late, f"{store}/raw-data", "landed")
+    C.compact_months(spark, store, run_ts(), 20, order=VALUE_ORDER)
+
+    def place(name, folder):
+        return DS.read_dataset(spark, f"{store}/{folder}").select(F.lit(name).alias("place"), *V_KEYS, "valorContrato")
+
+    return place("monthly", "consolidated").unionByName(place("daily", "raw-data")).groupBy("place").agg(
+        F.count("*").alias("contracts"), F.countDistinct(*V_KEYS).alias("contract_keys"),
+        F.sum(F.round(F.col("valorContrato") * 100).cast("bigint")).alias("cents"))
+
+
+V_KEYS = [k for k in V.MONTH_DEDUP_KEYS if k != "numeroContratacao"]  # the contract table has no such column
+
+
+@query("history_store", CONTRACT_SQL + """,
+u AS (SELECT *, 0 AS rank FROM before UNION ALL SELECT *, 1 FROM days UNION ALL SELECT * REPLACE (DATE '2024-03-20' AS d), 1 FROM late)
+SELECT seq, unit, published, what, cents, '2024-03-21T06:00:00.000000' AS consolidation_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY seq, unit, published ORDER BY rank DESC, d DESC, cents DESC, what DESC) AS rn FROM u) WHERE rn = 1""")
 def history_store(spark, sf):
+    """Two versions with the default keys; the second makes again only the months that late rows of a later day belong to."""
     store = work_path(spark, "store")
-    events = event_days(spark, sf)
-    DS.write_daily(events, f"{store}/raw-data", "event_day")
-    DS.write_monthly(events.where("event_type = 'view'").withColumn("value", F.lit(0.0)), f"{store}/consolidated", "event_day")
-    C.rebuild_history(spark, store, run_ts(), ["event_id"])
-    C.rebuild_history(spark, store, run_ts(), ["event_id"])
-    return spark.read.parquet(f"{store}/history").select("event_id", "event_type", "value", "consolidation_date")
+    days, before, late = contract_days(spark, sf)
+    order = ["valorContrato", "objetoContrato"]
+    DS.write_daily(days, f"{store}/raw-data", "landed")
+    DS.write_monthly(before, f"{store}/consolidated", "landed")
+    C.rebuild_history(spark, store, run_ts(), order=order)
+    DS.write_daily(late.withColumn("landed", F.lit("2024-03-20").cast("date")), f"{store}/raw-data", "landed")
+    C.rebuild_history(spark, store, F.lit("2024-03-21 06:00:00").cast("timestamp_ntz"), order=order)
+    return C.read_history(spark, store).select(
+        F.col("sequencialContratacao").alias("seq"), F.col("codigoUnidadeOrgao").alias("unit"), F.col("dataPublicacao").alias("published"),
+        F.col("objetoContrato").alias("what"), F.round(F.col("valorContrato") * 100).cast("bigint").alias("cents"), "consolidation_date")
 
 
 @query("json_round_trip", "SELECT item_id, text FROM benchmark")

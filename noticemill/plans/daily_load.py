@@ -112,11 +112,14 @@ def run_daily_load(
     """
     done = processed_dates(spark, store)
     span = date_span(run_ts.date(), start, last_loaded(done), historical, only, catch_up)
+    stamp = F.date_format(F.lit(run_ts).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
+    if span is None:  # nothing is due: what this run has logged before, if anything
+        log = load_json(spark, f"{store}/metadata/extraction_log", LOG_SCHEMA)
+        return spark.createDataFrame([], LOG_SCHEMA) if log is None else log.where(F.col("timestamp") == stamp)
     due = pending_dates(plan_dates(spark, span), done)
     wanted = records.join(due.withColumnRenamed("date", day), day, "left_semi")
-    if span is not None:
-        # Bounds on the day reach the scan; the semi join alone would not.
-        wanted = wanted.where(F.col(day).between(F.lit(span[0]), F.lit(span[1])))
+    # Bounds on the day reach the scan; the semi join alone would not.
+    wanted = wanted.where(F.col(day).between(F.lit(span[0]), F.lit(span[1])))
     clock = F.lit(run_ts).cast("timestamp")
     target = f"{store}/raw-data"
     staging, statistics = work_path(spark, "judged"), None
@@ -126,7 +129,7 @@ def run_daily_load(
     write_daily(with_control_columns(transform(wanted), clock, day), target, day)
 
     entries = due.select("date")
-    if span is not None and path_exists(spark, target):
+    if path_exists(spark, target):
         # Only folder columns are read, and only the folders of the span.
         folder_date = F.make_date("year", "month", "day")
         stored = read_dataset(spark, target).where(folder_date.between(F.lit(span[0]), F.lit(span[1])))
@@ -140,7 +143,7 @@ def run_daily_load(
         entries = entries.join(statistics, "date", "left")
     entries = entries.select(
         "date",
-        F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        stamp.alias("timestamp"),
         F.coalesce("records", F.lit(0)).cast("bigint").alias("records"),
         F.concat(F.lit(target), F.date_format("date", "'/year='yyyy'/month='M'/day='d")).alias("filepath"),
         "filter_stats",
@@ -149,5 +152,4 @@ def run_daily_load(
     if judge is not None:
         delete_path(spark, staging)
     log = load_json(spark, f"{store}/metadata/extraction_log", LOG_SCHEMA)
-    stamp = F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss")
     return log.where(F.col("timestamp") == stamp)

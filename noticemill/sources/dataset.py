@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,10 +78,76 @@ def count_from_file(df: DataFrame, name_part: str) -> DataFrame:
     return df.where(F.contains(F.col("_metadata.file_path"), F.lit(name_part))).agg(F.count("*").alias("total_records"))
 
 
+FILE_LIST = "path string, modificationTime timestamp, length bigint"
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, modificationTime, length`` of the data files below a folder, hidden ones left out; contents are not read.
+
+    A missing or empty folder gives no rows.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FILE_LIST)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(path)
+    # The path as every scan names it (an encoded URI), so that rows can be told by their file.
+    return files.select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length")
+
+
 def newest_files(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     """The n files changed last, with time and size; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "modificationTime", "length").orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
+    return list_files(spark, path).orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
+
+
+def folder_value(path: Column, name: str) -> Column:
+    """The whole number that stands in a path's folder ``name=``; null if there is none."""
+    return F.regexp_extract(path, f"/{name}=0*([0-9]+)/", 1).try_cast("int")
+
+
+def read_files(
+    spark: SparkSession, files: Sequence[str], base_path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Scan of exactly these files of a partitioned dataset, given as they stand in a listing; files that come later are not seen."""
+    names = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in files]
+    return read_dataset(spark, names, schema, base_path, all_columns=True)
+
+
+def delete_files(spark: SparkSession, files: Sequence[str]) -> int:
+    """Deletes files given as they stand in a listing, and folders that are empty without them; returns the number of files that were there."""
+    gone = 0
+    for f in files:
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        gone += fs.delete(p, False)
+        while "=" in p.getParent().getName():
+            p = p.getParent()
+            try:  # a folder that holds anything, also a file that has come just now, is not deleted
+                fs.delete(p, False)
+            except Py4JJavaError:
+                break
+    return gone
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file under a new name in one step: readers see it whole or not at all. False if the name is taken."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{final.getParent()}/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        return False
+    return True
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in one folder, hidden ones left out; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def with_control_columns(df: DataFrame, run_ts: Column, day: Column | str) -> DataFrame:

@@ -73,12 +73,100 @@ def test_compaction(spark, tmp_path):
     assert DS.read_dataset(spark, f"{store}/consolidated").count() == 5
 
     assert C.rebuild_history(spark, store, ts("2024-02-25 00:00:00"), ["id"])
-    first = spark.read.parquet(f"{store}/history")
+    first = C.read_history(spark, store)
     assert sorted(column(first, "id")) == [1, 2, 3, 4, 7, 8]
     assert set(column(first, "consolidation_date")) == {"2024-02-25T00:00:00.000000"}
     assert not C.rebuild_history(spark, str(tmp_path / "none"), ts("2024-02-25 00:00:00"))
 
 
+def contracts(spark, data):
+    """(key, publication day, value, folder day)"""
+    return spark.createDataFrame(data, "sequencialContratacao long, dataPublicacao string, v string, d date")
+
+
+def test_late_files_stay_for_the_next_compaction(spark, tmp_path, monkeypatch):
+    store, run = str(tmp_path), ts("2024-02-25 00:00:00")
+    DS.write_daily(contracts(spark, [(1, "2024-01-03", "a", date(2024, 1, 3)), (1, "2024-01-03", "b", date(2024, 1, 4))]), f"{store}/raw-data", "d")
+    finish = C._finish_compaction
+
+    def late_file_first(*args):
+        late = contracts(spark, [(1, "2024-01-03", "late", date(2024, 1, 4)), (2, "2024-01-04", "late", date(2024, 1, 4))]).drop("d")
+        late.write.mode("append").parquet(f"{store}/raw-data/year=2024/month=1/day=4")
+        return finish(*args)
+
+    monkeypatch.setattr(C, "_finish_compaction", late_file_first)
+    C.compact_months(spark, store, run, 20)
+    monkeypatch.undo()
+    assert column(DS.read_dataset(spark, f"{store}/consolidated"), "v") == ["b"]
+    assert sorted(column(DS.read_dataset(spark, f"{store}/raw-data"), "v")) == ["late", "late"]
+    assert [tuple(r) for r in C.compact_months(spark, store, run, 20).collect()] == [(2024, 1, 1)]
+    assert sorted(column(DS.read_dataset(spark, f"{store}/consolidated"), "v")) == ["late", "late"]
+    assert not list((tmp_path / "raw-data").rglob("*.parquet")) and not DS.file_names(spark, f"{store}/metadata/compaction")
+
+
+@pytest.mark.parametrize("lost_at", ["rows", "publish", "delete"])
+def test_compaction_is_taken_up_from_every_crash_point(spark, tmp_path, monkeypatch, lost_at):
+    """Without any key a second compaction of the same file would double its rows."""
+    store, run = str(tmp_path), ts("2024-02-25 00:00:00")
+    DS.write_daily(rows(spark, ROWS), f"{store}/raw-data", "d")
+    DS.write_monthly(rows(spark, [(7, date(2024, 1, 1), "old")]), f"{store}/consolidated", "d")
+
+    def lost(*args, **kw):
+        raise RuntimeError("lost")
+
+    step = {"rows": "compacted", "publish": "write_monthly", "delete": "delete_files"}[lost_at]
+    monkeypatch.setattr(C, step, lost)
+    with pytest.raises(RuntimeError):
+        C.compact_months(spark, store, run, 20, ["absent"])
+    monkeypatch.undo()
+    for _ in range(2):
+        C.compact_months(spark, store, run, 20, ["absent"])
+        assert sorted(column(DS.read_dataset(spark, f"{store}/consolidated"), "id")) == [1, 2, 3, 7]
+        assert column(DS.read_dataset(spark, f"{store}/raw-data"), "id") == [4]
+    assert not DS.file_names(spark, f"{store}/metadata/compaction")
+
+
+def test_history_versions(spark, tmp_path):
+    store = str(tmp_path)
+    day = lambda d, m=1: date(2024, m, d)
+    assert C.read_history(spark, store) is None
+    DS.write_daily(contracts(spark, [(1, "2024-01-03", "a", day(3)), (2, "2024-02-01", "b", day(1, 2)), (3, None, "c", day(3))]), f"{store}/raw-data", "d")
+    DS.write_monthly(contracts(spark, [(1, "2024-01-03", "older", day(1)), (4, "2024-01-09", "d", day(1))]), f"{store}/consolidated", "d")
+    assert C.rebuild_history(spark, store, ts("2024-03-01 00:00:00"))
+    first = C.read_history(spark, store)
+    values = lambda df: sorted((r["sequencialContratacao"], r["v"], r["consolidation_date"][:10]) for r in df.collect())
+    was = [(1, "a", "2024-03-01"), (2, "b", "2024-03-01"), (3, "c", "2024-03-01"), (4, "d", "2024-03-01")]
+    assert values(first) == was
+    # A file of another folder month holds a row of January: January is made again, and February not.
+    DS.write_daily(contracts(spark, [(1, "2024-01-03", "new", day(7, 3))]), f"{store}/raw-data", "d")
+    assert C.rebuild_history(spark, store, ts("2024-04-01 00:00:00"))
+    _, pointer = C._pointer(spark, store)
+    assert pointer["made"] == ["2024-01"] and pointer["folders"]["2024-02"].startswith("v1-")
+    assert values(first) == was  # a reader of the old version is not disturbed
+    assert values(C.read_history(spark, store)) == [
+        (1, "new", "2024-04-01"), (2, "b", "2024-04-01"), (3, "c", "2024-04-01"), (4, "d", "2024-04-01")]
+    # A file that goes takes its rows with it, and a lost run leaves readers what they had.
+    DS.delete_files(spark, [r["path"] for r in DS.list_files(spark, f"{store}/raw-data").where("path like '%month=2%'").collect()])
+    (tmp_path / "history" / "v3-lost" / "rows").mkdir(parents=True)
+    assert len(C.read_history(spark, store).collect()) == 4
+    assert C.rebuild_history(spark, store, ts("2024-05-01 00:00:00"))
+    assert [r[0] for r in values(C.read_history(spark, store))] == [1, 3, 4]
+    assert C._pointer(spark, store)[1]["made"] == ["2024-02"]
+    assert C.rebuild_history(spark, store, ts("2024-06-01 00:00:00")) and C._pointer(spark, store)[1]["made"] == []
+    assert "v3-lost" in C.clean_history(spark, store)
+    assert [r[0] for r in values(C.read_history(spark, store))] == [1, 3, 4]
+    other = str(tmp_path / "other")
+    DS.write_daily(rows(spark), f"{other}/raw-data", "d")
+    with pytest.raises(ValueError):
+        C.rebuild_history(spark, other, ts("2024-06-01 00:00:00"), ["absent"])
+    assert C.read_history(spark, other) is None
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    assert DS.write_text_file(spark, f"{tmp_path}/x/1.json", "a") and not DS.write_text_file(spark, f"{tmp_path}/x/1.json", "b")
+    assert (tmp_path / "x" / "1.json").read_text() == "a" and DS.file_names(spark, f"{tmp_path}/x") == ["1.json"]
+
+
 def test_files_with_different_columns_and_padded_folders(spark, tmp_path):
     """Columns of all files are kept, and folders are removed as they are named."""
     store = str(tmp_path / "my store")
