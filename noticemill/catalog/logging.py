@@ -26,8 +26,8 @@ def log_lines(spark, sf):
 
 USAGE_SQL = LOG_SQL + """
 SELECT strftime(time_bucket(INTERVAL {width}, ts), '%Y-%m-%d %H:%M:%S') AS bin,
-  round(avg(CAST(regexp_extract(message, 'Tokens: ([0-9]+), Custo: \\$([0-9.]+)', 1) AS DOUBLE)), 4) AS avg_tokens,
-  round(sum(CAST(regexp_extract(message, 'Tokens: ([0-9]+), Custo: \\$([0-9.]+)', 2) AS DOUBLE)), 4) AS total_cost
+  round(sum(CAST(regexp_extract(message, 'Tokens: ([0-9]+), Custo: \\$([0-9.]+)', 1) AS DECIMAL(28, 9)))::DOUBLE / count(*), 4) AS avg_tokens,
+  round(sum(CAST(regexp_extract(message, 'Tokens: ([0-9]+), Custo: \\$([0-9.]+)', 2) AS DECIMAL(28, 9)))::DOUBLE, 4) AS total_cost
 FROM lg WHERE contains(message, 'LLM') GROUP BY 1"""
 
 
@@ -86,25 +86,49 @@ UNION ALL
 SELECT 'cost', strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S'), round(sum(value), 4)
 FROM lg GROUP BY 2 HAVING sum(value) > 50""")
 def threshold_alerts(spark, sf):
-    lines = log_lines(spark, sf)
-    errors = LG.any_term_metric("message", V.ERROR_TERMS)
-    failed = F.when(F.col("event_type") == "error", F.lit(1))
-    parts = [
-        ("errors", errors, "1 hour", "sum", ">", 4),
-        ("failures", failed, "5 minutes", "sum", ">=", 1),
-        ("duration", F.col("value"), "5 minutes", "avg", ">", 100),
-        ("cost", F.col("value"), "24 hours", "sum", ">", 50),
-    ]
-    out = None
-    for name, metric, width, stat, op, limit in parts:
-        alerts = LG.threshold_alerts(lines, "ts", metric, width, stat, op, limit).select(
-            F.lit(name).alias("alarm"), time_text("bin").alias("bin"), F.round(F.col("value").cast("double"), 4).alias("value"))
-        out = alerts if out is None else out.unionByName(alerts)
-    return out
+    rules = {
+        "errors": ("error_count", "1 hour", "sum", ">", 4), "failures": ("failed", "5 minutes", "sum", ">=", 1),
+        "duration": ("value", "5 minutes", "avg", ">", 100), "cost": ("value", "24 hours", "sum", ">", 50)}
+    metrics = {
+        "error_count": LG.any_term_metric("message", V.ERROR_TERMS), "failed": F.when(F.col("event_type") == "error", F.lit(1)),
+        "value": F.col("value")}
+    return _shown(LG.evaluate_alarms(log_lines(spark, sf), "ts", metrics, LG.alarm_rules(spark, rules)))
+
+
+def _shown(alerts):
+    return alerts.select("alarm", time_text("bin").alias("bin"), F.round("value", 4).alias("value"))
+
+
+# Metric points of the alarms over the log lines, valid in both dialects.
+POINTS = {
+    "executions_failed": "CASE WHEN event_type = 'error' THEN 1 END",
+    "execution_time_ms": "CASE WHEN event_type = 'purchase' THEN value * 120000 END",
+    "tasks_failed": "CASE WHEN event_type = 'error' AND user_id % 3 = 0 THEN 1 ELSE 0 END",
+    "error_count": "CASE WHEN event_type = 'error' THEN 1 + user_id % 5 ELSE 0 END",
+    "api_failure_count": "CASE WHEN event_type = 'error' THEN 6 WHEN event_type = 'purchase' THEN 2 END",
+    "cost_usd": "CASE WHEN event_type = 'view' THEN CAST(CAST(value AS DECIMAL(12, 2)) AS DOUBLE) / 50 END",
+}
+
+
+def _alarm_sql():
+    parts = []
+    for name, (metric, width, statistic, comparison, limit) in V.ALARMS.items():
+        total = f"sum(CAST({POINTS[metric]} AS DECIMAL(28, 9)))::DOUBLE"
+        value = total if statistic == "sum" else f"{total} / count({POINTS[metric]})"
+        parts.append(f"""SELECT '{name}' AS alarm, strftime(time_bucket(INTERVAL {width}, ts), '%Y-%m-%d %H:%M:%S') AS bin, round({value}, 4) AS value
+FROM events GROUP BY 2 HAVING {value} {comparison} {limit}""")
+    return " UNION ALL ".join(parts)
+
+
+@query("alarm_table", _alarm_sql())
+def alarm_table(spark, sf):
+    metrics = {n: F.expr(e) for n, e in POINTS.items()}
+    return _shown(LG.evaluate_alarms(table(spark, sf, "events"), "ts", metrics, LG.alarm_rules(spark)))
 
 
 @query("daily_metrics", """
-SELECT strftime(ts, '%Y-%m-%d') AS day, round(sum(value), 2) AS value, round(avg(user_id), 4) AS user_id FROM events GROUP BY 1""")
+SELECT strftime(ts, '%Y-%m-%d') AS day, round(sum(value::DECIMAL(28, 9))::DOUBLE, 2) AS value,
+  round(sum(user_id::DECIMAL(28, 9))::DOUBLE / count(*), 4) AS user_id FROM events GROUP BY 1""")
 def daily_metrics(spark, sf):
     return LG.daily_metrics(table(spark, sf, "events"), "ts", ["value"], ["user_id"]).withColumn(
         "day", F.date_format("day", "yyyy-MM-dd"))

@@ -125,7 +125,7 @@ def share_of_total(spark, sf):
 
 
 @query("period_growth", """
-WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS period, sum(o_totalprice) AS s FROM orders GROUP BY 1)
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS period, sum(o_totalprice::DECIMAL(18, 2))::DOUBLE AS s FROM orders GROUP BY 1)
 SELECT period, round(s, 2) AS amount, round(s / lag(s) OVER (ORDER BY period), 6) AS growth FROM m""")
 def period_growth(spark, sf):
     orders = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("period"), "o_totalprice")

@@ -5,8 +5,9 @@ Every folder is new for each run and lies below the session's shared work folder
 
 from __future__ import annotations
 
+import json
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -600,3 +601,89 @@ def stream_incremental(spark, sf):
         load_new_files(event_stream(spark, sf), keep, "event_day", target, checkpoint)
     return DS.read_dataset(spark, target).groupBy(F.date_format("event_day", "yyyy-MM-dd").alias("day"), "event_type").agg(
         F.count("*").alias("events"), F.round(F.sum("value"), 2).alias("value"))
+
+
+def append_source(spark, sf, path):
+    """Events as four files: half of the time, the rest, rows of the first days once more, and a row a day after the last.
+
+    What is late is told by the watermark of the batch before, so the late rows have a batch of their own.
+    """
+    events = event_days(spark, sf).drop("event_day")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(first + (last - first) / 2)
+    late = events.where(F.col("ts") < F.lit(first + (last - first) / 10))
+    closing = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(last + timedelta(days=1)).alias("ts"), F.lit(0).cast("bigint").alias("user_id"),
+        F.lit("closing").alias("event_type"), F.lit(0.0).alias("value"))
+    schema = events.schema
+    for part in (events.where(F.col("ts") <= middle), events.where(F.col("ts") > middle), late, closing):
+        part.select(*[F.col(f.name).cast(f.dataType) for f in schema if f.name in part.columns]).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_append(spark, stream):
+    """Runs a stream in append mode over all present files; returns what came out and the progress of its batches."""
+    path = work_path(spark, "appended")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:06d}")
+
+    q = (stream.writeStream.outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", work_path(spark, "appended-checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(path).drop("batch"), [json.loads(p.json) if hasattr(p, "json") else p for p in q.recentProgress]
+
+
+def append_alarms():
+    error = F.col("event_type") == "error"
+    return {"errors": (F.when(error, F.lit(1)), "sum", ">", 1), "mean_value": (F.col("value"), "avg", ">=", 20)}
+
+
+@query("stream_alerts_append", """
+SELECT 'errors' AS alarm, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS bin, count(*)::DOUBLE AS value
+FROM events WHERE event_type = 'error' GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'mean_value', strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S'), round(sum(value::DECIMAL(28, 9))::DOUBLE / count(*), 4)
+FROM events GROUP BY 2 HAVING sum(value::DECIMAL(28, 9))::DOUBLE / count(*) >= 20""")
+def stream_alerts_append(spark, sf):
+    """Closed bins only: a last row moves the watermark past all others, and rows that come half the time too late change nothing."""
+    from ..streaming.log_bins import alarm_windows
+    from .registry import time_text
+
+    source = append_source(spark, sf, work_path(spark, "append-source"))
+    out, _ = run_append(spark, alarm_windows(source, "ts", "1 hour", append_alarms()))
+    return out.select("alarm", time_text("bin").alias("bin"), F.round("value", 4).alias("value"))
+
+
+def stream_notices(spark, sf, target, checkpoint, ledger, landing):
+    from ..plans.records import record_pipeline
+    from ..sources import envelopes as EV
+    from ..streaming.incremental import load_new_files
+    from .texts import lexicon_frame
+
+    pages = spark.readStream.schema(T.StructType([*EV.envelope_schema(NOTICE_ROWS).fields, T.StructField("date", T.DateType())])).json(landing)
+
+    def keep(batch):
+        records = EV.explode_envelopes(batch)
+        return record_pipeline(records, "objetoCompra", lexicon_frame(spark), notice_domains(spark, sf), called_verdicts(spark, sf),
+                               on_missing="keep", id_col="numeroCompra")
+
+    load_new_files(pages, keep, "date", target, checkpoint, ledger=ledger)
+
+
+@query("stream_records", HYBRID_SQL + """
+SELECT doc_id, strftime(DATE '2024-01-01' + (doc_id % 36)::INT, '%Y-%m-%d') AS day, reason,
+  coalesce(n_name, 'Modalidade ' || (doc_id % 15)) AS modality_name,
+  (SELECT count(*) FROM h WHERE included) AS ledger_rows
+FROM h LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON n_nationkey = doc_id % 15 WHERE included""")
+def stream_records(spark, sf):
+    """Landed envelopes through the record pipeline as they come; the second run finds none that is new."""
+    from ..streaming.incremental import read_loaded, run_state
+
+    target, checkpoint, ledger, landing = (work_path(spark, n) for n in ("records", "records-checkpoint", "records-ledger", "landing"))
+    land_notices(spark, sf, landing)
+    for _ in range(2):
+        stream_notices(spark, sf, target, checkpoint, ledger, landing)
+    return read_loaded(spark, target, ledger).select(
+        F.col("numeroCompra").cast("bigint").alias("doc_id"), F.date_format("date", "yyyy-MM-dd").alias("day"),
+        F.col(V.FILTER_COLUMNS["reason"]).alias("reason"), F.col("modalidade_nome_dominio").alias("modality_name"),
+        run_state(spark, ledger).select("rows").scalar().alias("ledger_rows"))

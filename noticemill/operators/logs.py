@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +15,19 @@ from ..functions.text import contains_any, glob_parse
 _STATISTICS = {"sum": F.sum, "avg": F.avg}
 
 
+EXACT = "decimal(28,9)"
+
+
+def exact_sum(column: Column | str) -> Column:
+    """Sum as a decimal of nine places, so that the order of tasks cannot move the last digit; ``cast("double")`` to show it."""
+    return F.sum((F.col(column) if isinstance(column, str) else column).cast(EXACT))
+
+
+def exact_mean(column: Column | str) -> Column:
+    """Mean of an exact sum."""
+    return F.try_divide(exact_sum(column).cast("double"), F.count(column))
+
+
 def usage_by_bin(logs: DataFrame, ts: str, message: str, width: str = "5 minutes") -> DataFrame:
     """Mean tokens and total cost of model lines per bin, newest first."""
     tokens, cost = glob_parse(message, V.USAGE_GLOB, ["tokens", "cost"], ["tokens", "cost"])
@@ -22,7 +35,7 @@ def usage_by_bin(logs: DataFrame, ts: str, message: str, width: str = "5 minutes
         logs.where(F.rlike(F.col(message), F.lit(V.MODEL_LINE_PATTERN)))
         .select(bin_start(ts, width).alias("bin"), tokens, cost)
         .groupBy("bin")
-        .agg(F.round(F.avg("tokens"), 4).alias("avg_tokens"), F.round(F.sum("cost"), 4).alias("total_cost"))
+        .agg(F.round(exact_mean("tokens"), 4).alias("avg_tokens"), F.round(exact_sum("cost").cast("double"), 4).alias("total_cost"))
         .orderBy(F.desc("bin"))
     )
 
@@ -76,10 +89,58 @@ def threshold_alerts(
     return stats.where(breach)
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def width_micros(width: str) -> int:
+    """Microseconds of a width like ``5 minutes``."""
+    number, unit = width.split()
+    return int(number) * _UNITS[unit.removesuffix("s")] * 1_000_000
+
+
+def alarm_rules(spark: SparkSession, alarms: Mapping[str, tuple[str, str, str, str, float]] = V.ALARMS) -> DataFrame:
+    """Alarms as rows: ``alarm, metric, width`` (microseconds), ``statistic`` (sum or avg), ``comparison, threshold``."""
+    for name, (_, width, statistic, comparison, _) in alarms.items():
+        if statistic not in _STATISTICS or comparison not in _COMPARISONS or width_micros(width) <= 0:
+            raise ValueError(f"alarm {name}: unknown statistic, comparison or width")
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("alarm"), F.lit(metric).alias("metric"), F.lit(width_micros(width)).cast("bigint").alias("width"),
+                 F.lit(statistic).alias("statistic"), F.lit(comparison).alias("comparison"), F.lit(float(limit)).alias("threshold"))
+        for name, (metric, width, statistic, comparison, limit) in alarms.items()])
+    return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
+
+
+_COMPARISONS = {">": lambda v, t: v > t, ">=": lambda v, t: v >= t, "<": lambda v, t: v < t, "<=": lambda v, t: v <= t}
+
+
+def breached(value: Column, comparison: Column, threshold: Column) -> Column:
+    """Whether a value meets the comparison that a column names; an unknown one never is."""
+    out = F.lit(False)
+    for name, test in _COMPARISONS.items():
+        out = F.when(comparison == name, test(value, threshold)).otherwise(out)
+    return out
+
+
+def evaluate_alarms(points: DataFrame, ts: str, metrics: Mapping[str, Column], rules: DataFrame) -> DataFrame:
+    """``alarm, bin, value, threshold`` of every bin that breaches its rule, over any number of rules in one scan.
+
+    ``metrics`` names a column for each metric that rules speak of; a row without a value is no point, and a bin without points never alarms. Each
+    point becomes a row per rule of its metric, and one aggregate adds all of them up by (alarm, bin); sums are exact.
+    """
+    named = F.array(*[F.struct(F.lit(n).alias("metric"), c.cast(EXACT).alias("value")) for n, c in metrics.items()])
+    long = points.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.explode(F.filter(named, lambda m: m["value"].isNotNull())).alias("m"))
+    placed = long.select("_us", "m.metric", "m.value").join(rules, "metric")
+    bins = placed.groupBy("alarm", "statistic", "comparison", "threshold", (F.col("_us") - F.pmod("_us", "width")).alias("_bin")).agg(
+        F.sum("value").cast("double").alias("total"), F.count("*").alias("points"))
+    value = F.when(F.col("statistic") == "avg", F.col("total") / F.col("points")).otherwise(F.col("total"))
+    return bins.withColumn("value", value).where(breached(F.col("value"), F.col("comparison"), F.col("threshold"))).select(
+        "alarm", F.timestamp_micros("_bin").cast("timestamp_ntz").alias("bin"), "value", "threshold")
+
+
 def daily_metrics(df: DataFrame, ts: str, sums: Sequence[str], averages: Sequence[str]) -> DataFrame:
     """Per day: the sum of some metrics and the mean of others."""
     return df.groupBy(F.col(ts).cast("date").alias("day")).agg(
-        *[F.round(F.sum(c), 2).alias(c) for c in sums], *[F.round(F.avg(c), 4).alias(c) for c in averages])
+        *[F.round(exact_sum(c).cast("double"), 2).alias(c) for c in sums], *[F.round(exact_mean(c), 4).alias(c) for c in averages])
 
 
 def trailing_requests(

@@ -116,11 +116,11 @@ def share_of_total(df: DataFrame, key: str, row_id: str) -> DataFrame:
 
 
 def period_growth(df: DataFrame, period: str, amount: str) -> DataFrame:
-    """Amount per period and its ratio to the period before; the first has none.
+    """Amount per period, summed exactly in cents, and its ratio to the period before; the first has none.
 
     The window runs over the grouped rows only: one per period.
     """
-    sums = df.groupBy(period).agg(F.sum(amount).alias("_sum"))
+    sums = df.groupBy(period).agg(total(amount).alias("_sum"))
     before = F.lag("_sum").over(Window.orderBy(period))
     return sums.select(
         period, F.round("_sum", 2).alias("amount"), F.round(F.try_divide(F.col("_sum"), before), 6).alias("growth"))

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import column, plan_of
 from pyspark.sql import functions as F
 
@@ -95,3 +96,37 @@ def test_streams_in_append_mode_emit_closed_bins(spark, tmp_path):
     assert rows[T0] == (2.0, 7.5)
     # Ten minutes are allowed for late lines: later bins stay open.
     assert max(rows) < T0 + timedelta(minutes=50)
+
+
+def test_alarms_as_rows(spark):
+    from datetime import datetime
+
+    from conftest import plan_of
+
+    data = [(datetime(2024, 1, 1, 0, m), a, b) for m, a, b in ((0, 1.0, None), (4, 2.0, 10.0), (5, 0.5, 30.0), (9, None, None), (20, -7.0, 1.0))]
+    points = spark.createDataFrame(data, "t timestamp_ntz, a double, b double")
+    rules = L.alarm_rules(spark, {
+        "more": ("a", "5 minutes", "sum", ">", 3), "at_least": ("a", "5 minutes", "sum", ">=", 3), "mean": ("b", "10 minutes", "avg", ">=", 20),
+        "less": ("a", "5 minutes", "sum", "<", 0), "at_most": ("b", "1 day", "avg", "<=", 1), "unknown": ("c", "1 hour", "sum", ">", 0)})
+    out = L.evaluate_alarms(points, "t", {"a": F.col("a"), "b": F.col("b")}, rules)
+    assert sorted((r["alarm"], r["bin"].strftime("%H:%M"), r["value"]) for r in out.collect()) == [
+        ("at_least", "00:00", 3.0), ("less", "00:20", -7.0), ("mean", "00:00", 20.0)]
+    assert plan_of(out).count("Scan ExistingRDD") <= 1 and L.evaluate_alarms(points.limit(0), "t", {"a": F.col("a")}, rules).count() == 0
+    for bad in (("a", "5 minutes", "max", ">", 1), ("a", "5 minutes", "sum", "!=", 1), ("a", "0 hours", "sum", ">", 1)):
+        with pytest.raises(ValueError):
+            L.alarm_rules(spark, {"x": bad})
+
+
+def test_all_alarms_are_read_in_one_scan(spark):
+    from conftest import plan_of
+
+    from noticemill.catalog.logging import alarm_table
+
+    assert plan_of(alarm_table(spark, "/root/testdata/sf0.001")).count("FileScan") == 1
+
+
+def test_sums_do_not_depend_on_order(spark):
+    values = [0.1, 0.2, 0.3, 1e9, 0.7, 0.15] * 30
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    results = {df.orderBy(F.rand(i)).repartition(i + 1).agg(L.exact_sum("v").cast("double"), L.exact_mean("v")).first() for i in range(4)}
+    assert len(results) == 1

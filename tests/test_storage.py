@@ -278,3 +278,67 @@ def test_rewrite_can_be_repeated_from_every_crash_point(spark, tmp_path):
         assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "n", "year").collect()) == want
         assert (tmp_path / "data" / "year=2024").is_dir()
     assert sorted(column(spark.read.parquet(backup), "n")) == ["7", "x"]
+
+
+def test_closed_bins_come_out_once_and_leave_the_state(spark):
+    from noticemill.catalog import storing
+    from noticemill.session import work_path
+    from noticemill.streaming.log_bins import alarm_windows, late_groups, open_state
+
+    source = storing.append_source(spark, "/root/testdata/sf0.001", work_path(spark, "append-source"))
+    out, progress = storing.run_append(spark, alarm_windows(source, "ts", "1 hour", storing.append_alarms()))
+    assert out.count() == out.select("alarm", "bin").distinct().count() > 100
+    assert late_groups(progress) > 0 and open_state(progress) <= 1  # the bin of the closing row
+
+
+def test_a_repeated_batch_shows_up_once(spark, tmp_path, monkeypatch):
+    from noticemill.streaming import incremental as I
+
+    src, target, cp, ledger = (str(tmp_path / n) for n in ("in", "out", "cp", "ledger"))
+
+    def load():
+        I.load_new_files(spark.readStream.schema("id long, d date, v string").parquet(src), lambda df: df.where("v <> 'no'"), "d", target, cp, ledger=ledger)
+
+    rows(spark, ROWS[:2]).coalesce(1).write.parquet(src)
+    load()
+    rows(spark, [(8, date(2024, 2, 2), "e"), (9, date(2024, 2, 2), "no")]).coalesce(1).write.mode("append").parquet(src)
+    monkeypatch.setattr(I, "path_exists", lambda *a: (_ for _ in ()).throw(RuntimeError("lost before the entry")))
+    with pytest.raises(Exception):
+        load()
+    monkeypatch.undo()
+    assert spark.read.parquet(target).count() == 3 and sorted(column(I.read_loaded(spark, target, ledger), "id")) == [1, 2]
+    load()
+    assert sorted(column(I.read_loaded(spark, target, ledger), "id")) == [1, 2, 8]
+    rows(spark, [(10, date(2024, 2, 3), "no")]).coalesce(1).write.mode("append").parquet(src)
+    load()
+    state = I.run_state(spark, ledger).first()
+    assert (state["batches"], state["rows"], str(state["first_day"]), str(state["last_day"])) == (3, 3, "2024-01-30", "2024-02-02")
+    assert I.run_state(spark, str(tmp_path / "none")).first()["batches"] == 0
+
+
+def test_daily_load_statistics(spark, tmp_path):
+    """Marks of all rows make the figures; the log of a lost run is made again."""
+    store = str(tmp_path)
+    source = rows(spark, [(i, date(2024, 1, 1 + i % 2), v) for i, v in enumerate(["a", "a", "b", "", "c", "c"])])
+
+    def judge(df):
+        known = F.col("v").isin("a", "b")
+        return df.withColumns({
+            "included": F.col("v") == "a", "text_empty": F.col("v") == "", "stage1_passed": known,
+            "stage2_passed": F.when(known, F.col("v") == "a"), "matched_group": F.when(known, F.col("v")), "matched_term": F.when(known, F.lit("t")),
+            "details": F.struct(F.when(known, F.lit(5).cast("bigint")).alias("llm_tokens_used"), F.when(known, F.col("id") == 1).alias("llm_cached"))})
+
+    def finish(kept):
+        return kept.select("id", "d", "v")
+
+    log = {r["date"].day: r for r in run_daily_load(
+        spark, store, source, "d", finish, datetime(2024, 1, 3, 8), date(2024, 1, 1), judge=judge).collect()}
+    assert {d: r["records"] for d, r in log.items()} == {1: 1, 2: 1, 3: 0} and log[3]["filter_stats"] is None
+    first = log[1]["filter_stats"]
+    assert (first["total_analisados"], first["etapa1_aprovados"], first["etapa2_rejeitados"], first["llm_economizados"]) == (3, 2, 1, 1)
+    assert first["taxa_aprovacao_final_percent"] == 33.33 and first["filtro_hibrido_ativo"]
+    assert [tuple(x) for x in first["top_grupos"]] == [("a", 1), ("b", 1)] and [tuple(x) for x in first["top_termos"]] == [("t", 2)]
+    assert tuple(first["llm_stats"]) == (2, 0, 10)
+    second = log[2]["filter_stats"]
+    assert (second["total_analisados"], second["llm_economizados"], tuple(second["llm_stats"])) == (3, 1, (1, 1, 5))
+    assert not [n for n in DS.file_names(spark, spark.conf.get("spark.checkpoint.dir")) if n.startswith("judged")]
