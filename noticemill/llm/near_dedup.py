@@ -3,9 +3,9 @@
 SuperMinHash gives every shingle one random permutation of the slots instead of one hash a slot; the ranks
 within it are correlated, so estimates vary less, and a document is done as soon as no later rank
 could lower a slot. Documents with equal sets become one class. Each bucket links its classes to one
-leader only; most of a group is joined by these few links. Classes of a bucket that are still apart afterwards are
-then compared with each other, but for pairs whose rare shingles rule a link out; so no
-link between different sets that share a bucket is lost.
+leader only; most of a group is joined by these few links. Rounds of new leaders follow, each with a few comparisons
+a class, as long as they join components. Classes of a bucket that are still apart afterwards are then compared with each
+other, but for pairs whose rare shingles rule a link out; so no link that would join different components of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticemill.llm.common import bounded_batches, text_rows, whole_rows, written
@@ -114,24 +114,45 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int, id_col: str, text
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``a, b`` of the pairs whose full sets have ``100 * intersection >= percent * union``."""
+    """``a, b`` of pairs whose full sets have ``100 * intersection >= percent * union``, enough of them to join what they join.
+
+    ``pairs`` may name components ``ca, cb`` that earlier links have made. A task joins the components of the links it finds and
+    passes over pairs whose ends it has joined already, so it returns a forest: fewer links than it met components, however
+    many pairs of a group are linked. What is joined is the same for any order of rows.
+    """
+    placed = "ca" in pairs.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         last: tuple[str, np.ndarray] | None = None
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := above.get(x, x)) != x:
+                above[x] = above.get(up, up)
+                x = up
+            return x
+
         for batch in batches:
             linked = []
-            for ta, tb in zip(batch["text_a"], batch["text_b"]):
+            for ta, tb, ca, cb in zip(batch["text_a"], batch["text_b"], batch["ca"].tolist(), batch["cb"].tolist()):
+                ca, cb = root(ca), root(cb)
+                if ca == cb:
+                    linked.append(False)
+                    continue
                 if last is None or last[0] != tb:
                     last = (tb, shingles(tb, width, words))
                 sa, sb = shingles(ta, width, words), last[1]
                 both = len(np.intersect1d(sa, sb, assume_unique=True))
                 linked.append(100 * both >= percent * (len(sa) + len(sb) - both) > 0)
-            yield batch.loc[linked, ["a", "b"]]
+                if linked[-1]:
+                    above[ca] = cb
+            yield batch.loc[np.array(linked, bool), ["a", "b"]]
 
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    parts = ["a", "b", *(("ca", "cb") if placed else (F.col("a").alias("ca"), F.col("b").alias("cb")))]
+    with_a = pairs.select(*parts).join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return with_b.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
+    return with_b.select("a", "b", "ca", "cb", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
 
 
 def rare_shingles(texts: DataFrame, width: int) -> DataFrame:
@@ -152,6 +173,27 @@ def rare_shingles(texts: DataFrame, width: int) -> DataFrame:
     return held.filter("n <= 3").select(F.array_sort(F.array_distinct(F.array("low", middle, "high"))).alias("doc_ids"))
 
 
+def leader_pairs(placed: DataFrame, percent: int, number: int, asks: int = 8) -> DataFrame:
+    """``a, b, ca, cb``: for each class whose buckets hold other components, up to ``asks`` members of them to compare it with.
+
+    Every bucket elects as many members by hashes that change from round to round, mostly of its largest component; a class asks
+    those that lead most of its buckets, if the sizes of both sets allow a link.
+    """
+    draws = [F.min(F.struct(F.xxhash64("rep", F.lit(number * asks + k)).alias("draw"), "rep", "component", "n_shingles")) for k in range(asks)]
+    leaders = placed.groupBy("bucket").agg(
+        F.array(*draws).alias("leaders"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select(
+        "bucket", F.explode(F.array_distinct(F.transform("leaders", lambda x: x.dropFields("draw")))).alias("leader"))
+    open_ = placed.join(leaders, "bucket").filter(
+        (F.col("component") != F.col("leader.component"))
+        & (100 * F.least("n_shingles", "leader.n_shingles") >= percent * F.greatest("n_shingles", "leader.n_shingles")))
+    votes = open_.groupBy("rep", F.col("leader.rep").alias("to")).agg(
+        F.count(F.lit(1)).alias("n"), F.first("component").alias("cr"), F.first("leader.component").alias("ct"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("n"), "to"))  # at most buckets times asks rows a class
+    best = votes.withColumn("place", place).filter(F.col("place") <= asks)
+    return best.select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b"), F.greatest("cr", "ct").alias("ca"),
+                       F.least("cr", "ct").alias("cb")).dropDuplicates(["a", "b"])
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 6,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
@@ -177,11 +219,25 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     involved = shared.select(F.col("rep").alias("doc_id")).distinct()
     texts = written(text_rows(docs, id_col, text_col).join(involved, "doc_id", "left_semi"), "texts")
     links = written(verified(star, texts, width, percent), "verified")
-    first = components(links)
+    tried, number = star, 0
+    while True:
+        first = components(links)
+        placed = written(shared.join(first, shared["rep"] == first["node"], "left").select(
+            "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")), "placed")
+        number += 1
+        asked = written(leader_pairs(placed, percent, number).join(tried, ["a", "b"], "left_anti"), "asked")
+        met = written(verified(asked, texts, width, percent), "met")
+        n_asked, n_met = asked.count(), met.count()
+        links, tried = links.union(met), tried.union(asked.select("a", "b"))
+        # While some of the questions join components, a round of a few questions a class saves many pairs of the last step.
+        if 50 * n_met < n_asked or not n_met:
+            break
 
     # What is still apart within a bucket is compared across components.
-    placed = shared.join(first, shared["rep"] == first["node"], "left").select(
-        "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    if n_met:
+        first = components(links)
+        placed = shared.join(first, shared["rep"] == first["node"], "left").select(
+            "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     open_rows = written(placed.join(split.select("bucket"), "bucket", "left_semi"), "open")
     rare = written(rare_shingles(texts.join(open_rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width), "rare")
@@ -198,7 +254,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
                        & (F.col("x.component") != F.col("y.component"))
                        & (100 * overlap >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - overlap))
                        & (F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket"))).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"))
     at = lambda i: F.get("doc_ids", F.lit(i))
     both = F.array(*[F.struct(at(i).alias("a"), at(j).alias("b")) for i, j in ((1, 0), (2, 0), (2, 1))])
     two = rare.filter(F.size("doc_ids") > 1).select(F.explode(F.filter(both, lambda p: p["a"].isNotNull())).alias("p")).select(
@@ -207,8 +263,8 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     by_rare = (
         two.join(about.select(F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na")), "a")
         .join(about.select(F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb")), "b")
-        .filter((F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b"))
-    pairs = written(by_bucket.union(by_rare).distinct().join(star, ["a", "b"], "left_anti"), "pairs")
+        .filter((F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b", "ca", "cb"))
+    pairs = written(by_bucket.union(by_rare).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     more = verified(pairs, texts, width, percent)
     grouped = components(links.union(more))
 
