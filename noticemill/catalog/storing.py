@@ -23,7 +23,7 @@ from ..session import work_path
 from ..sources import dataset as DS
 from ..sources import json_store as J
 from ..sources import lexicons as LX
-from .registry import query, table
+from .registry import day_text, query, table
 from .texts import HYBRID_SQL, KEY_SQL
 
 RUN_TS = "2024-02-05 06:00:00"
@@ -369,18 +369,69 @@ def lexicon_files(spark, sf):
     return pairs.unionByName(terms)
 
 
+def through_table(spark, name, result):
+    """The result of a query on a catalog table, stored, so that the table's name can go from the catalog."""
+    path = work_path(spark, "result")
+    try:
+        result().write.parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(path)
+
+
+def monthly_events(spark, sf, path):
+    """Events stored by month; returns the schema of a table over them."""
+    events = event_days(spark, sf)
+    DS.write_monthly(events, path, "event_day")
+    return T.StructType([*events.schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+
+
 @query("external_table", """
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS records, round(avg(value::DECIMAL(18, 6)), 2) AS mean_amount
 FROM events WHERE year(ts) = 2024 AND month(ts) = 1 GROUP BY 1""")
 def external_table(spark, sf):
     path, name = work_path(spark, "table"), f"events_{uuid.uuid4().hex[:8]}"
-    events = event_days(spark, sf)
-    DS.write_monthly(events, path, "event_day")
-    schema = T.StructType([*events.schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-    DS.create_external_table(spark, name, path, schema)
-    return spark.sql(f"""
+    DS.create_external_table(spark, name, path, monthly_events(spark, sf, path))
+    return through_table(spark, name, lambda: spark.sql(f"""
         SELECT date_format(event_day, 'yyyy-MM-dd') AS day, count(*) AS records, CAST(round(avg(CAST(value AS DECIMAL(18, 6))), 2) AS DOUBLE) AS mean_amount
-        FROM {name} WHERE year = 2024 AND month = 1 GROUP BY event_day""")
+        FROM {name} WHERE year = 2024 AND month = 1 GROUP BY event_day"""))
+
+
+@query("projected_table", """
+SELECT year(ts)::BIGINT AS year, month(ts)::BIGINT AS month, event_type, count(*) AS records FROM events GROUP BY ALL""")
+def projected_table(spark, sf):
+    """Partitions declared from the first month of the table to its last; the rows moved past it are in no partition."""
+    path, name = work_path(spark, "projected"), f"events_{uuid.uuid4().hex[:8]}"
+    schema = monthly_events(spark, sf, path)
+    events = event_days(spark, sf)
+    DS.write_monthly(events.withColumn("event_day", F.add_months("event_day", 240)), path, "event_day")
+    first, last = events.agg(F.min("event_day"), F.max("event_day")).first()
+    if first is not None:
+        DS.create_projected_table(spark, name, path, schema, first, last)
+    else:
+        DS.create_external_table(spark, name, path, schema)
+    return through_table(spark, name, lambda: spark.table(name).groupBy(
+        F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"), "event_type").agg(
+        F.count("*").alias("records")))
+
+
+@query("skipped_files", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS records,
+  CASE WHEN bool_or(event_type = 'error') THEN 'no footer at the end of the file' END AS skipped
+FROM events GROUP BY 1""")
+def skipped_files(spark, sf):
+    """Days of events; those with an error have files among their own that are no Parquet, which are left out and listed."""
+    path = work_path(spark, "damaged")
+    events = event_days(spark, sf)
+    DS.write_daily(events, path, "event_day")
+    errors = events.where("event_type = 'error'").withColumns(partition_columns("event_day"))
+    errors.select(*DS.DAY_PARTITIONS, F.concat(F.lit("error of event "), F.col("event_id")).alias("value")).write.mode(
+        "append").partitionBy(*DS.DAY_PARTITIONS).text(path)
+    kept, skipped = DS.read_sound_files(spark, path)
+    day = F.make_date(*[DS.folder_value(F.col("path"), p) for p in DS.DAY_PARTITIONS])
+    bad = skipped.groupBy(day.alias("event_day")).agg(F.min("error").alias("skipped"))
+    return kept.groupBy("event_day").agg(F.count("*").alias("records")).join(bad, "event_day", "left").select(
+        day_text("event_day").alias("day"), "records", "skipped")
 
 
 @query("normalised_table", """
@@ -394,8 +445,8 @@ def normalised_table(spark, sf):
     rows = fill_struct(agencies(spark, sf), "orgaoEntidade", S.AGENCY).select(
         "c_custkey", F.col("c_nationkey").cast("double").alias("amount"), "orgaoEntidade")
     DS.create_table_as(rows, name, work_path(spark, "ctas"))
-    return spark.table(name).select(
-        "c_custkey", "amount", F.col("orgaoEntidade.cnpj").alias("cnpj"), F.col("orgaoEntidade").isNotNull().alias("whole"))
+    return through_table(spark, name, lambda: spark.table(name).select(
+        "c_custkey", "amount", F.col("orgaoEntidade.cnpj").alias("cnpj"), F.col("orgaoEntidade").isNotNull().alias("whole")))
 
 
 @query("rewrite_to_schema", """

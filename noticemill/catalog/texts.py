@@ -435,6 +435,19 @@ def batch_prompt_query(spark, sf):
     return out.select("batch", "items", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
 
 
+@query("batch_prompt_text_keys", """
+WITH n AS (SELECT row_number() OVER (ORDER BY md5('k' || doc_id)) - 1 AS p, text FROM documents)
+SELECT p // 20 AS batch, count(*) AS items,
+  md5('Textos:' || chr(10) || string_agg((p % 20 + 1) || '. ' || text, chr(10) ORDER BY p)) AS prompt_md5
+FROM n GROUP BY 1""")
+def batch_prompt_text_keys(spark, sf):
+    """Keys are texts in another order than the rows."""
+    key = F.md5(F.concat(F.lit("k"), F.col("doc_id").cast("string")).cast("binary"))
+    docs = table(spark, sf, "documents").withColumn("k", key)
+    out = P.batch_prompt(docs, "k", "text", 20, "Textos:\n{items}", block_rows=500)
+    return out.select("batch", "items", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
+
+
 @query("batch_prompt_sparse", """
 WITH n AS (SELECT row_number() OVER (ORDER BY (doc_id * 7919) % 1000003, doc_id) - 1 AS p, text FROM documents)
 SELECT p // 20 AS batch, count(*) AS items,

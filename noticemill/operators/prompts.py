@@ -78,18 +78,37 @@ def plain_prompt(df: DataFrame, text: str, template: str, out: str = "prompt") -
     return df.withColumn(out, fill_template(template, {"text": as_col(text)}))
 
 
-def row_position(df: DataFrame, key: str, blocks: int = 200, out: str = "position") -> DataFrame:
-    """0-based rank of a unique number over the whole frame, without one global sort.
+# Keys drawn to place the cuts, on average. It bounds the number of blocks, not the rows.
+CUT_KEYS = 1 << 13
 
-    About equal blocks are cut at approximate quantiles of the key, so sparse and clustered keys are spread
-    as evenly as dense ones. Running totals over the blocks (``blocks`` rows at most) give each its offset, and
-    rows are numbered inside their block. A null key comes first.
+
+def _block_cuts(keys: DataFrame, block_rows: int) -> DataFrame:
+    """One row with the sorted keys at which blocks of about ``block_rows`` rows begin, evenly drawn by a hash of the key."""
+    rows = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
+    step = F.greatest(F.lit(1), F.floor(rows / CUT_KEYS))
+    drawn = keys.where(F.col("key").isNotNull()).where(F.pmod(F.xxhash64("key"), step) == 0)
+    some = drawn.agg(F.array_sort(F.collect_set("key")).alias("drawn")).withColumn("rows", rows)
+    every = F.greatest(F.lit(1), F.floor(F.size("drawn") * F.lit(block_rows) / F.greatest(F.lit(1), F.col("rows"))))
+    return some.withColumn("every", every).select(
+        F.filter("drawn", lambda _, i: (i > 0) & (F.pmod(i, F.col("every")) == 0)).alias("cuts"))
+
+
+def row_position(df: DataFrame, key: str, block_rows: int = 100_000, out: str = "position") -> DataFrame:
+    """0-based rank of a unique key over the whole frame, without one global sort.
+
+    The key is of any type that can be ordered and hashed. The table's row count gives the number of blocks (at most
+    about :data:`CUT_KEYS`), keys drawn evenly by their hash give the cuts between them, and a row finds its block by
+    binary search. The cuts are a scalar subquery of the plan: nothing runs before the result is asked for, and
+    whichever keys are drawn, the ranks are the same. Running totals over the blocks give each its offset, and rows are
+    numbered inside their block. A null key comes first.
     """
     from pyspark.sql.window import Window
 
-    cuts = df.agg(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []
-    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    blocked = df.withColumn("_block", F.when(F.col(key).isNull(), -1).otherwise(F.size(F.filter(limits, lambda c: c < F.col(key)))))
+    cut = df.withColumn("_cuts", _block_cuts(df.select(F.col(key).alias("key")), block_rows).scalar())
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(CUT_KEYS.bit_length() + 2))])
+    passed = F.aggregate(halves, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size("_cuts")) & (F.get("_cuts", at + step - 1) <= F.col(key)), at + step).otherwise(at))
+    blocked = cut.withColumn("_block", F.when(F.col(key).isNull(), -1).otherwise(passed)).drop("_cuts")
     before = F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
         blocked.groupBy("_block").agg(F.count("*").alias("_n"))
@@ -104,9 +123,9 @@ def row_position(df: DataFrame, key: str, blocks: int = 200, out: str = "positio
     )
 
 
-def batch_prompt(df: DataFrame, key: str, text: str, batch_size: int, template: str, blocks: int = 200) -> DataFrame:
+def batch_prompt(df: DataFrame, key: str, text: str, batch_size: int, template: str, block_rows: int = 100_000) -> DataFrame:
     """One prompt per ``batch_size`` texts in key order, as a numbered list: batch, items, prompt."""
-    placed = row_position(df.select(key, text), key, blocks)
+    placed = row_position(df.select(key, text), key, block_rows)
     numbered = placed.select(
         F.floor(F.col("position") / batch_size).alias("batch"),
         F.struct((F.col("position") % batch_size).alias("i"), F.col(text).alias("t")).alias("item"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from datetime import date, timedelta
 
+import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +114,73 @@ def read_files(
     return read_dataset(spark, names, schema, base_path, all_columns=True)
 
 
+def _footer_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Reads each footer on its own; a file whose footer can be read only has no rows and is not returned."""
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        found = []
+        for path, tail in zip(batch["path"], batch["tail"]):
+            try:
+                pq.read_metadata(io.BytesIO(b"PAR1" + bytes(tail)))
+            except Exception as e:  # noqa: BLE001 - whatever the reader says is the finding
+                found.append((path, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"))
+        yield pd.DataFrame(found, columns=["path", "error"])
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, error`` of the Parquet files below a folder whose footer cannot be read.
+
+    One distributed scan of the footers alone counts the rows of each file and passes over bad files. Only files that
+    gave no row are then looked into: their footer is cut from the content and parsed, so that a sound file without
+    rows is not reported. Their paths pass through the driver. Damage behind a sound footer is not found here and
+    fails a later scan. Files of zero bytes are in no listing and no scan of Spark's, so neither here. A missing or
+    empty folder gives no rows.
+    """
+    files = list_files(spark, path)
+    if not path_exists(spark, path):
+        return files.select("path", F.lit("").alias("error"))
+    no_columns = T.StructType([T.StructField("_", T.ByteType())])
+    footers = spark.read.schema(no_columns).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+    with_rows = footers.option("pathGlobFilter", "[!_.]*").parquet(path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    odd = [r[0] for r in files.join(with_rows, "path", "left_anti").select("path").toLocalIterator()]
+    if not odd:
+        return files.limit(0).select("path", F.lit("").alias("error"))
+    names = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in odd]
+    content = spark.read.format("binaryFile").load(names).select(F.col("_metadata.file_path").alias("path"), "content", "length")
+    # The last eight bytes are the footer's size (little-endian) and the mark PAR1.
+    swapped = F.concat(*[F.substring(F.hex(F.substring("content", -8, 4)), i, 2) for i in (7, 5, 3, 1)])
+    size = F.conv(swapped, 16, 10).cast("long") + 8
+    framed = (F.col("length") >= 12) & (F.substring("content", -4, 4) == F.lit(b"PAR1")) & (size + 4 <= F.col("length"))
+    parted = content.select(
+        "path", F.when(~framed, "no footer at the end of the file").alias("error"),
+        F.when(framed, F.substring("content", -size.cast("int"), size.cast("int"))).alias("tail"))
+    parsed = parted.where(F.col("error").isNull()).select("path", "tail").mapInPandas(_footer_errors, "path string, error string")
+    return parted.where(F.col("error").isNotNull()).select("path", "error").unionByName(parsed)
+
+
+def read_sound_files(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the readable files of a partitioned dataset, and the files left out with their errors.
+
+    Without bad files this is the plain scan of the folder. With some it is a scan of the other files, one path a
+    file through the driver; it still fails on damage behind a sound footer instead of losing rows.
+    """
+    bad = unreadable_files(spark, path)
+    skipped = [tuple(r) for r in bad.toLocalIterator()]
+    log = spark.createDataFrame(skipped, "path string, error string")
+    if not skipped:
+        return read_dataset(spark, path, schema, all_columns=True), log
+    good = list_files(spark, path).join(log, "path", "left_anti").select("path")
+    files = [r[0] for r in good.toLocalIterator()]
+    if not files:
+        if schema is None:
+            raise ValueError(f"no readable file below {path}, and no schema is given")
+        return spark.createDataFrame([], schema), log
+    return read_files(spark, files, path, schema), log
+
+
 def delete_files(spark: SparkSession, files: Sequence[str]) -> int:
     """Deletes files given as they stand in a listing, and folders that are empty without them; returns the number of files that were there."""
     gone = 0
@@ -183,17 +253,48 @@ def write_monthly(df: DataFrame, path: str, day: str | None = None) -> None:
     _write_partitions(df, path, MONTH_PARTITIONS)
 
 
-def create_external_table(
-    spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: Sequence[str] = MONTH_PARTITIONS
-) -> None:
-    """A catalog table over a partitioned dataset, with its partitions found."""
+def _declare_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: Sequence[str]) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = ", ".join(f"`{p}`" for p in partitions)
     location = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION '{location}'")
+
+
+def create_external_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: Sequence[str] = MONTH_PARTITIONS
+) -> None:
+    """A catalog table over a partitioned dataset, with its partitions found by listing; see :func:`create_projected_table`."""
+    _declare_table(spark, name, path, schema, partitions)
     spark.catalog.recoverPartitions(name)
 
 
+def create_projected_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, first: date, last: date,
+    partitions: Sequence[str] = MONTH_PARTITIONS, folder: str | None = None, at_once: int = 200,
+) -> int:
+    """A catalog table whose partitions are declared by a range of dates; no folder is listed to find them.
+
+    ``partitions`` are (year, month) or (year, month, day). ``folder`` is the place of one below ``path``, by default
+    ``year={year}/month={month}`` and so on; ``{month:02d}`` gives padded names. A query lists only the folders that
+    its filter on the partitions leaves. A declared folder without files has no rows, and folders outside the range
+    are not seen. May be run again, also with a later ``last``, to declare what is new. Returns the number of partitions.
+    """
+    if tuple(partitions) not in (MONTH_PARTITIONS, DAY_PARTITIONS):
+        raise ValueError(f"partitions by date are {MONTH_PARTITIONS} or {DAY_PARTITIONS}")
+    folder = folder or "/".join(f"{p}={{{p}}}" for p in partitions)
+    days = (first + timedelta(n) for n in range((last - first).days + 1))
+    keys = list(dict.fromkeys(tuple(getattr(d, p) for p in partitions) for d in days))
+    _declare_table(spark, name, path, schema, partitions)
+    for at in range(0, len(keys), at_once):
+        clauses = []
+        for key in keys[at:at + at_once]:
+            values = dict(zip(partitions, key))
+            place = f"{path}/{folder.format(**values)}".replace("'", "\\'")
+            clauses.append(f"PARTITION ({', '.join(f'`{p}` = {v}' for p, v in values.items())}) LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(clauses)}")
+    return len(keys)
+
+
 def create_table_as(df: DataFrame, name: str, path: str, partitions: Sequence[str] = ()) -> None:
     """A catalog table of the frame's rows at ``path``."""
     writer = df.write.mode("overwrite").format("parquet").option("path", path)

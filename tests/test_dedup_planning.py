@@ -92,3 +92,27 @@ def test_batches_number_rows_over_blocks(spark, block):
     assert [r["items"] for r in out] == [4, 4, 3]
     for r, chunk in zip(out, want):
         assert r["prompt"] == "\n".join(f"{n}. t{i}" for n, i in enumerate(chunk, 1))
+
+
+@pytest.mark.parametrize("block", [1, 7, 100_000])
+@pytest.mark.parametrize("kind", ["string", "double", "date", "decimal(20,3)", "struct<a:string,b:int>"])
+def test_numbers_over_keys_of_any_type(spark, monkeypatch, block, kind):
+    monkeypatch.setattr(PR, "CUT_KEYS", 16)
+    made = {"string": "concat('\u00e9', id % 10, 'x', id)", "double": "id * 1e300 - 3e301", "date": "date_add(DATE '2020-01-01', CAST(id * 7 AS INT))",
+            "decimal(20,3)": "CAST(id / 8 - 9 AS DECIMAL(20,3))", "struct<a:string,b:int>": "struct(concat('k', id % 3) AS a, CAST(id AS INT) AS b)"}[kind]
+    df = spark.range(0, 150, 1, 5).select(F.when(F.col("id") > 0, F.expr(made)).alias("k"), "id")
+    assert df.schema["k"].dataType.simpleString() == kind
+    got = PR.row_position(df, "k", block).collect()
+    want = [r["id"] for r in df.orderBy(F.asc_nulls_first("k")).collect()]
+    assert [r["id"] for r in sorted(got, key=lambda r: r["position"])] == want
+    assert sorted(r["position"] for r in got) == list(range(150))
+    assert PR.row_position(df.limit(0), "k", block).collect() == []
+
+
+def test_numbering_runs_nothing_before_it_is_asked_for(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("numbering", "")
+    out = PR.batch_prompt(spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("t").alias("t")), "k", "t", 4, "{items}")
+    assert list(tracker.getJobIdsForGroup("numbering")) == []
+    assert out.count() == 13
+    assert len(tracker.getJobIdsForGroup("numbering")) > 0

@@ -342,3 +342,69 @@ def test_daily_load_statistics(spark, tmp_path):
     second = log[2]["filter_stats"]
     assert (second["total_analisados"], second["llm_economizados"], tuple(second["llm_stats"])) == (3, 1, (1, 1, 5))
     assert not [n for n in DS.file_names(spark, spark.conf.get("spark.checkpoint.dir")) if n.startswith("judged")]
+
+
+def test_bad_files_are_listed_and_left_out(spark, tmp_path):
+    path = tmp_path / "daily"
+    DS.write_daily(rows(spark), str(path), "d")
+    rows(spark, []).coalesce(1).write.parquet(str(path / "year=2024" / "month=3" / "day=1"))  # sound, without rows
+    sound = DS.list_files(spark, str(path)).count()
+    assert DS.unreadable_files(spark, str(path)).count() == 0
+    day = path / "year=2024" / "month=2" / "day=1"
+    good = next(f for f in day.iterdir() if f.name.startswith("part")).read_bytes()
+    (day / "a.parquet").write_text("not parquet, but longer than twelve bytes")
+    (day / "b.parquet").write_bytes(b"PAR1")
+    (day / "c.parquet").write_bytes(b"")
+    (day / "d with blank.parquet").write_bytes(good[:len(good) // 2])
+    (day / "e.parquet").write_bytes(b"PAR1" + b"x" * 50 + (40).to_bytes(4, "little") + b"PAR1")
+    (day / "f.parquet").write_bytes(b"PAR1" + b"x" * 50 + (2**32 - 1).to_bytes(4, "little") + b"PAR1")
+    kept, skipped = DS.read_sound_files(spark, str(path))
+    assert sorted(column(kept, "id")) == [1, 2, 3, 4]
+    assert set(DS.DAY_PARTITIONS) <= set(kept.columns)
+    errors = {r["path"].rsplit("/", 1)[1]: r["error"] for r in skipped.collect()}
+    assert sorted(errors) == ["a.parquet", "b.parquet", "d%20with%20blank.parquet", "e.parquet", "f.parquet"]
+    assert all(errors[f"{n}.parquet"].startswith("no footer") for n in "abf")
+    assert not errors["e.parquet"].startswith("no footer")
+    assert DS.list_files(spark, str(path)).count() == sound + 5
+
+
+def test_nothing_to_skip(spark, tmp_path):
+    assert DS.unreadable_files(spark, str(tmp_path / "none")).collect() == []
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "x.parquet").write_text("x")
+    kept, skipped = DS.read_sound_files(spark, str(tmp_path / "only"), rows(spark).schema)
+    assert kept.count() == 0 and skipped.count() == 1
+    with pytest.raises(ValueError):
+        DS.read_sound_files(spark, str(tmp_path / "only"))
+
+
+def test_projected_partitions(spark, tmp_path):
+    path = str(tmp_path / "months")
+    DS.write_monthly(rows(spark), path, "d")
+    DS.write_monthly(rows(spark, [(7, date(2031, 1, 1), "outside")]), path, "d")
+    schema = spark.read.parquet(path).schema
+    try:
+        for last, found in ((date(2024, 1, 31), [1, 2]), (date(2024, 4, 1), [1, 2, 3, 4])):
+            DS.create_projected_table(spark, "projected_test", path, schema, date(2023, 12, 5), last)
+            assert sorted(column(spark.table("projected_test"), "id")) == found
+        assert spark.sql("SHOW PARTITIONS projected_test").count() == 5
+        february = spark.table("projected_test").where("year = 2024 and month = 2")
+        assert sorted(column(february, "id")) == [3, 4]
+        assert all("/month=2/" in f for f in february.inputFiles()) or "PartitionFilters: [isnotnull(year" in plan_of(february)
+        assert spark.table("projected_test").where("month = 4").count() == 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS projected_test")
+
+
+def test_projected_padded_days(spark, tmp_path):
+    for d, v in (("05", "a"), ("17", "b")):
+        spark.createDataFrame([(v,)], "v string").write.parquet(str(tmp_path / "days" / "2024" / "03" / d))
+    schema = spark.createDataFrame([], "v string, year int, month int, day int").schema
+    try:
+        n = DS.create_projected_table(
+            spark, "padded_test", str(tmp_path / "days"), schema, date(2024, 3, 1), date(2024, 3, 31), DS.DAY_PARTITIONS,
+            "{year}/{month:02d}/{day:02d}", at_once=7)
+        assert n == 31
+        assert [tuple(r) for r in spark.table("padded_test").orderBy("day").collect()] == [("a", 2024, 3, 5), ("b", 2024, 3, 17)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS padded_test")
