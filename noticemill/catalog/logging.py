@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..operators import logs as LG
+from ..session import work_path
+from ..sources.log_lines import read_logs
 from .registry import query, table, time_text
 
 # Valid in both dialects. Tokens are the whole part of value; cost has two places.
@@ -43,6 +45,16 @@ def log_errors_1h(spark, sf):
     return LG.errors_by_bin(log_lines(spark, sf), "ts", "message").withColumn("bin", time_text("bin"))
 
 
+@query("stored_logs", LOG_SQL + """
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS bin, count(*) AS error_count
+FROM lg WHERE regexp_matches(message, 'ERROR|FATAL|Exception|Traceback') GROUP BY 1""")
+def stored_logs(spark, sf):
+    """Log lines written as JSON files and read back as a log source."""
+    path = work_path(spark, "logs")
+    log_lines(spark, sf).select("ts", "message", "user_id").write.json(path)
+    return LG.errors_by_bin(read_logs(spark, path), "ts", "message").withColumn("bin", time_text("bin"))
+
+
 @query("log_by_category", LOG_SQL + r"""
 SELECT nullif(regexp_extract(message, 'Modalidade (.*?): (-?[0-9]+) registros em (-?[0-9]+) páginas', 1), '') AS category,
   sum(TRY_CAST(regexp_extract(message, 'Modalidade (.*?): (-?[0-9]+) registros em (-?[0-9]+) páginas', 2) AS BIGINT))::BIGINT AS total_records,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import timedelta
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -209,25 +209,33 @@ def envelope_totals(spark, sf):
     return EN.envelope_totals(EN.parse_envelopes(payloads(spark, sf), "payload", TURN), ["conv_id"])
 
 
+def order_span(spark, sf):
+    """First and last day of the orders, none of an empty table."""
+    return table(spark, sf, "orders").agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+
+
 @query("page_manifest", """
 WITH t AS (SELECT CAST(o_orderdate AS DATE) AS d, o_orderpriority AS category, ceil(count(*) / 2)::BIGINT AS pages
            FROM orders GROUP BY 1, 2)
 SELECT strftime(d, '%Y%m%d') AS start, category, unnest(range(1, pages + 1)) AS page
-FROM t WHERE d BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'""")
+FROM t""")
 def page_manifest(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"), "o_orderpriority")
     totals = orders.groupBy("date", F.col("o_orderpriority").alias("category")).agg(
         F.ceil(F.count("*") / 2).alias("pages"))
-    dates = PL.plan_dates(spark, PL.date_span(date(2001, 12, 31), date(1995, 1, 1), historical=True))
+    first, last = order_span(spark, sf)
+    dates = PL.plan_dates(spark, first and PL.date_span(last, first, historical=True))
     manifest = PL.page_manifest(dates, [p for p, _ in PRIORITY] + ["6-NONE"], totals, 2)
     return manifest.select("start", "category", "page")
 
 
 @query("pending_dates", """
-SELECT strftime(d, '%Y-%m-%d') AS date FROM (SELECT unnest(range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY))::DATE AS d)
+SELECT strftime(d, '%Y-%m-%d') AS date FROM (
+  SELECT unnest(range(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE) + INTERVAL 31 DAY, INTERVAL 1 DAY))::DATE AS d FROM orders)
 WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""")
 def pending_dates(spark, sf):
-    planned = PL.plan_dates(spark, PL.date_span(date(2001, 12, 31), date(1995, 1, 1)))
+    first, last = order_span(spark, sf)
+    planned = PL.plan_dates(spark, first and PL.date_span(last + timedelta(30), first))
     done = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return PL.pending_dates(planned, done).select(F.date_format("date", "yyyy-MM-dd").alias("date"))
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from .. import fixed_values as V
 from ..functions.text import contains_any_lower, matches_any
 from ..operators import reports as R
-from .registry import query, table
+from ..session import work_path
+from .registry import query, sql_text, table
 
 
 @query("monthly_count", """
@@ -72,7 +76,6 @@ SELECT p_partkey, on_topic, high_value, on_topic AND high_value AS approved,
        || ', Alto valor: ' || CASE WHEN high_value THEN 'True' ELSE 'False' END AS reasoning
 FROM t""")
 def keyword_and_amount(spark, sf):
-    from .. import fixed_values as V
 
     marked = R.batch_verdicts(
         table(spark, sf, "part"), "p_name", "p_retailprice", ["widget", "ring", "gi"], 950, V.BATCH_REASON)
@@ -166,7 +169,14 @@ def run_totals(spark, sf):
 
 # --- star over documents as contracts -----------------------------------------------------
 
-_STAR_SQL = """
+def _class_sql() -> str:
+    whens = " ".join(
+        f"WHEN {' OR '.join(f'contains(upper(text), {sql_text(w)})' for w in words)} THEN {sql_text(name)}"
+        for name, words in V.CLASS_WORDS)
+    return f"CASE {whens} ELSE {sql_text(V.CLASS_OTHER)} END"
+
+
+_STAR_SQL = f"""
 WITH c AS (
   SELECT 'N' || doc_id AS num, text, CAST(n_chars AS DOUBLE) AS amount,
          DATE '2024-01-01' + CAST(doc_id % 500 AS INTEGER) AS published, lang, source,
@@ -174,14 +184,7 @@ WITH c AS (
   FROM documents LEFT JOIN labels USING (doc_id)),
 f AS (
   SELECT *, CASE WHEN applied THEN 'Sim' ELSE 'Não' END AS flag,
-    CASE WHEN contains(upper(text), 'TECNOLOGIA') OR contains(upper(text), 'SOFTWARE') OR contains(upper(text), 'SISTEMA')
-           OR contains(upper(text), 'INFORMAÇÃO') OR contains(upper(text), 'TI') OR contains(upper(text), 'DIGITAL')
-           OR contains(upper(text), 'COMPUTADOR') OR contains(upper(text), 'REDE') OR contains(upper(text), 'INTERNET')
-         THEN 'Tecnologia da Informação'
-         WHEN contains(upper(text), 'OBRA') OR contains(upper(text), 'CONSTRUÇÃO') OR contains(upper(text), 'REFORMA')
-         THEN 'Obras e Infraestrutura'
-         WHEN contains(upper(text), 'SERVIÇO') OR contains(upper(text), 'MANUTENÇÃO') OR contains(upper(text), 'LIMPEZA')
-         THEN 'Serviços Gerais' ELSE 'Outros' END AS class
+    {_class_sql()} AS class
   FROM c)
 """
 
@@ -257,10 +260,31 @@ def bi_association(spark, sf):
         F.col("Filtro Aplicado").alias("flag")).agg(F.count("*").alias("contracts"))
 
 
+@query("stored_star", _STAR_SQL + """
+SELECT quarter(published)::BIGINT AS quarter, upper(lang) AS category_name, source AS unit, class, count(*) AS contracts
+FROM f GROUP BY ALL""")
+def stored_star(spark, sf):
+    """The star as bucketed tables; fact with calendar and modalities, counted."""
+    from ..plans.bi_star import PUBLISHED, associate, drop_star, store_star
+
+    prefix = f"star_{uuid.uuid4().hex[:8]}"
+    path = work_path(spark, "star")
+    try:
+        star = store_star(contracts(spark, sf), path, prefix, 16)
+        fact = associate(star["fact"].drop("Nome Modalidade"), star["calendar"].select("date", "quarter"), {PUBLISHED: "date"})
+        fact = associate(fact, star["modalities"], ["Modalidade"])
+        fact.groupBy(
+            F.col("quarter").cast("bigint").alias("quarter"), F.col("Nome Modalidade").alias("category_name"),
+            F.col("Código Unidade").alias("unit"), F.col("Categoria Contrato").alias("class")).agg(
+            F.count("*").alias("contracts")).write.parquet(f"{path}/counts")
+    finally:
+        drop_star(spark, prefix)
+    return spark.read.parquet(f"{path}/counts")
+
+
 @query("category_classifier", _STAR_SQL + """
 SELECT class, lang, count(*) AS contracts FROM f GROUP BY ALL""")
 def category_classifier(spark, sf):
-    from .. import fixed_values as V
     from ..functions.text import classify_text
 
     docs = table(spark, sf, "documents")

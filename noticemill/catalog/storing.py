@@ -23,6 +23,7 @@ from ..session import work_path
 from ..sources import dataset as DS
 from ..sources import json_store as J
 from ..sources import lexicons as LX
+from .nesting import order_span
 from .registry import day_text, query, table
 from .texts import HYBRID_SQL, KEY_SQL
 
@@ -86,7 +87,7 @@ def upsert_log(spark, sf):
 
 
 @query("run_state", """
-WITH l AS (SELECT d, n FROM (SELECT unnest(range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY))::DATE AS d)
+WITH l AS (SELECT d, n FROM (SELECT unnest(range(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE) + INTERVAL 31 DAY, INTERVAL 1 DAY))::DATE AS d FROM orders)
            LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1) USING (d))
 SELECT strftime(max(d) FILTER (WHERE n > 0), '%Y-%m-%d') AS last_extraction_date, sum(n)::BIGINT AS total_records_extracted,
   count(*) AS processed_dates, count(*) FILTER (WHERE n IS NULL) AS empty_dates FROM l""")
@@ -95,7 +96,8 @@ def run_state(spark, sf):
 
     counts = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
         F.count("*").alias("records"))
-    planned = PL.plan_dates(spark, (date(1995, 1, 1), date(2001, 12, 31)))
+    first, last = order_span(spark, sf)
+    planned = PL.plan_dates(spark, first and (first, last + timedelta(30)))
     log = planned.join(counts, "date", "left").withColumn("records", F.coalesce("records", F.lit(0)))
     return state(log).withColumn("last_extraction_date", F.date_format("last_extraction_date", "yyyy-MM-dd"))
 
@@ -109,10 +111,11 @@ def last_processed(spark, sf):
 
 @query("plan_dates", """
 SELECT strftime(d, '%Y-%m-%d') AS date FROM (
-  SELECT unnest(range((SELECT max(CAST(o_orderdate AS DATE)) FROM orders) + INTERVAL 1 DAY, TIMESTAMP '2001-12-31 00:00:01', INTERVAL 1 DAY)) AS d)""")
+  SELECT unnest(range(max(CAST(o_orderdate AS DATE)) + INTERVAL 1 DAY, max(CAST(o_orderdate AS DATE)) + INTERVAL 91 DAY, INTERVAL 1 DAY)) AS d FROM orders)""")
 def plan_dates(spark, sf):
-    last = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
-    span = PL.date_span(date(2001, 12, 31), date(1995, 1, 1), last, catch_up=True)
+    """A run 90 days after the last order."""
+    first, last = order_span(spark, sf)
+    span = first and PL.date_span(last + timedelta(90), first, last, catch_up=True)
     return PL.plan_dates(spark, span).select(F.date_format("date", "yyyy-MM-dd").alias("date"))
 
 
@@ -369,6 +372,19 @@ def lexicon_files(spark, sf):
     return pairs.unionByName(terms)
 
 
+@query("lexicon_map_file", """
+WITH g AS (SELECT p_brand AS "group", array_agg(DISTINCT p_type ORDER BY p_type) AS terms FROM part WHERE p_brand IS NOT NULL GROUP BY 1)
+SELECT "group", row_number() OVER (ORDER BY "group") - 1 AS group_pos, unnest(terms) AS term FROM g""")
+def lexicon_map_file(spark, sf):
+    """One JSON object of all brands with their types, written as a file and read back in the order of its keys."""
+    path = work_path(spark, "map")
+    part = table(spark, sf, "part").where(F.col("p_brand").isNotNull() & F.col("p_type").isNotNull())
+    groups = part.groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("terms"))
+    whole = F.map_from_entries(F.array_sort(F.collect_list(F.struct("p_brand", "terms"))))
+    groups.agg(F.to_json(whole).alias("value")).write.text(path)
+    return LX.read_map(spark, path).select("group", "group_pos", F.explode("terms").alias("term"))
+
+
 def through_table(spark, name, result):
     """The result of a query on a catalog table, stored, so that the table's name can go from the catalog."""
     path = work_path(spark, "result")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
@@ -36,6 +36,7 @@ FACT_NAMES = {
 }
 DATE_COLUMNS = ("dataAssinatura", "dataPublicacao")
 FLAG_COLUMNS = ("filtro_aplicado",)
+PUBLISHED = FACT_NAMES["dataPublicacao"]
 
 
 def fact_table(
@@ -55,12 +56,10 @@ def fact_table(
     return contracts.select(*out)
 
 
-def build_star(contracts: DataFrame) -> dict[str, DataFrame]:
-    """fact, calendar, modalities, agencies and summary, each a plan over the contracts."""
-    fact = fact_table(contracts)
+def dimensions(fact: DataFrame) -> dict[str, DataFrame]:
+    """calendar, modalities, agencies and summary, each a plan over the fact."""
     return {
-        "fact": fact,
-        "calendar": calendar(fact, "Data Publicação"),
+        "calendar": calendar(fact, PUBLISHED),
         "modalities": distinct_dimension(fact, ["Modalidade", "Nome Modalidade"]),
         "agencies": distinct_dimension(fact, ["Esfera", "Poder", "Código Unidade"]),
         "summary": fact_summary(
@@ -68,6 +67,43 @@ def build_star(contracts: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def build_star(contracts: DataFrame) -> dict[str, DataFrame]:
+    """fact, calendar, modalities, agencies and summary, each a plan over the contracts; see :func:`store_star`."""
+    fact = fact_table(contracts)
+    return {"fact": fact, **dimensions(fact)}
+
+
+def store_star(contracts: DataFrame, path: str, prefix: str, buckets: int = 200) -> dict[str, DataFrame]:
+    """The star as catalog tables ``{prefix}_fact`` and so on below ``path``; the contracts are read once.
+
+    The fact is written first and the other tables are made from what is stored. Fact and calendar share buckets of the
+    publication date, sorted, so that a calendar too large to broadcast is joined without a shuffle. The smaller
+    dimensions are broadcast if their stored size allows it. A date with very many rows becomes several files of
+    its bucket, and where the calendar is broadcast, Spark reads the files evenly and not by bucket. Tables of
+    the same names are replaced.
+    """
+    spark = contracts.sparkSession
+
+    def put(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+        if key:
+            df = df.hint("rebalance", buckets, F.col(f"`{key}`"))
+        writer = df.write.mode("overwrite").format("parquet").option("path", f"{path}/{name}")
+        if key:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(f"{prefix}_{name}")
+        return spark.table(f"{prefix}_{name}")
+
+    fact = put(fact_table(contracts), "fact", PUBLISHED)
+    made = dimensions(fact)
+    return {"fact": fact, **{name: put(df, name, "date" if name == "calendar" else None) for name, df in made.items()}}
+
+
+def drop_star(spark: SparkSession, prefix: str) -> None:
+    """Takes the tables of a star from the catalog; their files stay."""
+    for name in ("fact", "calendar", "modalities", "agencies", "summary"):
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}_{name}")
+
+
 def associate(fact: DataFrame, dim: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Left join of a dimension by shared column names, or by fact name to dim name; a null key has no partner."""
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}

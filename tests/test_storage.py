@@ -408,3 +408,41 @@ def test_projected_padded_days(spark, tmp_path):
         assert [tuple(r) for r in spark.table("padded_test").orderBy("day").collect()] == [("a", 2024, 3, 5), ("b", 2024, 3, 17)]
     finally:
         spark.sql("DROP TABLE IF EXISTS padded_test")
+
+
+def contract_rows(spark, n):
+    from noticemill.plans.bi_star import FACT_NAMES
+
+    kinds = {"valorContrato": "CAST(id AS DOUBLE)", "dataPublicacao": "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN '2024-02-29' ELSE string(date_add(DATE '2024-01-01', CAST(id % 90 AS INT))) END",
+             "filtro_aplicado": "id % 2 = 0", "year": "2024", "month": "CAST(id % 3 AS INT)"}
+    return spark.range(n).select(*[F.expr(kinds.get(c, f"concat('{c}', id % 4)")).alias(c) for c in FACT_NAMES])
+
+
+def test_stored_star_reads_its_source_once_and_joins_without_a_shuffle(spark, tmp_path):
+    from noticemill.plans import bi_star as B
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    contracts = contract_rows(spark, 300).withColumn("objetoContrato", counted(F.col("objetoContrato")).alias("o"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        star = B.store_star(contracts, str(tmp_path / "star"), "star_test", 4)
+        assert seen.value == 300
+        plain = B.build_star(contract_rows(spark, 300))
+        for name, df in plain.items():
+            assert sorted(map(tuple, star[name].select(*df.columns).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = B.associate(star["fact"], star["calendar"], {B.PUBLISHED: "date"})
+        assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+        assert joined.count() == 300 and joined.where("quarter is null").count() == 28
+        again = B.store_star(contract_rows(spark, 20), str(tmp_path / "star"), "star_test", 4)
+        assert again["fact"].count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        B.drop_star(spark, "star_test")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("star_test")]
