@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ..functions.text import fold_text, glob_parse, has_word, is_empty_text, preview, text_key
+from ..functions.text import fold_text, fold_text_exact, glob_parse, has_word, is_empty_text, preview, text_key
 from ..operators import lexicon as L
 from ..operators import prompts as P
 from ..operators import reports as R
@@ -58,6 +60,26 @@ def fold_text_query(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(fold_text("text").cast("binary")).alias("folded_md5"))
 
 
+# Syllables and vowel signs that stand for letters of the texts, so that each script's decomposition is met.
+COMPOSED = dict(zip("aeiou", "\uac01\ud55c\ud7a3\u09cb\u0ddd"))
+
+
+def _exact_fold_sql() -> str:
+    """Letters pass the fold as private marks and are then replaced by the parts of what stands for them."""
+    marks = {letter: chr(0xE000 + i) for i, letter in enumerate(COMPOSED)}
+    sql = FOLD.format(f"translate(text, '{''.join(marks)}', '{''.join(marks.values())}')")
+    for letter, mark in marks.items():
+        parts = "".join(ch for ch in unicodedata.normalize("NFD", COMPOSED[letter]) if unicodedata.category(ch) != "Mn")
+        sql = f"replace({sql}, '{mark}', '{parts}')"
+    return sql
+
+
+@query("fold_text_exact", f"SELECT doc_id, md5({_exact_fold_sql()}) AS folded_md5 FROM documents")
+def fold_text_exact_query(spark, sf):
+    text = F.translate("text", "".join(COMPOSED), "".join(COMPOSED.values()))
+    return table(spark, sf, "documents").select("doc_id", F.md5(fold_text_exact(text).cast("binary")).alias("folded_md5"))
+
+
 @query("has_word", f"""
 SELECT doc_id, regexp_matches({FOLD.format('text')}, '(^|{PATTERN_EDGE})fur die($|{PATTERN_EDGE})') AS phrase,
        regexp_matches({FOLD.format('text')}, '(^|{PATTERN_EDGE})etion($|{PATTERN_EDGE})') AS word

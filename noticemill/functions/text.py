@@ -51,7 +51,7 @@ def fold_text(c: Column | str) -> Column:
 
     A text of ASCII characters only has as many bytes as characters and skips the
     character map. Hangul syllables and a few Indic vowels, whose decomposition is
-    more than one base character, stay composed; see :func:`fold_text_full`.
+    more than one base character, stay composed; see :func:`fold_text_exact`.
     """
     c = as_col(c)
     source, target = _fold_map()
@@ -59,6 +59,48 @@ def fold_text(c: Column | str) -> Column:
     return F.coalesce(F.lower(plain), F.lit(""))
 
 
+@lru_cache(maxsize=1)
+def _long_folds() -> list[tuple[str, str]]:
+    """Characters, Hangul left out, whose accent-free form is several characters, with that form."""
+    found = []
+    for code in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3:
+            continue
+        plain = "".join(p for p in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(p) != "Mn")
+        if len(plain) > 1:
+            found.append((chr(code), plain))
+    return found
+
+
+def _parted_syllable(ch: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by the arithmetic of the Unicode standard; other characters stay."""
+    leads, vowels, tails = ("".join(map(chr, range(at, at + n))) for at, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+    n = F.ascii(ch) - 0xAC00
+    tail = F.pmod(n, F.lit(28))
+    parted = F.concat(
+        F.substring(F.lit(leads), F.floor(n / 588).cast("int") + 1, F.lit(1)),
+        F.substring(F.lit(vowels), F.floor(F.pmod(n, F.lit(588)) / 28).cast("int") + 1, F.lit(1)),
+        F.when(tail > 0, F.substring(F.lit(tails), tail.cast("int"), F.lit(1))).otherwise(F.lit("")))
+    return F.when(ch.between("\uac00", "\ud7a3"), parted).otherwise(ch)
+
+
+def fold_text_exact(c: Column | str) -> Column:
+    """As :func:`fold_text` with Hangul and every other character fully decomposed, in column expressions.
+
+    Only texts with such characters pay for it. Spark's lower case may know other case pairs than Python's, by the
+    Unicode version of each. Two spacing marks in a row that a normal form would swap stay as they stand.
+    """
+    c = as_col(c)
+    pairs = _long_folds()
+    rare = "[" + "".join(ch for ch, _ in pairs) + "]"
+    long_form = F.create_map(*[F.lit(t) for pair in pairs for t in pair])
+    characters = F.split(c, "")
+    longer = F.array_join(F.transform(characters, lambda ch: F.coalesce(F.try_element_at(long_form, ch), ch)), "")
+    c = F.when(F.octet_length(c) == F.char_length(c), c).when(F.rlike(c, F.lit(rare)), longer).otherwise(c)
+    syllables = F.array_join(F.transform(F.split(c, ""), _parted_syllable), "")
+    return fold_text(F.when(F.rlike(c, F.lit("[\uac00-\ud7a3]")), syllables).otherwise(c))
+
+
 @F.pandas_udf(T.StringType())
 def _fold_series(s: pd.Series) -> pd.Series:
     s = s.fillna("").str.normalize("NFD")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def explode_lexicon(lexicon: DataFrame) -> DataFrame:
     )
 
 
-def prepare_entries(lexicon: DataFrame) -> DataFrame:
+def prepare_entries(lexicon: DataFrame, fold: Callable[[str], Column] = fold_text) -> DataFrame:
     """Lexicon entries with folded form, pattern and anchor.
 
     The anchor is the longest word of the entry: a text can only hold the entry if that
@@ -56,7 +57,7 @@ def prepare_entries(lexicon: DataFrame) -> DataFrame:
     the whole gap between two words and is its own anchor. An entry that equals its anchor
     is proven by it.
     """
-    e = explode_lexicon(lexicon).withColumn("folded", fold_text("term")).where(F.col("folded") != "")
+    e = explode_lexicon(lexicon).withColumn("folded", fold("term")).where(F.col("folded") != "")
     longest = F.array_max(
         F.transform(words("folded"), lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
     return (
@@ -170,15 +171,17 @@ def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str |
 
 
 def match_lexicon(
-    df: DataFrame, text: str, lexicon: DataFrame, id_col: str | None = None, inline_bound: int = MAX_INLINE_ENTRIES
+    df: DataFrame, text: str, lexicon: DataFrame, id_col: str | None = None, inline_bound: int = MAX_INLINE_ENTRIES,
+    fold: Callable[[str], Column] = fold_text,
 ) -> DataFrame:
     """Adds matched_group and matched_term: the first lexicon entry, in order of precedence, in the text.
 
     The lexicon's size is checked: up to ``inline_bound`` entries the match is a projection over the scan, above
     it a join, with the same rows. ``id_col`` may name a unique key for that join; without one it goes by text.
+    ``fold`` makes texts and entries comparable; ``fold_text_exact`` takes every script apart.
     """
-    entries = prepare_entries(lexicon).withColumnRenamed("group", "grp")
-    df = df.withColumn("_folded", fold_text(text))
+    entries = prepare_entries(lexicon, fold).withColumnRenamed("group", "grp")
+    df = df.withColumn("_folded", fold(text))
     hashed = entries.select(*_FIELDS, "anchor", "is_gap", F.xxhash64("anchor").alias("hash"))
     rows = hashed.limit(inline_bound + 1).collect()
     if len(rows) <= inline_bound:
@@ -187,13 +190,14 @@ def match_lexicon(
 
 
 def keyword_stage(
-    df: DataFrame, text: str, lexicon: DataFrame, id_col: str | None = None, inline_bound: int = MAX_INLINE_ENTRIES
+    df: DataFrame, text: str, lexicon: DataFrame, id_col: str | None = None, inline_bound: int = MAX_INLINE_ENTRIES,
+    fold: Callable[[str], Column] = fold_text,
 ) -> DataFrame:
     """First stage of the filter: adds matched_group, matched_term, stage1_passed, stage1_reason, criterion, preview.
 
     An empty text is rejected with its own reason and no details.
     """
-    matched = match_lexicon(df, text, lexicon, id_col, inline_bound)
+    matched = match_lexicon(df, text, lexicon, id_col, inline_bound, fold)
     group, term = F.col("matched_group"), F.col("matched_term")
     by_name = group == term
     return (

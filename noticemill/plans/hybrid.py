@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as V
 from ..functions.nested import merge_right
-from ..functions.text import is_empty_text, preview, text_key
+from ..functions.text import fold_text, is_empty_text, preview, text_key
 from ..operators.lexicon import keyword_stage
 from ..session import MAX_INLINE_ENTRIES
 
@@ -27,6 +29,7 @@ def hybrid_filter(
     kept_only: bool = False,
     id_col: str | None = None,
     inline_bound: int = MAX_INLINE_ENTRIES,
+    fold: Callable[[str], Column] = fold_text,
 ) -> DataFrame:
     """Adds included, reason, details and the marks of each stage to every row.
 
@@ -41,7 +44,7 @@ def hybrid_filter(
         nothing = F.struct(*[F.lit(None).cast("string").alias(n) for n in ("grupo_matched", "termo_matched", "criterio")])
         return df.withColumn("included", F.lit(True)).withColumn("reason", F.lit(V.REASON_BYPASS)).withColumn("details", nothing)
 
-    staged = keyword_stage(df, text, lexicon, id_col, inline_bound).withColumn("text_empty", is_empty_text(text))
+    staged = keyword_stage(df, text, lexicon, id_col, inline_bound, fold).withColumn("text_empty", is_empty_text(text))
     passed = F.col("stage1_passed")
     rejected = F.when(F.col("text_empty"), F.col("stage1_reason")).otherwise(
         F.format_string(V.REASON_STAGE1_REJECTED, F.col("stage1_reason")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_text import folded_in_python
 
 from noticemill import fixed_values as V
+from noticemill.functions.text import fold_text_exact
 from noticemill.operators import lexicon as L
 
 GROUPS = {
@@ -137,3 +138,16 @@ def test_middle_sized_lexicon_looks_up_words(spark):
     got = {r["id"]: (r["matched_group"], r["matched_term"]) for r in out.collect()}
     assert got == {i: first_in_python(t, groups) for i, t in enumerate(values)}
     assert "array_intersect" not in plan_of(out)
+
+
+@pytest.mark.parametrize("bound", [2000, 0])
+def test_exact_fold_in_the_match(spark, bound):
+    # A vowel sign is no word character: its entry stands only in the gap between two words.
+    values = ["\uac01 \ud55c", "\u1100\u1161\u11a8", "\u09c7\u09be", "\u0995\u09cb\u0995", "\u0995\u09c7\u09be\u0995", "Ação", None, "\uac00"]
+    groups = {"G": ["\uac01", "\u09cb"], "ACAO": []}
+    out = L.match_lexicon(texts(spark, values), "text", lexicon(spark, groups), inline_bound=bound, fold=fold_text_exact)
+    got = {r["id"]: (r["matched_group"], r["matched_term"]) for r in out.collect()}
+    assert [got[i] for i in range(len(values))] == [first_in_python(v, groups) for v in values]
+    assert [g for g, _ in got.values()].count("G") == 4
+    plain = L.match_lexicon(texts(spark, values), "text", lexicon(spark, groups), inline_bound=bound)
+    assert {r["id"]: r["matched_group"] for r in plain.collect()}[1] is None

@@ -31,6 +31,24 @@ def test_fold_full_takes_every_script(spark):
     assert column(df.select(X.fold_text_full("t").alias("f")), "f") == [folded_in_python(t) for t in texts]
 
 
+# Code points whose lower case Spark knows otherwise than this Python (fixed values).
+OTHER_CASE: set[int] = set()
+
+
+def test_exact_fold_every_character(spark):
+    """All assigned characters, those with a base of several characters among them."""
+    chars = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(f"x{c}y",) for c in chars if unicodedata.category(c) != "Cn"], "t string")
+    rows = df.select("t", X.fold_text_exact("t").alias("f")).collect()
+    assert {ord(r["t"][1]) for r in rows if r["f"] != folded_in_python(r["t"])} == OTHER_CASE
+
+
+def test_exact_fold_of_texts(spark):
+    texts = ["한국어 가각", "Ação É", "", None, "ো", "\U00011347\U0001133e \U0001134b", "a", "ΟΔΟΣ", "각 É \U0001d160x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert column(df.select(X.fold_text_exact("t").alias("f")), "f") == [folded_in_python(t) for t in texts]
+
+
 def test_fold_null_and_empty(spark):
     df = spark.createDataFrame([(None,), ("",), ("  ",), ("AÇÃO e ímã",)], "t string")
     assert column(df.select(X.fold_text("t").alias("f")), "f") == ["", "", "  ", "acao e ima"]
