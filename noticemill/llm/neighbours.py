@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from noticemill.llm.common import bounded_batches, written
 
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
+# Candidates whose cosines differ by less may change places when they are computed exactly.
+ROUNDING = 1e-12
 
 
 class Forest:
@@ -74,12 +76,13 @@ class Forest:
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v`` (doubles) of the vectors that take part, divided by their largest component.
+    """``vec_id, v, original`` (doubles) of the vectors that take part; ``v`` is divided by the largest component.
 
-    Vectors that are exact multiples of one another become equal so, bit by bit.
+    Vectors that are exact multiples of one another have equal ``v``, bit by bit.
 
     Left out: null ids, vectors that are null, empty, zero, hold null or non-finite components, or are of another
-    length than most (of equal counts the longer). Rows that repeat an id and a direction count once.
+    length than most (of equal counts the longer). Rows that repeat an id and a direction count once,
+    as the least of their vectors.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     found = rows.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(
@@ -88,12 +91,16 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     top = found.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     largest = F.array_max(F.transform("v", lambda x: F.abs(x))).alias("largest")
     found = found.filter(F.size("v") == (top["n"] if top else 0)).select("vec_id", "v", largest)
-    return found.select("vec_id", F.transform("v", lambda x: x / F.col("largest")).alias("v")).dropDuplicates(["vec_id", "v"])
+    found = found.select("vec_id", F.transform("v", lambda x: x / F.col("largest")).alias("v"), F.col("v").alias("original"))
+    return found.groupBy("vec_id", "v").agg(F.min("original").alias("original"))
 
 
 def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two arrays of doubles; null where their squares leave the range of doubles."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    product = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    found = F.try_divide(dot(a, b), product)
+    return F.when((product > 1e-150) & (product < 1e150), found)
 
 
 def _unit(packed: pd.Series) -> np.ndarray:
@@ -110,12 +117,14 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
     whose ids hash lowest) down to about ``leaf_rows`` of them a leaf; every row is indexed.
     ``visit_share`` of all leaves, twice as many as trees at least, are visited per query. Of vectors of one direction only the ``k + 1`` with the smallest ids can be
     in an answer, so these stand for all. Nearest first, ties to the smaller id; a query is no neighbour of itself.
+    The score is taken from the vectors as given; where their squares leave the range of doubles, from ``v`` of :func:`usable`.
+    The order goes by ``v``, as vectors of one direction are ties and their scores may differ in the last bits.
     """
     spark = rows.sparkSession
     bounded_batches(spark, 4000)
     valid = written(usable(rows, id_col, vector_col), "vectors")
     same = Window.partitionBy("v").orderBy("vec_id")
-    indexed = written(valid.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).select("vec_id", "v"), "indexed")
+    indexed = written(valid.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).drop("nth"), "indexed")
     sample = indexed.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toPandas()["v"]
     x = np.stack(sample.to_list()) if len(sample) else np.zeros((0, 1))
     x = x / np.abs(x).max(1, keepdims=True) if len(x) else x
@@ -135,8 +144,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
                                 "v": [p for p in packed for _ in range(leaves.shape[1])]})
 
     led_schema = "id long, leaf long, v binary"
-    data = indexed.mapInPandas(led, led_schema)
-    queries = valid.filter(is_query).mapInPandas(lambda b: led(b, visit), led_schema)
+    data = indexed.select("vec_id", "v").mapInPandas(led, led_schema)
+    queries = valid.filter(is_query).select("vec_id", "v").mapInPandas(lambda b: led(b, visit), led_schema)
     data, queries = written(data, "leaves"), written(queries, "visits")
     # Large leaves are cut into blocks on both sides; there are trees * 2 ** depth leaves at any size.
     parts = lambda d, n, name: d.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / n).cast("int").alias(name))
@@ -153,18 +162,22 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, trees: int = 12, samp
             return pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
         ids, near = own["id"].to_numpy(), _unit(asking["v"]) @ _unit(own["v"]).T
         n = min(most, len(ids))
-        at = np.argpartition(-near, n - 1, 1)[:, :n]
-        return pd.DataFrame({"query_id": np.repeat(asking["id"].to_numpy(), n), "vec_id": ids[at].ravel(),
-                             "near": np.take_along_axis(near, at, 1).ravel()})
+        last = np.partition(near, len(ids) - n, 1)[:, len(ids) - n]
+        asked, at = np.nonzero(near >= last[:, None] - ROUNDING)
+        return pd.DataFrame({"query_id": asking["id"].to_numpy()[asked], "vec_id": ids[at], "near": near[asked, at]})
 
     keys = ["leaf", "rb", "qb"]
     found = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(rank, "query_id long, vec_id long, near double")
     best = found.filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
     by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-    best = best.withColumn("nth", F.row_number().over(by_near)).filter(F.col("nth") <= most).select("query_id", "vec_id")
-    exact = (
-        best.join(valid.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-        .join(indexed, "vec_id").select("query_id", "vec_id", cosine(F.col("q"), F.col("v")).alias("score")))
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = best.withColumn("nth", F.row_number().over(by_near))
+    last = F.max(F.when(F.col("nth") == most, F.col("near"))).over(Window.partitionBy("query_id"))
+    best = best.withColumn("last", last).filter((F.col("nth") <= most) | (F.col("near") >= F.col("last") - ROUNDING))
+    asking = valid.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("original").alias("q_original"))
+    by_direction = cosine(F.col("q"), F.col("v"))
+    exact = best.select("query_id", "vec_id").join(asking, "query_id").join(indexed, "vec_id").select(
+        "query_id", "vec_id", by_direction.alias("by_direction"),
+        F.coalesce(cosine(F.col("q_original"), F.col("original")), by_direction).alias("score"))
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("by_direction"), "vec_id")
     return exact.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
