@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticemill.llm.chat import fold_events, read_back, render
@@ -79,14 +79,33 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), width=5, percent=85)
 
 
+def streamed(rows: DataFrame) -> DataFrame:
+    """The log that such conversations leave: a draft, streamed on, replaced by an edit or a new generation, streamed to its end.
+
+    What a message says at last is its row's text, so the fold decides what is read back. Assistants generate again,
+    others edit; both have the second half follow as a delta. Rows of one turn are messages of their own.
+    """
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    replaced = F.when(F.col("role") == "assistant", F.lit("regenerate")).otherwise(F.lit("edit"))
+    steps = (
+        ("message", F.concat(F.lit("draft: "), F.substr(text, half + 1))), ("delta", F.lit(" ... ")),
+        (replaced, F.substr(text, F.lit(1), half)), ("delta", F.substr(text, half + 1)))
+    events = F.array(*[
+        F.struct(F.lit(i).alias("step"), (F.lit(k) if isinstance(k, str) else k).alias("kind"), t.alias("text"))
+        for i, (k, t) in enumerate(steps)])
+    numbered = rows.withColumn("n", F.row_number().over(in_order).cast("long"))
+    return numbered.select("conv_id", "n", "role", F.explode(events).alias("e")).select(
+        "conv_id", (F.col("n") * len(steps) + F.col("e.step")).alias("seq"), F.col("e.kind").alias("kind"),
+        F.col("n").cast("string").alias("message_id"), "role", F.col("e.text").alias("text"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    events = rows.select(
-        "conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("string").alias("message_id"),
-        "role", "text")
-    back = read_back(render(fold_events(events)))
+    back = read_back(render(fold_events(streamed(rows))))
     said_by_turn = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
         "conv_id",

@@ -69,12 +69,14 @@ def fold_events(events: DataFrame) -> DataFrame:
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """``conv_id, formatted, loss_spans``: spans are ``start`` (from 0) and ``n_chars``, in code points.
 
-    ``messages`` has ``conv_id, pos, role, text`` without nulls in the last three.
+    ``messages`` has ``conv_id, pos, role, text``. A null role or text is empty, a null ``pos`` comes first, and
+    messages of the same ``pos`` are ordered by role and text.
     """
-    head = F.concat(F.lit("<"), F.replace(escape(F.col("role")), F.lit(">"), F.lit("\\g")), F.lit(">\n"))
+    role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
+    head = F.concat(F.lit("<"), F.replace(escape(role), F.lit(">"), F.lit("\\g")), F.lit(">\n"))
     turns = messages.select(
-        "conv_id", "pos", head.alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == loss_role).alias("loss"))
-    before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+        "conv_id", "pos", head.alias("head"), escape(text).alias("body"), (role == loss_role).alias("loss"))
+    before = Window.partitionBy("conv_id").orderBy("pos", "head", "body").rowsBetween(Window.unboundedPreceding, -1)
     size = F.length("head") + F.length("body") + F.lit(len(TURN_END))
     turns = turns.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
     turn = F.struct("pos", "head", "body", F.when(

@@ -186,3 +186,53 @@ def test_neighbours_ties_of_scaled_copies(spark):
     found = neighbours.nearest(df, F.col("vec_id").isin(0, 3), k=5).orderBy("query_id", "rank").collect()
     assert [r["vec_id"] for r in found if r["query_id"] == 0] == [1, 2, 3, 4, 5]
     assert [r["vec_id"] for r in found if r["query_id"] == 3] == [1, 2, 4, 5, 6]
+
+
+def test_neighbours_score_the_vectors_as_given(spark):
+    """Scores are those of the given vectors bit by bit, and more near-equal candidates than places come to the exact step."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=5) * 10.0 ** rng.integers(-3, 4)]) for i in range(60)]
+    base = rng.normal(size=5)
+    rows += [(100 + i, [float(x) for x in base + rng.normal(size=5) * 1e-14]) for i in range(40)]
+    rows += [(200, [1e200, 1.0, 0.0, 0.0, 0.0]), (201, [1e-200, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = neighbours.nearest(df, F.col("vec_id").isin(0, 7, 100, 200), k=5, visit_share=1.0).collect()
+
+    def dot(a, b):
+        total = 0.0
+        for x, y in zip(a, b):
+            total += x * y
+        return total
+
+    def measure(a, b):
+        top, under = dot(a, b), (dot(a, a) ** 0.5) * (dot(b, b) ** 0.5)
+        return top / under if 1e-150 < under < 1e150 else None
+
+    given = dict(rows)
+    for q in (0, 7, 100):
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        exact = {i: measure(given[q], v) for i, v in rows if i not in (q, 200, 201)}
+        want = sorted(exact.items(), key=lambda p: (-p[1], p[0]))
+        assert all(s == exact[i] for _, i, s in got)
+        if q == 100:  # the others are less near than these by far
+            assert all(abs(s - w) < 1e-14 for (_, _, s), (_, w) in zip(got, want))
+    assert {r["vec_id"]: r["score"] for r in found if r["query_id"] == 200 and r["rank"] == 1} == {201: 1.0}
+
+
+def test_chat_turns_with_nulls_stay(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, "user", "a"), (1, 2, None, "b"), (1, 3, "assistant", None), (1, 3, "assistant", "c" * 200_000)], "conv_id int, pos int, role string, text string")
+    back = chat.read_back(chat.render(rows)).collect()[0]
+    assert [tuple(t) for t in back["turns"]] == [("user", "a"), ("", "b"), ("assistant", ""), ("assistant", "c" * 200_000)]
+    assert back["loss_text"] == "c" * 200_000
+
+
+def test_chat_log_of_drafts_deltas_edits_and_generations(spark):
+    from noticemill.llm.catalog import streamed
+
+    rows = [(1, 0, "user", "abc"), (1, 1, "assistant", "x<y"), (1, 1, "assistant", "x<y"), (1, 2, None, None), (None, None, "user", ""), (2, 5, "assistant", "z")]
+    log = streamed(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    kinds = {r["kind"]: r["n"] for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"message": 6, "delta": 12, "regenerate": 3, "edit": 3}
+    back = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(chat.render(chat.fold_events(log))).collect()}
+    assert back == {1: [("user", "abc"), ("assistant", "x<y"), ("assistant", "x<y"), ("", "")], None: [("user", "")], 2: [("assistant", "z")]}
