@@ -126,8 +126,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 
     ``size`` counts words (null text: 0); ``copies`` is how many times the document is taken, ``taken`` its words times
     that. A null source is a source. Repeated rows are drawn one by one; ``row`` is a hash of id, source and text by
-    which callers can find the rows again. Draws depend on the rows alone, so a rerun
+    which, with the id, callers can find the rows again. Draws depend on the rows alone, so a rerun
     agrees. Empty table: no rows.
+
+    Rows that agree in id, source and text are counted first and numbered afterwards in portions of ``BLOCK``, dealt
+    out one by one: a row that a third of the table repeats fills as many blocks as it needs and no task of its own.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = docs.select(
@@ -138,10 +141,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     targets = source_targets(sized, weights, share, most)
     t = written(targets, "targets").withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(t, F.col("source").eqNullSafe(F.col("of"))).select(
+    same = sized.groupBy("row", "doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times"))
+    portions = same.withColumn("portion", F.explode(F.sequence(F.lit(0), ((F.col("times") - 1) / BLOCK).cast("int"))))
+    rows = portions.repartition("row", "doc_id", "portion").join(t, F.col("source").eqNullSafe(F.col("of"))).withColumn(
+        "nth", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.col("times") - BLOCK * F.col("portion")).cast("int")))).select(
         "row", "doc_id", "source_no", "size", "source_size", "target", F.floor(rate).alias("whole"),
         (rate - F.floor(rate)).alias("pi"),
-        F.pmod("row", F.ceil(F.col("documents") / BLOCK)).cast("long").alias("block"))
+        F.pmod(F.xxhash64("row", "portion", "nth"), F.ceil(F.col("documents") / BLOCK)).cast("long").alias("block"))
     blocks = t.agg(F.max(F.ceil(F.col("documents") / BLOCK))).first()[0] or 1
     left = written(rows.groupBy("source_no", "block").applyInPandas(_fly(False, 0), COPIES), "flight")
     is_open = (F.col("pi") > 0) & (F.col("pi") < 1)
@@ -164,7 +170,9 @@ def take(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, its columns unchanged. Takes ``mix``'s options."""
     names = {k: options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
     key = F.xxhash64(F.col(names["id_col"]), F.col(names["source_col"]), F.coalesce(F.col(names["text_col"]), F.lit("")))
-    copies = mix(docs, **options).groupBy(F.col("row").alias("key")).agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
-    # Repeated rows share a key: one of them carries the copies of all.
-    rows = whole_rows(docs, key=key).dropDuplicates(["key"])
-    return rows.join(copies, "key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    copies = mix(docs, **options).groupBy("row", "doc_id").agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
+    copies = copies.select(F.col("row").alias("key_of"), F.col("doc_id").alias("id_of"), "copies")
+    # Repeated rows share hash and id: one of them carries the copies of all.
+    rows = whole_rows(docs, key=key, id=F.col(names["id_col"]).cast("long")).dropDuplicates(["key", "id"])
+    found = rows.join(copies, (F.col("key") == F.col("key_of")) & F.col("id").eqNullSafe(F.col("id_of")))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
