@@ -1,10 +1,12 @@
 """Toxicity by a weighted grammar of finite-state transducers.
 
 A text is cut into clauses, a clause into classes of words: insult, threat, target, negation, reported speech and
-others. Transducers run over the classes one after the other: negation marks what it denies, reported speech what it
-quotes, then targets strengthen insults and threats near them. The marked clause is
+others. Three transducers are composed into one that runs over the classes: negation marks what it denies, reported
+speech what it quotes, then targets strengthen insults and threats near them. The marked clause is
 scored, not the word; a document's score is a logistic function of what its clauses add up to.
 The insult lexicon and the logistic weights are learned from labelled rows; the closed classes are fixed values.
+Equal texts with the same label count once, so what is learned depends neither on how the rows are
+dealt over files and tasks nor on how often a text is repeated.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ TARGET = ("you your yours yourself u ur he him she her they them their those the
 THREAT = ("kill hurt destroy attack beat burn shoot stab murder punish crush töten umbringen schlagen tuer frapper détruire "
           "matar golpear destruir").split()
 
-INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, OTHER = "ITGNRO"
+ALPHABET = "ITGNRO"
+INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, OTHER = ALPHABET
 DENIED, QUOTED, QUOTED_DENIED = "d", "q", "x"  # an insult or threat so marked keeps its weight times these
 FACTOR = {DENIED: 0.3, QUOTED: 0.6, QUOTED_DENIED: 0.2}
 REACH = 3  # words a negation or a target reaches
@@ -48,16 +51,36 @@ class Transducer:
 
     arcs: dict[tuple[int, str], tuple[int, str]]
 
+    def step(self, state: int, symbol: str) -> tuple[int, str]:
+        if (state, symbol) in self.arcs:
+            return self.arcs[state, symbol]
+        return self.arcs.get((state, OTHER), (state, symbol))[0], symbol
+
     def run(self, symbols: list[str]) -> list[str]:
         state, out = 0, []
         for s in symbols:
-            if (state, s) in self.arcs:
-                state, s = self.arcs[state, s]
-            else:
-                state = self.arcs.get((state, OTHER), (state, s))[0]
+            state, s = self.step(state, s)
             out.append(s)
         return out
 
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: one machine that does what running this one and then ``other`` does, over the classes of words.
+
+        Its states are the pairs that can be reached, numbered as they are met.
+        """
+        number, arcs = {(0, 0): 0}, {}
+        waiting = [(0, 0)]
+        while waiting:
+            pair = waiting.pop()
+            for symbol in ALPHABET:
+                mine, between = self.step(pair[0], symbol)
+                theirs, out = other.step(pair[1], between)
+                if (mine, theirs) not in number:
+                    number[mine, theirs] = len(number)
+                    waiting.append((mine, theirs))
+                arcs[number[pair], symbol] = (number[mine, theirs], out)
+        return Transducer(arcs)
+
 
 def negation() -> Transducer:
     """After a negation the next ``REACH`` words are denied."""
@@ -91,7 +114,7 @@ def aimed() -> Transducer:
     return Transducer(arcs)
 
 
-GRAMMAR = (negation(), reported(), aimed())
+GRAMMAR = negation().then(reported()).then(aimed())
 
 
 def terms(word: str) -> list[str]:
@@ -129,11 +152,8 @@ class Model:
         return self.classes.get(word) or (NEGATION_ if word.endswith("n't") else OTHER)
 
     def marked(self, words: list[str]) -> list[str]:
-        """The symbols of a clause's words after all transducers."""
-        symbols = [self.kind(w) for w in words]
-        for transducer in GRAMMAR:
-            symbols = transducer.run(symbols)
-        return symbols
+        """The symbols of a clause's words as the grammar marks them."""
+        return GRAMMAR.run([self.kind(w) for w in words])
 
     def clause(self, words: list[str], symbols: list[str]) -> float:
         """The weight of one marked clause; threats count only when they are aimed."""
@@ -192,13 +212,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 def without_shadows(entries: list, toxic: float, clean: float, min_rows: int, min_weight: float) -> list:
     """Leaves out word beginnings whose evidence is that of one longer entry."""
+    longer: dict[str, list] = {}  # by beginning: the longer entries that share it, and the word that is no more than it
+    for x in entries:
+        stem = x["word"].removesuffix("*")
+        for n in range(STEM[0], min(STEM[1], len(x["word"]) - 2) + 1):
+            longer.setdefault(stem[:n] + "*", []).append(x)
+        if x["word"][-1] != "*":
+            longer.setdefault(stem + "*", []).append(x)
     kept = []
     for e in entries:
-        longer = [x for x in entries if e["word"][-1] == "*" and len(x["word"]) > len(e["word"]) and x["word"].startswith(e["word"][:-1])]
-        if e["word"][-1] == "*":
-            longer += [x for x in entries if x["word"] + "*" == e["word"]]
-        if longer:
-            top = max(longer, key=lambda x: x["t"])
+        if e["word"] in longer:
+            top = max(longer[e["word"]], key=lambda x: x["t"])
             t, c = e["t"] - top["t"], max(0, e["c"] - top["c"])
             if t < min_rows or math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) < min_weight:
                 continue
@@ -207,26 +231,30 @@ def without_shadows(entries: list, toxic: float, clean: float, min_rows: int, mi
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_rows: int = 40_000, max_terms: int = 5_000, min_root: float = 4.5, min_rows: int = 4, min_weight: float = 2.0) -> Model:
+          max_rows: int = 40_000, min_root: float = 4.5, min_rows: int = 4, min_weight: float = 2.0) -> Model:
     """A model from labelled rows: ``labels`` has ``id_col`` and ``label_col`` (1: toxic; null: no label).
 
     The classifier is fitted on at most ``max_rows`` labelled rows (those whose ids hash lowest, 16 bytes each, so
-    they are broadcast). A word or word beginning is an entry if the root of its likelihood ratio against
-    independence of the label reaches ``min_root`` and its log odds reach ``min_weight``; the ``max_terms`` strongest
-    make the lexicon. Without labels of both kinds every score is the prior.
+    they are broadcast). Equal texts with the same label count once among them. A word or word beginning is an entry if
+    the root of its likelihood ratio against independence of the label reaches ``min_root`` and its log odds reach
+    ``min_weight``. All entries make the lexicon; as each needs ``min_rows`` toxic texts, it is bounded by
+    ``max_rows`` and not by the table. Without labels of both kinds every score is the prior.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     order = F.xxhash64(F.col(id_col))
     sample = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"), order.alias("__h")).dropna()
     sample = sample.orderBy("__h", "__id", "__y").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "__id")
+    label = F.when(F.col("__y") > 0, 1).otherwise(0).alias("y")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "__id").select("text", label)
+    same = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("same")
+    rows = written(rows.groupBy(same, "y").agg(F.any_value("text").alias("text")).drop("same"), "labelled")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
             texts = [0, 0]
-            for text, y in set(zip(batch["text"], batch["y"])):
+            for text, y in zip(batch["text"], batch["y"]):
                 if text:
                     seen[y].update({t for w in set(TOKEN.findall(text.lower())) for t in terms(w)})
                     texts[y] += 1
@@ -234,9 +262,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({"word": [*words, ""], "clean": [*(seen[0][w] for w in words), texts[0]],
                                 "toxic": [*(seen[1][w] for w in words), texts[1]]})
 
-    y = F.when(F.col("__y") > 0, 1).otherwise(0).alias("y")
     counts = (
-        rows.select("text", y).mapInPandas(count, "word string, clean long, toxic long")
+        rows.select("text", "y").mapInPandas(count, "word string, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")))
     counts = written(counts.filter((F.col("t") >= min_rows) | (F.col("word") == "")), "terms")
     totals = {"c": 0, "t": 0}
@@ -251,7 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  + part(clean - c, (toxic + clean - both) * (1 - share)))
     log_odds = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
     entries = counts.filter("word <> ''").select("word", "t", "c", log_odds.alias("w"), F.sqrt(F.greatest(ratio, F.lit(0.0))).alias("root")).filter(
-        (F.col("root") >= min_root) & (F.col("w") >= min_weight)).orderBy(F.desc("root"), "word").limit(max_terms).collect()
+        (F.col("root") >= min_root) & (F.col("w") >= min_weight)).orderBy(F.desc("root"), "word").collect()
     closed = {*NEGATION, *REPORTED, *TARGET, *THREAT}
     model = Model({r["word"]: float(r["w"]) for r in without_shadows(entries, toxic, clean, min_rows, min_weight) if r["word"] not in closed})
 
@@ -262,7 +289,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             f = np.array([model.features(t) for t in batch["text"]]).reshape(-1, N_FEATURES)
             yield pd.DataFrame({**{name: f[:, i] for i, name in enumerate(names)}, "y": batch["y"]})
 
-    found = rows.select("text", y).mapInPandas(measure, ", ".join(f"{n} double" for n in names) + ", y int").toPandas()
+    found = rows.select("text", "y").mapInPandas(measure, ", ".join(f"{n} double" for n in names) + ", y int").toPandas()
+    found = found.sort_values([*names, "y"])  # sums go by value, not by the order of tasks
     if len(found):
         positive = float(found["y"].mean())
         if 0 < positive < 1:

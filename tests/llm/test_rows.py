@@ -76,6 +76,60 @@ def test_toxicity_scores_terms_by_their_clause():
     assert model.score(denied) < model.score(quoted) < model.score(aimed)
 
 
+def plain_clauses(model, text):
+    """Sum, peak, and per term the shares of its occurrences, by looking back from each word instead of running states."""
+    sums, shares = [], {}
+    for clause in toxicity.CLAUSE.findall(text.lower()):
+        own = toxicity.TOKEN.findall(clause)
+        kinds, total = [model.kind(w) for w in own], 0.0
+        for i, (word, kind) in enumerate(zip(own, kinds)):
+            if kind not in "IT":
+                continue
+            near = kinds[max(0, i - 3):i]
+            mark = ("q" if "R" in kinds[:i] else "") + ("d" if "N" in near else "")
+            factor = {"": 1.0, "d": 0.3, "q": 0.6, "qd": 0.2}[mark]
+            if kind == "I":
+                shares.setdefault(word, []).append(factor)
+            if kind == "I" or "G" in near:
+                total += (model.weight(word) if kind == "I" else model.threat) * factor * (model.aimed if "G" in near else 1.0)
+        sums.append(total)
+    return sum(sums), max(sums, default=0.0), shares
+
+
+def test_toxicity_grammar_matches_a_plain_scorer():
+    random = np.random.default_rng(9)
+    model = toxicity.Model({"idiot": 3.0, "moro*": 2.5, "fool": 1.0})
+    vocabulary = "idiot moron fool kill burn you your they not never said wrote the red fox. jumps; over, lazy!".split()
+    for _ in range(400):
+        text = " ".join(random.choice(vocabulary, random.integers(0, 40)))
+        words = toxicity.TOKEN.findall(text.lower())
+        total, peak, shares = plain_clauses(model, text)
+        wanted = (total, peak, 1000 * total / max(1, len(words)), sum(max(v) for v in shares.values()), sum(sum(v) for v in shares.values()))
+        assert model.features(text) == pytest.approx([np.log1p(x) for x in wanted])
+
+
+def test_toxicity_composition_runs_like_its_parts():
+    random = np.random.default_rng(4)
+    for _ in range(300):
+        symbols = random.choice(list(toxicity.ALPHABET), random.integers(0, 30)).tolist()
+        plain = symbols
+        for part in (toxicity.negation(), toxicity.reported(), toxicity.aimed()):
+            plain = part.run(plain)
+        assert toxicity.GRAMMAR.run(symbols) == plain
+
+
+def test_toxicity_learns_alike_from_any_layout(spark):
+    toxic = [f"You are {w} {x} and the town knows it" for x in ("a fool", "an idiot") for w in ("such", "quite", "truly", "still", "always", "surely")]
+    clean = [f"The river {i} runs past mill {i % 7} and the town knows it" for i in range(60)]
+    data = [(i, toxic[i % 12] if i < 60 else clean[i % 60]) for i in range(360)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i, _ in data], "doc_id long, toxic int")
+    once = toxicity.learn(docs.coalesce(1), labels)
+    assert {"fool", "idiot"} <= {w.rstrip("*") for w in once.insults}
+    for again in (toxicity.learn(docs.repartition(8), labels), toxicity.learn(docs.orderBy(F.desc("doc_id")), labels.repartition(5))):
+        assert again.insults == once.insults and again.coefficients == once.coefficients
+
+
 def test_language_model(docs, none):
     out = lm_scoring.score_texts(docs, F.col("doc_id") == 7, order=3, chunk_bytes=20_000).collect()
     by_id = {r["doc_id"]: r for r in out}
@@ -121,6 +175,47 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == mixing.take(none).count() == 0
 
 
+def test_mixing_spreads_repeated_rows(spark):
+    from noticemill.llm.common import written
+
+    many = 30_000
+    docs = spark.range(many + 6_000).select(
+        F.when(F.col("id") < many, 7).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit("one two three").alias("text"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
+    one = written(mixing.mix(docs), "mixed")
+    totals = {r["source_size"]: (r["taken"], r["target"], r["n"]) for r in one.groupBy("source_size").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n")).collect()}
+    assert sum(n for _, _, n in totals.values()) == many + 6_000
+    by_copies = one.groupBy("doc_id", "row", "copies").count()
+    again = mixing.mix(docs.repartition(7)).groupBy("doc_id", "row", "copies").count()
+    assert sorted(map(tuple, by_copies.collect())) == sorted(map(tuple, again.collect()))
+    mixed = one.agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).first()
+    assert abs(mixed["taken"] - 1.5 * mixed["size"]) <= 12
+    taken = mixing.take(docs)
+    assert taken.count() == one.agg(F.sum("copies")).first()[0]
+
+
+def test_mixing_blocks_of_repeated_rows_are_bounded(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    largest = 2 * mixing.BLOCK
+    real = mixing._fly
+
+    def watched(land, round_no):
+        run = real(land, round_no)
+
+        def counted(key, rows):
+            if len(rows) > largest:
+                sizes.add(1)
+            return run(key, rows)
+
+        return counted
+
+    monkeypatch.setattr(mixing, "_fly", watched)
+    docs = spark.range(40_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one two").alias("text"), F.lit("a").alias("source"))
+    assert mixing.mix(docs, weights=(1,), share=0.5).agg(F.sum("taken")).first()[0] == 40_000
+    assert sizes.value == 0
+
+
 def test_language_id(docs, none):
     profiles = language_id.learn_profiles(docs)
     out = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, profiles).collect()}
