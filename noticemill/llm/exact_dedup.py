@@ -57,8 +57,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document stays; rows that repeat an id and a text become one row.
 
-    Rows with a null id stay only if all rows of their text have none.
+    Rows with a null id stay only if all rows of their text have none. Beside its row a text travels as a hash of 128 bits.
     """
-    rows = whole_rows(docs, key=F.coalesce(F.col(id_col).cast("string"), F.lit("")), text=F.coalesce(F.col(text_col), F.lit("")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = whole_rows(docs, key=F.coalesce(F.col(id_col).cast("string"), F.lit("")), same=F.struct(F.xxhash64(text), F.xxhash64(F.lit(1), text)))
     stay = exact_groups(docs, id_col, text_col).filter("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"))
-    return rows.join(stay.distinct(), "key", "left_semi").dropDuplicates(["key", "text"]).select("row.*")
+    return rows.join(stay.distinct(), "key", "left_semi").dropDuplicates(["key", "same"]).select("row.*")
