@@ -38,7 +38,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     rows = rows.join(prefixes, ["n", "prefix"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
     if not hash_all:
-        rows = rows.withColumn("content", F.when(F.col("open"), F.sha2(F.col("content").cast("binary"), 256)))
+        # Never null, so that no test of the hash for null is pushed below the join, where it would hash every text.
+        full = F.coalesce(F.sha2(F.col("content").cast("binary"), 256), F.lit(""))
+        rows = rows.withColumn("content", F.when(F.col("open"), full))
     groups = (
         rows.filter("open").groupBy("n", "content")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
