@@ -149,9 +149,9 @@ def trailing_requests(
     """client, ts, requests and the number of requests in the ``seconds`` up to and including each ts.
 
     A request exactly ``seconds`` old no longer counts. Requests of one client at one
-    instant are first added up; then each client's time line is cut into chunks and every
-    chunk gets a copy of the last ``seconds`` before it, so one busy client is spread over
-    many tasks and each count is still exact.
+    instant are first added up; then each client's time line is cut into chunks, so one busy client is
+    spread over many tasks. Each count is a running sum of what comes and what expires: every point enters its
+    chunk and leaves the one it expires in, which it enters too if that is a later one. So no row looks at the others of its span.
     """
     span = seconds * 1_000_000
     chunk = max(chunk_seconds * 1_000_000, span)
@@ -162,15 +162,23 @@ def trailing_requests(
     points = (
         df.groupBy(F.col(client).alias("client"), F.col(ts).alias("ts")).agg(F.count("*").alias("requests"))
         .withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-        .withColumn("_chunk", chunk_of(F.col("_us")))
+        .where(F.col("_us").isNotNull())
     )
-    reaches = chunk_of(F.col("_us") + (span - 1))
-    homes = F.when(reaches > F.col("_chunk"), F.array(F.col("_chunk"), reaches)).otherwise(F.array("_chunk"))
-    spread = points.withColumn("_home", F.explode(homes))
-    w = Window.partitionBy("client", "_home").orderBy("_us").rangeBetween(-(span - 1), 0)
+    home, expires = chunk_of(F.col("_us")), F.col("_us") + span
+    last = chunk_of(expires)
+
+    def change(at: Column, chunk: Column, by: Column, is_point: bool) -> Column:
+        return F.struct(chunk.alias("_home"), at.alias("_at"), by.alias("_by"), F.lit(is_point).alias("_is_point"))
+
+    here = change(F.col("_us"), home, F.col("requests"), True)
+    gone = change(expires, last, -F.col("requests"), False)
+    changes = F.when(last == home, F.array(here, gone)).otherwise(
+        F.array(here, change(F.col("_us"), last, F.col("requests"), False), gone))
+    spread = points.select("client", "ts", "requests", F.inline(changes))
+    w = Window.partitionBy("client", "_home").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        spread.withColumn("trailing", F.sum("requests").over(w))
-        .where(F.col("_home") == F.col("_chunk"))
+        spread.withColumn("trailing", F.sum("_by").over(w))
+        .where("_is_point")
         .select("client", "ts", "requests", "trailing")
     )
 

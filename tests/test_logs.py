@@ -1,3 +1,4 @@
+import bisect
 import random
 from datetime import datetime, timedelta
 
@@ -24,6 +25,19 @@ def test_trailing_against_every_pair(spark):
             assert r["trailing"] == want
 
 
+def test_trailing_of_dense_points_looks_at_no_span(spark):
+    """Many points in one span: each count is a running sum, as a frame of the span would cost its square."""
+    rng = random.Random(4)
+    at = sorted(rng.randrange(-90_000_000, 90_000_000) for _ in range(3000))
+    rows = [("a", datetime(1970, 1, 1) + timedelta(microseconds=us)) for us in at] + [("a", None), (None, T0), (None, T0)]
+    out = L.trailing_requests(spark.createDataFrame(rows, "c string, t timestamp_ntz"), "t", "c", 20, 30)
+    assert "rangeframe, unboundedpreceding" in plan_of(out).lower()
+    got = {(r["client"], r["ts"]): (r["requests"], r["trailing"]) for r in out.collect()}
+    want = {("a", datetime(1970, 1, 1) + timedelta(microseconds=us)): (
+        at.count(us), bisect.bisect_right(at, us) - bisect.bisect_right(at, us - 20_000_000)) for us in at}
+    assert got == want | {(None, T0): (2, 2)}
+
+
 def test_rate_report(spark):
     df = spark.createDataFrame([("a", T0 + timedelta(seconds=i)) for i in range(10)], "c string, t timestamp_ntz")
     r = L.rate_report(L.trailing_requests(df, "t", "c", 5), 4).first()
