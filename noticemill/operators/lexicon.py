@@ -155,13 +155,17 @@ def _match_joined(df: DataFrame, folded: str, entries: DataFrame, id_col: str |
     """First match by joining distinct words with anchors, for a lexicon of any size.
 
     Rows are keyed by ``id_col`` or, without one, by a hash of the folded text, so that equal texts are matched
-    once. Texts travel once, in the last join; before it only (key, word) pairs do. A word that
-    many texts share is a skewed key on the text side only, which adaptive execution splits.
+    once. Texts travel once, in the last join; before it only (key, word) pairs do, and only those of words that the lexicon
+    has. A word that many texts share is a skewed key on the text side only, which adaptive execution splits.
     """
     key = "_text_key"
-    df = df.withColumn(key, F.col(id_col) if id_col else F.sha2(F.coalesce(F.col(folded), F.lit("")).cast("binary"), 256))
-    in_text = _anchors_of(folded, not entries.where("is_gap").isEmpty())
-    tokens = df.select(key, F.explode(F.array_distinct(in_text)).alias("anchor")).distinct()
+    # The hash is never null, so a join on it adds no null test that would fold and hash the text twice.
+    hashed = F.coalesce(F.unhex(F.sha2(F.col(folded).cast("binary"), 256)), F.lit(b""))
+    df = df.withColumn(key, F.col(id_col) if id_col else hashed)
+    with_gaps = not entries.where("is_gap").isEmpty()
+    of_lexicon = entries.select(F.explode(F.concat(F.array("anchor"), words("folded"))).alias("anchor")).distinct()
+    in_text = df.select(key, F.explode(F.array_distinct(_anchors_of(folded, with_gaps))).alias("anchor"))
+    tokens = in_text.join(of_lexicon, "anchor", "left_semi").select(key, "anchor").distinct()
     found = tokens.join(_rarest_anchors(entries), "anchor")
     both = found.where(F.col("second").isNotNull()).join(
         tokens.select(key, F.col("anchor").alias("second")), [key, "second"], "left_semi")

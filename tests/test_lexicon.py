@@ -1,5 +1,8 @@
 import re
 
+import re
+
+import pyarrow as pa
 import pytest
 from conftest import column, plan_of
 from pyspark.sql import functions as F
@@ -140,6 +143,21 @@ def test_middle_sized_lexicon_looks_up_words(spark):
     assert "array_intersect" not in plan_of(out)
 
 
+@pytest.mark.parametrize("id_col", [None, "id"])
+def test_only_words_of_the_lexicon_travel(spark, id_col):
+    """Below the exchange of (key, word) pairs stands a join with the lexicon's words, and no null test folds a text again."""
+    groups = {"G": ["in the end", "the x", "-"], "THE": [], "H": ["end of"]}
+    values = ["a b c d", "in the end", "end of in the", "x, the", "a-b", "", None, "in the end", "b c the x end"]
+    small = spark.createDataFrame(pa.table({"group": list(groups), "group_pos": range(len(groups)), "terms": list(groups.values())}))
+    out = L.match_lexicon(texts(spark, values), "text", small, id_col, inline_bound=0)
+    got = {r["id"]: (r["matched_group"], r["matched_term"]) for r in out.collect()}
+    assert got == {i: first_in_python(t, groups) for i, t in enumerate(values)}
+    lines = plan_of(out.select("id", "matched_group")).split("\n")
+    dealt = [i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(\w+#\d+L?, anchor#", x)]
+    assert dealt and all("LeftSemi" in "".join(lines[i: i + 6]) for i in dealt)
+    assert not any("isnotnull" in x and "sha2" in x for x in lines)
+
+
 @pytest.mark.parametrize("bound", [2000, 0])
 def test_exact_fold_in_the_match(spark, bound):
     # A vowel sign is no word character: its entry stands only in the gap between two words.
