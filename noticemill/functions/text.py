@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,46 +61,61 @@ def fold_text(c: Column | str) -> Column:
     return F.coalesce(F.lower(plain), F.lit(""))
 
 
+PAGE = 256  # code points in a page of the table of long forms
+
+
 @lru_cache(maxsize=1)
-def _long_folds() -> list[tuple[str, str]]:
-    """Characters, Hangul left out, whose accent-free form is several characters, with that form."""
-    found = []
+def _long_folds() -> dict[int, str]:
+    """Code points whose accent-free form is several characters, Hangul syllables among them, with that form."""
+    found = {}
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3:
+        if 0xD800 <= code <= 0xDFFF:
             continue
         plain = "".join(p for p in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(p) != "Mn")
         if len(plain) > 1:
-            found.append((chr(code), plain))
+            found[code] = plain
     return found
 
 
-def _parted_syllable(ch: Column) -> Column:
-    """The two or three letters of a Hangul syllable, by the arithmetic of the Unicode standard; other characters stay."""
-    leads, vowels, tails = ("".join(map(chr, range(at, at + n))) for at, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
-    n = F.ascii(ch) - 0xAC00
-    tail = F.pmod(n, F.lit(28))
-    parted = F.concat(
-        F.substring(F.lit(leads), F.floor(n / 588).cast("int") + 1, F.lit(1)),
-        F.substring(F.lit(vowels), F.floor(F.pmod(n, F.lit(588)) / 28).cast("int") + 1, F.lit(1)),
-        F.when(tail > 0, F.substring(F.lit(tails), tail.cast("int"), F.lit(1))).otherwise(F.lit("")))
-    return F.when(ch.between("\uac00", "\ud7a3"), parted).otherwise(ch)
+@lru_cache(maxsize=1)
+def _long_pages() -> str:
+    """The long forms by page and place in it, as JSON; a page without any is null."""
+    folds = _long_folds()
+    held = {code // PAGE for code in folds}
+    return json.dumps([
+        [folds.get(page * PAGE + i) for i in range(PAGE)] if page in held else None for page in range(max(held) + 1)])
+
+
+@lru_cache(maxsize=1)
+def _long_class() -> str:
+    """A character class of all that have a long form, by ranges."""
+    out = ""
+    for _, run in groupby(enumerate(sorted(_long_folds())), lambda x: x[1] - x[0]):
+        codes = [code for _, code in run]
+        out += chr(codes[0]) if len(codes) == 1 else f"{chr(codes[0])}-{chr(codes[-1])}"
+    return f"[{out}]"
 
 
 def fold_text_exact(c: Column | str) -> Column:
     """As :func:`fold_text` with Hangul and every other character fully decomposed, in column expressions.
 
-    Only texts with such characters pay for it. Spark's lower case may know other case pairs than Python's, by the
+    Only texts with such characters pay for it: their long forms are found by two array look-ups a character, in a table
+    that is a constant of the plan. Spark's lower case may know other case pairs than Python's, by the
     Unicode version of each. Two spacing marks in a row that a normal form would swap stay as they stand.
     """
-    c = as_col(c)
-    pairs = _long_folds()
-    rare = "[" + "".join(ch for ch, _ in pairs) + "]"
-    long_form = F.create_map(*[F.lit(t) for pair in pairs for t in pair])
-    characters = F.split(c, "")
-    longer = F.array_join(F.transform(characters, lambda ch: F.coalesce(F.try_element_at(long_form, ch), ch)), "")
-    c = F.when(F.octet_length(c) == F.char_length(c), c).when(F.rlike(c, F.lit(rare)), longer).otherwise(c)
-    syllables = F.array_join(F.transform(F.split(c, ""), _parted_syllable), "")
-    return fold_text(F.when(F.rlike(c, F.lit("[\uac00-\ud7a3]")), syllables).otherwise(c))
+    pages = F.from_json(F.lit(_long_pages()), T.ArrayType(T.ArrayType(T.StringType())))
+
+    def long_form(ch: Column) -> Column:
+        code = F.ascii(ch)
+        found = F.get(F.get(pages, F.shiftright(code, 8)), code.bitwiseAND(PAGE - 1))
+        return F.when(ch < chr(min(_long_folds())), ch).otherwise(F.coalesce(found, ch))
+
+    def parted(t: Column) -> Column:
+        has_long = (F.octet_length(t) != F.char_length(t)) & F.rlike(t, F.lit(_long_class()))
+        return F.when(has_long, F.array_join(F.transform(F.split(t, ""), long_form), "")).otherwise(t)
+
+    # Each step names its text several times, so it is bound as a lambda variable and made once.
+    return F.element_at(F.transform(F.transform(F.array(as_col(c)), parted), fold_text), 1)
 
 
 @F.pandas_udf(T.StringType())

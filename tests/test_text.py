@@ -3,7 +3,7 @@ import re
 import sys
 import unicodedata
 
-from conftest import column
+from conftest import column, plan_of
 from pyspark.sql import functions as F
 
 from noticemill.functions import text as X
@@ -49,6 +49,16 @@ def test_exact_fold_of_texts(spark):
     assert column(df.select(X.fold_text_exact("t").alias("f")), "f") == [folded_in_python(t) for t in texts]
 
 
+def test_exact_fold_looks_characters_up_by_code(spark):
+    """No map whose keys are scanned for every character, and a derived text is made once a row."""
+    df = spark.createDataFrame([("aa\ud55c x",), ("\u09cb\U0001d160",), (None,)], "t string")
+    out = df.select("t", X.fold_text_exact(F.translate("t", "a", "\uac01")).alias("f"))
+    got = {r["t"]: r["f"] for r in out.collect()}
+    assert got == {t: folded_in_python(t and t.replace("a", "\uac01")) for t in got}
+    plan = plan_of(out)
+    assert "try_element_at" not in plan and plan.count("translate(t#") == 1
+
+
 def test_fold_null_and_empty(spark):
     df = spark.createDataFrame([(None,), ("",), ("  ",), ("AÇÃO e ímã",)], "t string")
     assert column(df.select(X.fold_text("t").alias("f")), "f") == ["", "", "  ", "acao e ima"]
