@@ -176,19 +176,22 @@ def rare_shingles(texts: DataFrame, width: int) -> DataFrame:
 def leader_pairs(placed: DataFrame, percent: int, number: int, asks: int = 8) -> DataFrame:
     """``a, b, ca, cb``: for each class whose buckets hold other components, up to ``asks`` members of them to compare it with.
 
-    Every bucket elects as many members by hashes that change from round to round, mostly of its largest component; a class asks
-    those that lead most of its buckets, if the sizes of both sets allow a link.
+    Every bucket elects as many members by hashes that change from round to round, mostly of its largest component. In each of its
+    buckets a class votes for one of them, drawn by a hash of both where the sizes of their sets allow a link, and
+    asks those with most of its votes: a bucket costs one row a member, however many lead it.
     """
     draws = [F.min(F.struct(F.xxhash64("rep", F.lit(number * asks + k)).alias("draw"), "rep", "component", "n_shingles")) for k in range(asks)]
     leaders = placed.groupBy("bucket").agg(
         F.array(*draws).alias("leaders"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select(
-        "bucket", F.explode(F.array_distinct(F.transform("leaders", lambda x: x.dropFields("draw")))).alias("leader"))
-    open_ = placed.join(leaders, "bucket").filter(
-        (F.col("component") != F.col("leader.component"))
-        & (100 * F.least("n_shingles", "leader.n_shingles") >= percent * F.greatest("n_shingles", "leader.n_shingles")))
-    votes = open_.groupBy("rep", F.col("leader.rep").alias("to")).agg(
+        "bucket", "leaders")
+    fit = F.filter("leaders", lambda x: (x["component"] != F.col("component")) & (
+        100 * F.least(F.col("n_shingles"), x["n_shingles"]) >= percent * F.greatest(F.col("n_shingles"), x["n_shingles"])))
+    vote = F.array_min(F.transform(fit, lambda x: F.struct(
+        F.xxhash64(x["rep"], F.col("rep"), F.lit(number)).alias("draw"), x["rep"].alias("rep"), x["component"].alias("component"))))
+    cast = placed.join(leaders, "bucket").select("rep", "component", vote.alias("leader")).filter("leader IS NOT NULL")
+    votes = cast.groupBy("rep", F.col("leader.rep").alias("to")).agg(
         F.count(F.lit(1)).alias("n"), F.first("component").alias("cr"), F.first("leader.component").alias("ct"))
-    place = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("n"), "to"))  # at most buckets times asks rows a class
+    place = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("n"), "to"))  # at most as many rows a class as it has buckets
     best = votes.withColumn("place", place).filter(F.col("place") <= asks)
     return best.select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b"), F.greatest("cr", "ct").alias("ca"),
                        F.least("cr", "ct").alias("cb")).dropDuplicates(["a", "b"])
