@@ -8,12 +8,13 @@ symbol too, so probabilities of texts add up to at most one.
 A symbol's code length depends on its ``order + 1``-gram alone. Counting and scoring therefore work on
 the distinct grams of a chunk of texts, and shorter orders are sums over the longest. The trie is a DataFrame per order
 and grows with the texts: no task and no driver holds it. Grams are dealt by a hash of their context to buckets,
-whose number grows with the texts too; each chunk gets back the code lengths of its own grams.
+whose number grows with the texts too, and travel in compressed blocks, as words do. A bucket holds whole contexts, so what training has
+gets its value there; only grams that training has not escape as rows. Each chunk gets back the counts and totals of its own grams.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,7 +63,7 @@ def in_slices(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]
 
 
 class Trie:
-    """Counts of the grams of all orders, as sorted arrays, with what exclusion needs: ``gram_logs`` in memory, for small models."""
+    """Counts of the grams of all orders, as sorted arrays, with what exclusion needs: ``open_logs`` in memory, for small models."""
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """``grams[k]``: sorted keys of ``k + 1`` symbols and their counts."""
@@ -116,7 +117,7 @@ class Trie:
 
 
 def packed(texts: list[bytes]) -> bytes:
-    return zstandard.compress(b"".join(texts), 3)
+    return zstandard.compress(b"".join(texts), 6)
 
 
 def unpacked(data: bytes, sizes: np.ndarray) -> list[bytes]:
@@ -125,20 +126,14 @@ def unpacked(data: bytes, sizes: np.ndarray) -> list[bytes]:
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk_bytes: int) -> DataFrame:
-    """Texts in compressed chunks of about ``chunk_bytes`` (one text at least), their distinct words and training counts."""
+    """Texts in compressed chunks of about ``chunk_bytes`` (one text at least)."""
     bounded_batches(docs.sparkSession)
-    schema = "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, texts binary, words array<binary>, counts array<long>"
 
     def chunk_row(number: int, rows: list[tuple]) -> pd.DataFrame:
-        words: Counter = Counter()
-        for _, held, text in rows:
-            own = text.lower().split()
-            words.update(dict.fromkeys(own, 0) if held else own)
         part = TaskContext.get().partitionId()
         return pd.DataFrame({
             "chunk": [(part << 32) + number], "doc_ids": [[None if pd.isna(r[0]) else int(r[0]) for r in rows]],
-            "held_out": [[r[1] for r in rows]], "sizes": [[len(r[2]) for r in rows]], "texts": [packed([r[2] for r in rows])],
-            "words": [list(words)], "counts": [list(words.values())]})
+            "held_out": [[r[1] for r in rows]], "sizes": [[len(r[2]) for r in rows]], "texts": [packed([r[2] for r in rows])]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, size, number = [], 0, 0
@@ -153,8 +148,8 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, held_out: Column, chunk
         if rows:
             yield chunk_row(number, rows)
 
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held"), F.col(text_col).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held"), F.col(text_col).alias("text")).mapInPandas(
+        run, "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, texts binary")
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -201,104 +196,229 @@ def chunk_grams(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
                         keys.append(new)
                         n.append(np.zeros(len(new), np.int64) if out else times)
                 keys, n = merged_counts(keys, n)
-                own = bucket_of(keys, buckets)
-                by_bucket = np.argsort(own, kind="stable")
-                numbers, first = np.unique(own[by_bucket], return_index=True)
-                parts = np.split(by_bucket, first[1:])
+                numbers, parts = by_bucket(bucket_of(keys, buckets))
                 yield pd.DataFrame({"bucket": numbers, "chunk": chunk, "grams": [squeezed_keys(keys[p]) for p in parts],
                                     "n": [squeezed(n[p]) for p in parts]})
 
     return chunks.select("chunk", "texts", "sizes", "held_out").mapInPandas(run, "bucket int, chunk long, grams binary, n binary")
 
 
-def gram_logs(grams: DataFrame, order: int) -> DataFrame:
-    """``bucket, gram, log``: log10 of the probability of each gram's last symbol after the others.
+def by_bucket(own: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The different values of ``own`` and the places of each, in order."""
+    order = np.argsort(own, kind="stable")
+    numbers, first = np.unique(own[order], return_index=True)
+    return numbers.tolist(), np.split(order, first[1:])
 
-    ``grams``: ``bucket, gram, n``, distinct; ``n`` is 0 for those that no training text has. These escape order by
-    order, as ``Trie.log10`` does in memory; the others are found in their longest context.
+
+# --- words ----------------------------------------------------------------------------------------
+
+def word_numbers(texts: list[bytes], buckets: int) -> tuple[list[np.ndarray], list[bytes], np.ndarray]:
+    """The words of each text by number, the different words of all by that number, and their buckets."""
+    numbers: dict[bytes, int] = {}
+    own = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in text.lower().split()), np.int64) for text in texts]
+    return own, list(numbers), np.fromiter((zlib.crc32(w) % buckets for w in numbers), np.int32, len(numbers))
+
+
+def word_counts(chunks: DataFrame, buckets: int) -> DataFrame:
+    """``chunk, bucket, c, tokens, kinds``: training counts of the different words of each chunk, in the order of ``word_numbers``.
+
+    Words travel once, as a block a chunk and bucket. ``tokens`` and ``kinds`` are a bucket's, on one of its rows.
     """
-    part = lambda k: F.col("gram").bitwiseAND(int(mask(k)))
-    nodes = grams.filter("n > 0").select("gram", "n")
-    open_ = grams.filter("n = 0").select(
-        "bucket", "gram", F.lit(0.0).alias("log"), F.lit(0).cast("long").alias("seen_kinds"), F.lit(0).cast("long").alias("seen_total"))
-    done = []
-    for k in range(order, -1, -1):
-        context = F.shiftright("gram", BITS).alias("context")
-        if k:
-            shorter = written(nodes.groupBy(part(k).alias("short")).agg(F.sum("n").alias("short_n")), "grams")
-            of_contexts = nodes.withColumn("short", part(k)).join(shorter, "short")
-        else:
-            of_contexts = nodes.withColumn("short_n", F.lit(0).cast("long"))
-        contexts = of_contexts.groupBy(context).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("short_n").alias("excluded"))
-        if k == order:
-            totals = nodes.groupBy(context).agg(F.sum("n").alias("total"))
-            done.append(grams.filter("n > 0").withColumn("context", context).join(totals, "context").select(
-                "bucket", "gram", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log")))
-        # The two shortest orders have at most 258 * 257 grams, whatever the texts; their keys are too few to deal by.
-        small = F.broadcast if k < 2 else lambda d: d
-        at = open_.withColumn("own", part(k + 1)).withColumn("context", F.shiftright("own", BITS)).join(small(contexts), "context", "left")
-        at = at.join(small(nodes.select(F.col("gram").alias("own"), F.col("n"))), "own", "left")
-        known, hit = F.col("kinds").isNotNull(), F.col("n").isNotNull()
-        new_kinds, rest = F.col("kinds") - F.col("seen_kinds"), F.col("total") - F.col("seen_total")
-        at = at.select(
-            "bucket", "gram", hit.alias("hit"),
-            (F.col("log") + F.when(hit, F.log10((F.col("n") - 0.5) / rest)).when(
-                known & (new_kinds > 0), F.log10(0.5 * new_kinds / rest)).otherwise(0.0)).alias("log"),
-            F.coalesce("kinds", F.lit(0).cast("long")).alias("seen_kinds"), F.coalesce("excluded", F.lit(0).cast("long")).alias("seen_total"))
-        at = written(at, "escapes")
-        done.append(at.filter("hit").select("bucket", "gram", "log"))
-        open_ = at.filter("NOT hit").drop("hit")
-        if k:
-            nodes = shorter.select(F.col("short").alias("gram"), F.col("short_n").alias("n"))
-    done.append(open_.select("bucket", "gram", (F.col("log") - F.log10(F.lit(SYMBOLS) - F.col("seen_kinds"))).alias("log")))
-    found = done[0]
-    for d in done[1:]:
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for chunk, data, sizes, held in zip(batch["chunk"], batch["texts"], batch["sizes"], batch["held_out"]):
+                own, words, bucket = word_numbers(unpacked(data, sizes), buckets)
+                n = np.bincount(np.concatenate([np.zeros(0, np.int64), *(o for o, h in zip(own, held) if not h)]), minlength=len(words))
+                numbers, places = by_bucket(bucket)
+                if numbers and len(words):
+                    yield pd.DataFrame({"bucket": numbers, "chunk": chunk, "n": [squeezed(n[p]) for p in places],
+                                        "words": [zstandard.compress(b" ".join([words[i] for i in p.tolist()]), 6) for p in places]})
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        numbers: dict[bytes, int] = {}
+        own = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in zstandard.decompress(d).split(b" ")), np.int64) for d in group["words"]]
+        c = np.zeros(len(numbers), np.int64)
+        for o, n in zip(own, group["n"]):
+            c[o] += restored(n, np.int64)  # a block has each of its words once
+        out = pd.DataFrame({"chunk": group["chunk"], "bucket": group["bucket"], "c": [squeezed(c[o]) for o in own], "tokens": 0, "kinds": 0})
+        out.iloc[0, 3:5] = int(c.sum()), int((c > 0).sum())
+        return out
+
+    bounded_batches(chunks.sparkSession, 1)
+    dealt = chunks.select("chunk", "texts", "sizes", "held_out").mapInPandas(deal, "bucket int, chunk long, n binary, words binary")
+    return dealt.groupBy("bucket").applyInPandas(count, "chunk long, bucket int, c binary, tokens long, kinds long")
+
+
+# --- grams ----------------------------------------------------------------------------------------
+
+def merged_blocks(blocks: DataFrame) -> DataFrame:
+    """``bucket, grams, n`` with one row a bucket: the sorted keys of its blocks and their summed counts."""
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        keys, n = merged_counts([restored_keys(g) for g in group["grams"]], [restored(c, np.int64) for c in group["n"]])
+        return pd.DataFrame({"bucket": [group["bucket"].iat[0]], "grams": [squeezed_keys(keys)], "n": [squeezed(n)]})
+
+    return blocks.select("bucket", "grams", "n").groupBy("bucket").applyInPandas(merge, "bucket int, grams binary, n binary")
+
+
+def trained(grams: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = restored_keys(grams), restored(n, np.int64)
+    return keys[counts > 0], counts[counts > 0]
+
+
+def shorter_grams(table: DataFrame, symbols: int, buckets: int) -> DataFrame:
+    """The table of grams of ``symbols`` symbols from that of grams with one more."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for grams, n in zip(batch["grams"], batch["n"]):
+                keys, counts = trained(grams, n)
+                keys, counts = merged_counts([keys & mask(symbols)], [counts])
+                numbers, places = by_bucket(bucket_of(keys, buckets))
+                if len(keys):
+                    yield pd.DataFrame({"bucket": numbers, "grams": [squeezed_keys(keys[p]) for p in places], "n": [squeezed(counts[p]) for p in places]})
+
+    return merged_blocks(table.select("grams", "n").mapInPandas(cut, "bucket int, grams binary, n binary"))
+
+
+def escaped(keys: np.ndarray, n: np.ndarray, k: int, grams: np.ndarray, logs: np.ndarray, seen: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """One order of the escapes: which ``grams`` the order-``k`` contexts know, their logs so far, and what these contexts have seen.
+
+    ``keys, n``: trained grams of ``k + 1`` symbols, sorted, contexts whole. ``seen``: symbols that the longer context has seen, two bytes each.
+    """
+    own = grams & mask(k + 1)
+    context = own >> BITS
+    lo, hi = np.searchsorted(keys, context << BITS), np.searchsorted(keys, (context + 1) << BITS)
+    below, ends = np.concatenate(([0], np.cumsum(n))), np.append(keys, np.int64(-1))  # no gram is -1
+    place = np.searchsorted(keys, own)
+    hit, known = ends[place] == own, hi > lo
+    sizes = np.fromiter(map(len, seen), np.int64, len(seen)) // 2
+    row = np.repeat(np.arange(len(grams)), sizes)
+    excluded = context[row] << BITS | np.frombuffer(b"".join(seen), np.uint16)
+    at = np.searchsorted(keys, excluded)
+    gone = np.bincount(row, np.where(ends[at] == excluded, np.append(n, 0)[at], 0), len(grams))
+    rest, new_kinds = below[hi] - below[lo] - gone, hi - lo - sizes
+    logs = logs.copy()
+    logs[hit] += np.log10((n[place[hit]] - 0.5) / rest[hit])
+    leave = known & ~hit & (new_kinds > 0)
+    logs[leave] += np.log10(0.5 * new_kinds[leave] / rest[leave])
+    symbols = (keys & mask(1)).astype(np.uint16).tobytes()
+    return hit, logs, [symbols[2 * a: 2 * b] for a, b in zip(lo.tolist(), hi.tolist())]
+
+
+OPEN = "bucket int, gram long, log double, seen binary, hit boolean, at int"
+
+
+def open_logs(table: DataFrame, order: int, buckets: int) -> DataFrame:
+    """``bucket, gram, log``: log10 of the probability of the last symbol of each gram that no training text has.
+
+    ``table``: ``bucket, grams, n`` of the longest grams. Such a gram escapes order by order, as ``Trie.log10`` does in memory, and
+    takes along which symbols to exclude; it meets the table of an order by the bucket of its context there. The two shortest
+    orders have at most 258 * 257 grams, whatever the texts, and few contexts to deal by, so they go along with the tasks.
+    """
+    spark = table.sparkSession
+
+    def rows(bucket, grams: np.ndarray, keys: np.ndarray, n: np.ndarray, k: int, logs: np.ndarray, seen: list[bytes]) -> pd.DataFrame:
+        hit, logs, seen = escaped(keys, n, k, grams, logs, seen)
+        return pd.DataFrame({"bucket": bucket, "gram": grams, "log": logs, "seen": seen, "hit": hit, "at": bucket_of(grams & mask(k), buckets)})
+
+    def longest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bucket, grams, n in zip(batch["bucket"], batch["grams"], batch["n"]):
+                every = restored_keys(grams)
+                new = every[restored(n, np.int64) == 0]
+                if len(new):
+                    yield rows(bucket, new, *trained(grams, n), order, np.zeros(len(new)), [b""] * len(new))
+
+    def next_order(k: int):
+        def run(asking: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+            none = np.zeros(0, np.int64)
+            keys, n = trained(values["grams"].iat[0], values["n"].iat[0]) if len(values) else (none, none)
+            return rows(asking["bucket"].to_numpy(), asking["gram"].to_numpy(), keys, n, k, asking["log"].to_numpy(), list(asking["seen"]))
+        return run
+
+    open_, done = written(table.mapInPandas(longest, OPEN), "escapes"), []
+    for k in range(order - 1, 0, -1):
+        table = written(shorter_grams(table, k + 1, buckets), "grams")
+        if k > 1:
+            done.append(open_.filter("hit").select("bucket", "gram", "log"))
+            own = open_.filter("NOT hit").select("bucket", "gram", "log", "seen", "at")
+            asked = table.join(own.select(F.col("at").alias("bucket")).distinct(), "bucket", "left_semi")
+            open_ = written(own.groupBy("at").cogroup(asked.groupBy("bucket")).applyInPandas(next_order(k), OPEN), "escapes")
+    done.append(open_.filter("hit").select("bucket", "gram", "log"))
+    found = table.select("grams", "n").toPandas()
+    pairs, n = merged_counts(*map(list, zip(*[trained(g, c) for g, c in zip(found["grams"], found["n"])])) if len(found) else ([], []))
+    last = [(1, pairs, n)] if order > 1 else []
+    if order:
+        last.append((0, *merged_counts([pairs & mask(1)], [n])))
+
+    def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bucket, grams, logs, seen = batch["bucket"].to_numpy(), batch["gram"].to_numpy(), batch["log"].to_numpy(), list(batch["seen"])
+            for k, keys, n in last:
+                hit, logs, seen_here = escaped(keys, n, k, grams, logs, seen)
+                yield pd.DataFrame({"bucket": bucket[hit], "gram": grams[hit], "log": logs[hit]})
+                bucket, grams, logs, seen = bucket[~hit], grams[~hit], logs[~hit], [s for s, h in zip(seen_here, hit) if not h]
+            left = SYMBOLS - np.fromiter(map(len, seen), np.int64, len(seen)) // 2
+            yield pd.DataFrame({"bucket": bucket, "gram": grams, "log": logs - np.log10(left)})
+
+    found = open_.filter("NOT hit").mapInPandas(shortest, "bucket int, gram long, log double")
+    for d in done:
         found = found.unionByName(d)
     return found
 
 
-def learn_logs(chunks: DataFrame, order: int, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """``chunk, bucket, logs`` of the distinct grams of each chunk, in the order of their keys, and the number of buckets."""
+def log_values(keys: np.ndarray, n: np.ndarray, totals: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Logs of sorted grams from their counts, the totals of their contexts, and the ``logs`` of those that training has not."""
+    context = keys >> BITS
+    total = totals[np.cumsum(np.concatenate(([True], context[1:] != context[:-1]))) - 1]
+    out = np.empty(len(keys))
+    out[n > 0] = np.log10((n[n > 0] - 0.5) / total[n > 0])
+    out[n == 0] = logs
+    return out
+
+
+def learn_logs(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
+    """``chunk, bucket, n, totals, logs`` of the distinct grams of each chunk, in the order of their keys, as ``log_values`` takes them."""
     spark = chunks.sparkSession
-    size = chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n).alias("n")).agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-size // bucket_bytes))
     own = written(chunk_grams(chunks, order, buckets), "own")
 
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        keys, n = merged_counts([restored_keys(g) for g in group["grams"]], [restored(c, np.int64) for c in group["n"]])
-        return pd.DataFrame({"bucket": group["bucket"].iat[0], "gram": keys, "n": n})
-
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("gram")
-        return pd.DataFrame({"bucket": [group["bucket"].iat[0]], "grams": [squeezed_keys(group["gram"].to_numpy())],
-                             "logs": [squeezed(group["log"].to_numpy())]})
+        return pd.DataFrame({"bucket": [group["bucket"].iat[0]], "logs": [squeezed(group.sort_values("gram")["log"].to_numpy())]})
 
     def look_up(asking: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
-        keys, logs = restored_keys(values["grams"].iat[0]), restored(values["logs"].iat[0], np.float64)
-        found = [squeezed(logs[np.searchsorted(keys, restored_keys(g))]) for g in asking["grams"]]
-        return pd.DataFrame({"chunk": asking["chunk"], "bucket": asking["bucket"], "logs": found})
+        keys, n = restored_keys(values["grams"].iat[0]), restored(values["n"].iat[0], np.int64)
+        new, logs = values["logs"].iat[0], np.zeros(len(keys))
+        if new is not None:
+            logs[n == 0] = restored(new, np.float64)
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] >> BITS != keys[:-1] >> BITS)))
+        total = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(keys))))
+        out = []
+        for chunk, grams in zip(asking["chunk"], asking["grams"]):
+            grams = restored_keys(grams)
+            at = np.searchsorted(keys, grams)
+            change = np.concatenate(([True], grams[1:] >> BITS != grams[:-1] >> BITS))
+            out.append((chunk, values["bucket"].iat[0], squeezed(n[at]), squeezed(total[at[change]]), squeezed(logs[at[n[at] == 0]])))
+        return pd.DataFrame(out, columns=["chunk", "bucket", "n", "totals", "logs"])
 
     bounded_batches(spark, 100_000)
-    grams = written(own.drop("chunk").groupBy("bucket").applyInPandas(count, "bucket int, gram long, n long"), "grams")
-    values = gram_logs(grams, order).groupBy("bucket").applyInPandas(pack, "bucket int, grams binary, logs binary")
-    values = written(values, "logs")
+    table = written(merged_blocks(own), "grams")
+    new = open_logs(table, order, buckets).groupBy("bucket").applyInPandas(pack, "bucket int, logs binary")
+    values = written(table.join(new, "bucket", "left"), "logs")
     return own.drop("n").groupBy("bucket").cogroup(values.groupBy("bucket")).applyInPandas(
-        look_up, "chunk long, bucket int, logs binary"), buckets
+        look_up, "chunk long, bucket int, n binary, totals binary, logs binary")
 
 
-def score_chunk(texts: list[bytes], order: int, buckets: int, logs: dict[int, bytes]) -> np.ndarray:
-    """log10 probabilities of whole texts, from the ``logs`` of their distinct grams by bucket."""
+def score_chunk(texts: list[bytes], order: int, buckets: int, found: dict[int, tuple[bytes, bytes, bytes]]) -> np.ndarray:
+    """log10 probabilities of whole texts, from what ``learn_logs`` found for their distinct grams by bucket."""
     slices = []
     for part in in_slices(texts):
         keys, sizes = gram_keys(part, order)
         distinct, inverse = np.unique(keys, return_inverse=True)
         slices.append((distinct, inverse.astype(np.int32), sizes))
     every = np.unique(np.concatenate([s[0] for s in slices]))
-    own = bucket_of(every, buckets)
-    by_bucket = np.argsort(own, kind="stable")
     values = np.empty(len(every))
-    values[by_bucket] = np.concatenate([restored(logs[b], np.float64) for b in np.unique(own).tolist()])
+    for b, places in zip(*by_bucket(bucket_of(every, buckets))):
+        n, totals, logs = found[b]
+        values[places] = log_values(every[places], restored(n, np.int64), restored(totals, np.int64), restored(logs, np.float64))
     out = []
     for distinct, inverse, sizes in slices:
         out.append(np.add.reduceat(values[np.searchsorted(every, distinct)][inverse], np.cumsum(sizes) - sizes))
@@ -316,39 +436,36 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 5, chunk_bytes:
     """
     spark = docs.sparkSession
     chunks = written(chunked(docs, id_col, text_col, F.coalesce(held_out, F.lit(False)), chunk_bytes), "chunks")
-    entries = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "entry")).select(
-        "chunk", "at", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
-    counts = written(entries.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    texts = chunks.select(F.aggregate("held_out", F.lit(0), lambda a, h: a + F.when(h, 0).otherwise(1)).alias("n")).agg(F.sum("n")).first()[0] or 0
-    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    size, texts = chunks.select(
+        F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n).alias("size"),
+        F.aggregate("held_out", F.lit(0), lambda a, h: a + F.when(h, 0).otherwise(1)).alias("n")).agg(F.sum("size"), F.sum("n")).first()
+    texts, buckets = texts or 0, max(1, -(-(size or 0) // bucket_bytes))
+    counts = written(word_counts(chunks, buckets), "words")
+    tokens, kinds = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = tokens + texts, kinds + (texts > 0)
-    logs, buckets = learn_logs(chunks, order, bucket_bytes)
-    logs = logs.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "logs")).alias("logs"))
-    known = entries.select("chunk", "at", "word").join(counts, "word").groupBy("chunk").agg(
-        F.collect_list("at").alias("at"), F.collect_list("c").alias("c"))
+    logs = learn_logs(chunks, order, buckets)
+    logs = logs.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "totals", "logs")).alias("logs"))
+    known = counts.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "c")).alias("counts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                c = np.zeros(len(row.words), np.int64)
-                if row.at is not None:
-                    c[np.asarray(row.at, np.int64)] = np.asarray(row.c, np.int64)
+                texts_here = unpacked(row.texts, row.sizes)
+                own, words, bucket = word_numbers(texts_here, buckets)
+                c = np.zeros(len(words), np.int64)
+                if row.counts is not None:
+                    of = {x["bucket"]: x["c"] for x in row.counts}
+                    for b, places in zip(*by_bucket(bucket)):
+                        c[places] = restored(of[b], np.int64)
                 logs = np.log10((c + 1) / (tokens + kinds + 1))
-                at = {w: i for i, w in enumerate(row.words)}
                 end = np.log10((texts + 1) / (tokens + kinds + 1))
-                n_tokens, n_known, base = [], [], []
-                texts_here = unpacked(row.texts, row.sizes)
-                for text in texts_here:
-                    own = np.fromiter(map(at.__getitem__, text.lower().split()), np.int64)
-                    n_tokens.append(len(own) + 1)
-                    n_known.append(int((c[own] > 0).sum()) + (texts > 0))
-                    base.append(float(logs[own].sum() + end))
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row.doc_ids], "Int64"), "held_out": list(row.held_out),
-                    "n_tokens": n_tokens, "n_known": n_known, "train_tokens": tokens, "base_score": base,
-                    "score": score_chunk(texts_here, order, buckets, {x["bucket"]: x["logs"] for x in row.logs})})
+                    "n_tokens": [len(o) + 1 for o in own], "n_known": [int((c[o] > 0).sum()) + (texts > 0) for o in own],
+                    "train_tokens": tokens, "base_score": [float(logs[o].sum() + end) for o in own],
+                    "score": score_chunk(texts_here, order, buckets, {x["bucket"]: (x["n"], x["totals"], x["logs"]) for x in row.logs})})
 
     bounded_batches(spark, 1)
     return chunks.join(known, "chunk", "left").join(logs, "chunk").select(
-        "doc_ids", "held_out", "sizes", "texts", "words", "at", "c", "logs").mapInPandas(
+        "doc_ids", "held_out", "sizes", "texts", "counts", "logs").mapInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

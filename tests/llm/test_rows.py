@@ -1,11 +1,13 @@
 """Odd rows through every operator: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from noticemill.llm import chat, exact_dedup, language_id, lm_scoring, mixing, near_dedup, neighbours, packing, repeats, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, row string, key string, n int, copies int"
@@ -155,6 +157,30 @@ def test_language_model_keeps_every_gram(spark):
         assert r["score"] == pytest.approx(expected[r["doc_id"]], rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [0, 1, 2, 4])
+def test_language_model_escapes_as_in_memory(spark, order):
+    random = np.random.default_rng(5)
+    texts = [bytes(random.choice(list(b"abcdefgh "), random.integers(0, 90)).astype(np.uint8)) for _ in range(60)]
+    texts += [t[:40] + b"xy" + t[40:] for t in texts[:20]] + [b"", b"zz \xc3\xa9"]
+    df = spark.createDataFrame([(i, t.decode(), i >= 50) for i, t in enumerate(texts)], "doc_id long, text string, held boolean").repartition(3)
+    keys = lm_scoring.gram_keys(texts[:50], order)[0]
+    trie = lm_scoring.Trie([np.unique(keys & lm_scoring.mask(k + 1), return_counts=True) for k in range(order + 1)])
+    found = lm_scoring.score_texts(df, F.col("held"), order=order, chunk_bytes=300, bucket_bytes=700)
+    expected = trie.score(texts)
+    assert {r["doc_id"]: r["score"] for r in found.collect()} == pytest.approx(dict(enumerate(expected)), rel=1e-9)
+
+
+def test_language_model_moves_blocks(spark):
+    """Words and grams travel in blocks, texts without their words: no row a word or a gram of a chunk is shuffled."""
+    rows = [(i, " ".join(f"w{i * j}" for j in range(300))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lm_scoring.score_texts(df, F.col("doc_id") % 5 == 2, order=3, chunk_bytes=5_000, bucket_bytes=20_000)
+    plan = plan_of(found)
+    assert "Generate" not in plan and "words" not in plan.replace("/words-", "")
+    counts = Counter(w for i, t in rows if i % 5 != 2 for w in t.split())
+    assert {r["doc_id"]: r["n_known"] for r in found.collect()} == {i: sum(w in counts for w in t.split()) + 1 for i, t in rows}
+
+
 def test_repeats(docs, none):
     out = {r["doc_id"]: r for r in repeats.remove_repeats(docs).collect()}
     assert out[3]["n_bytes"] == 0 and out[3]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
