@@ -190,6 +190,58 @@ def test_repeats(docs, none):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def covered_before(rows, length=100):
+    """``id, text``: sizes and what is left, by looking at every string; rows that repeat id and text are one document."""
+    seen, out = set(), []
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0])):
+        data = (t or "").encode()
+        gone = np.zeros(len(data) + 1, np.int8)
+        for k in range(len(data) - length + 1):
+            if data[k:k + length] in seen:
+                gone[k:k + length] = 1
+            seen.add(data[k:k + length])
+        out += [(i, len(data), int(gone.sum()), int((np.diff(gone, prepend=0) == 1).sum()))] * rows.count((i, t))
+    return sorted(out, key=str)
+
+
+def repetitive_rows():
+    random = np.random.default_rng(11)
+    word = lambda n, letters="abcdefgh ": "".join(random.choice(list(letters), n))
+    passages = [word(int(n)) for n in random.integers(60, 400, 12)] + ["ab" * 130, word(35) * 9, "x" * 300, word(99), word(100), "\u00e9\0" * 90]
+    texts = ["".join(passages[k][int(a):] + word(int(m)) for k, a, m in zip(
+        random.integers(0, len(passages), 5), random.integers(0, 40, 5), random.integers(0, 30, 5))) for _ in range(40)]
+    rows = [*enumerate(texts), (100, None), (101, ""), (102, texts[3]), (None, texts[7] + "z" + texts[7]), (5, texts[5])]
+    return rows
+
+
+@pytest.mark.parametrize("hot_pieces, bucket_bytes", [(100_000, 4_000_000), (100_000, 3_000), (3, 20_000), (0, 20_000)])
+def test_repeats_by_every_path_match_brute_force(spark, hot_pieces, bucket_bytes):
+    rows = repetitive_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeats.remove_repeats(df, hot_pieces=hot_pieces, bucket_bytes=bucket_bytes).collect()
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in found), key=str) == covered_before(rows)
+
+
+def test_repeats_rounds_end_at_the_gram(monkeypatch):
+    """The transform gets what stands before the hash of a window alone, in collections of few pieces, and pieces travel in blocks."""
+    rounds, texts = [], [t.encode() for _, t in repetitive_rows()[:40]]
+    plain = repeats.column_wise
+
+    def watched(parts, length, *common):
+        rounds.append((max(map(len, parts)), len(parts)))
+        return plain(parts, length, *common)
+
+    monkeypatch.setattr(repeats, "column_wise", watched)
+    monkeypatch.setattr(repeats, "COLLECTION", 20)
+    found = []
+    for gram, number, start, n in repeats.pieces(texts, 100, lambda h, core: np.ones(core.shape, bool)):
+        own = [texts[i][a: a + w + 99] for i, a, w in zip(number.tolist(), start.tolist(), n.tolist())]
+        found.append((gram, number, np.zeros(len(number), np.int64), start, own))
+    blocks = repeats.dealt(found, 3)
+    assert len(blocks) <= 3 and len(repeats.repeats_of(blocks, 100)) > 0
+    assert max(r[0] for r in rounds) <= 100 - repeats.GRAM and len(rounds) > 5
+
+
 def test_mixing(docs, none):
     out = mixing.mix(docs).collect()
     assert ids(mixing.mix(docs)) == ALL
