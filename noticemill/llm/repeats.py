@@ -334,7 +334,11 @@ def repeats_of(blocks: pd.DataFrame, length: int) -> pd.DataFrame:
 # --- the job --------------------------------------------------------------------------------------
 
 def hot_repeats(long_rows: DataFrame, cut, length: int) -> DataFrame:
-    """``row_id, row_hash, a, b`` for pieces of hashes that occur too often for a bucket: by content of pieces, then of their windows."""
+    """``row_id, row_hash, a, b`` for pieces of hashes that occur too often for a bucket: by content of pieces, then of their windows.
+
+    The joins merge: Spark knows the size of the files with the pieces, not of the windows cut from them, and what it
+    took for small enough to broadcast would pass through the driver.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row_id, row_hash, start, own in cut(batch):
@@ -345,13 +349,14 @@ def hot_repeats(long_rows: DataFrame, cut, length: int) -> DataFrame:
     place = F.struct("row_id", "row_hash", "start")
     firsts = written(every.groupBy("key").agg(F.min(place).alias("place"), F.any_value("bytes").alias("bytes")).select("key", "place.*", "bytes"), "pieces")
     later = every.withColumn("b", F.col("start") + F.length("bytes")).drop("bytes").alias("p").join(
-        firsts.select("key", "row_id", "row_hash", "start").alias("f"), "key").filter(
+        firsts.select("key", "row_id", "row_hash", "start").hint("merge").alias("f"), "key").filter(
         "p.row_id <> f.row_id OR p.row_hash <> f.row_hash OR p.start <> f.start").select("p.row_id", "p.row_hash", F.col("p.start").alias("a"), "b")
     window = F.explode(F.sequence(F.lit(0), F.length("bytes") - length))
     single = firsts.select("row_id", "row_hash", "start", "bytes", window.alias("o")).select(
         F.sha2(F.expr(f"substring(bytes, o + 1, {length})"), 256).alias("window"), "row_id", "row_hash", (F.col("start") + F.col("o")).alias("start"))
-    earliest = single.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    hot = single.join(earliest, "window").filter(
+    # Written, so that both sides of the join come straight from a shuffle: a window of very many pieces can then be split.
+    earliest = written(single.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
+    hot = single.join(earliest.hint("merge"), "window").filter(
         "row_id <> first.row_id OR row_hash <> first.row_hash OR start <> first.start").select(
         "row_id", "row_hash", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
     return later.unionByName(hot)
@@ -470,5 +475,6 @@ def remove_repeats(docs: DataFrame, length: int = 100, filter_bits: int = 27, bu
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    joined = rows.join(removed, ["row_id", "row_hash"], "left").select("doc_id", "data", "spans")
+    # Merged too: files of spans that are alike are far smaller than the spans, which the driver would hold for a broadcast.
+    joined = rows.join(removed.hint("merge"), ["row_id", "row_hash"], "left").select("doc_id", "data", "spans")
     return joined.mapInPandas(keep, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")

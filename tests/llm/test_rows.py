@@ -222,6 +222,25 @@ def test_repeats_by_every_path_match_brute_force(spark, hot_pieces, bucket_bytes
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in found), key=str) == covered_before(rows)
 
 
+def test_repeats_send_no_windows_or_spans_through_the_driver(spark):
+    """Spark takes the windows cut from a few pieces, and spans, for as small as their files; a broadcast of them would fill the driver."""
+    random = np.random.default_rng(12)
+    every = [bytes(random.choice(list(b"abcdefgh "), 160).astype(np.uint8)) for _ in range(20)]
+    every = [every[i % 20][: 120 + i // 20] for i in range(60)]
+    rows = spark.createDataFrame([(i, i * 7, bytearray(x)) for i, x in enumerate(every)], "row_id long, row_hash long, data binary").repartition(3)
+
+    def cut(batch):
+        yield None, batch["row_id"].to_numpy(), batch["row_hash"].to_numpy(), np.zeros(len(batch), np.int64), list(batch["data"])
+
+    found = repeats.hot_repeats(rows, cut, 100)
+    assert "SortMergeJoin" in plan_of(found) and "Broadcast" not in plan_of(found)
+    # No two pieces are equal, so every window of a piece that an earlier one has comes back.
+    windows = [(i, i * 7, o, o + 100) for i in range(20, 60) for o in range(len(every[i]) - 99) if any(every[i][o:o + 100] in x for x in every[:i])]
+    assert sorted(map(tuple, found.collect())) == sorted(windows)
+    docs = spark.createDataFrame(repetitive_rows(), "doc_id long, text string")
+    assert "SortMergeJoin" in (plan := plan_of(repeats.remove_repeats(docs, hot_pieces=0))) and "Broadcast" not in plan
+
+
 def test_repeats_rounds_end_at_the_gram(monkeypatch):
     """The transform gets what stands before the hash of a window alone, in collections of few pieces, and pieces travel in blocks."""
     rounds, texts = [], [t.encode() for _, t in repetitive_rows()[:40]]
